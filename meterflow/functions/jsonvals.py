@@ -1,41 +1,24 @@
-"""Typed access to one parsed JSON document (a variant column)."""
+"""Coercions of values taken from a JSON document."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from meterflow.functions.texts import PADDING
 
+def as_integer(text: Column, kind: str = "int") -> Column:
+    """Whole part of a number in text form; 0 when present but not numeric."""
+    found = F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind))
+    return F.when(text.isNotNull(), F.coalesce(found, F.lit(0).cast(kind)))
 
-def json_object(payload: Column) -> Column:
-    """The payload as a variant when it is a JSON object, else null."""
-    looks_like_object = F.ltrim(payload, F.lit(PADDING)).startswith("{")
-    return F.when(looks_like_object, F.try_parse_json(payload))
 
+def as_double(node: Column) -> Column:
+    """A JSON number or numeric text as double; 0 when present but not numeric."""
+    present = node.isNotNull() & ~F.is_variant_null(node)
+    return F.when(present, F.coalesce(F.try_variant_get(node, "$", "double"), F.lit(0.0)))
 
-def as_text(doc: Column, field: str) -> Column:
-    return F.try_variant_get(doc, f"$.{field}", "string")
 
-
-def as_integer(doc: Column, field: str, kind: str = "int") -> Column:
-    """Whole number of a number or numeric text; 0 when present but not numeric."""
-    found = F.try_variant_get(doc, f"$.{field}", kind)
-    return F.when(as_text(doc, field).isNotNull(), F.coalesce(found, F.lit(0).cast(kind)))
-
-
-def as_double(doc: Column, field: str) -> Column:
-    """Number or numeric text as double; 0 when present but not numeric."""
-    found = F.try_variant_get(doc, f"$.{field}", "double")
-    return F.when(as_text(doc, field).isNotNull(), F.coalesce(found, F.lit(0.0)))
-
-
-def lenient_double(doc: Column, field: str) -> Column:
-    """Number or numeric text as double; null when not numeric."""
-    return as_text(doc, field).try_cast("double")
-
-
-def strict_number(doc: Column, field: str) -> Column:
+def strict_number(node: Column) -> Column:
     """The value only when the JSON node is a number, not numeric text."""
-    node = F.try_variant_get(doc, f"$.{field}", "variant")
-    is_number = F.schema_of_variant(node).rlike("^(DECIMAL|DOUBLE|FLOAT|BIGINT)")
-    return F.when(is_number, F.try_variant_get(doc, f"$.{field}", "double"))
+    kind = F.schema_of_variant(node)
+    is_number = kind.startswith("DECIMAL") | kind.isin("BIGINT", "DOUBLE", "FLOAT")
+    return F.when(is_number, F.try_variant_get(node, "$", "double"))

@@ -19,38 +19,34 @@ SQL_CATALOGUE_COLUMNS = [
 
 
 def catalogue_lookup(catalogue: DataFrame, columns: list[str] = CATALOGUE_COLUMNS) -> DataFrame:
-    """One row per event id, the last one read."""
-    return last_wins(
-        catalogue.where(F.col("event_id").isNotNull()).select("ordinal", "event_id", *columns),
-        "event_id")
+    """One row per event id, the last one read; broadcast if measured small."""
+    rows = catalogue.where(F.col("event_id").isNotNull()).select("ordinal", "event_id", *columns)
+    return broadcast_if_small(last_wins(rows, "event_id"), rows)
 
 
 def hierarchy_lookup(hierarchy: DataFrame) -> DataFrame:
-    """One row per normalised meter id; blank ids are dropped."""
+    """One row per normalised meter id, blank ids dropped; broadcast if measured small."""
     key = F.upper(control_trim(F.col("msn_normalized")))
-    return last_wins(
-        hierarchy.select(
-            "ordinal", key.alias("msn_normalized"),
-            *[blank_to_null(F.col(name)).alias(name) for name in HIERARCHY_COLUMNS],
-        ).where(F.col("msn_normalized") != ""),
-        "msn_normalized")
+    rows = hierarchy.select(
+        "ordinal", key.alias("msn_normalized"),
+        *[blank_to_null(F.col(name)).alias(name) for name in HIERARCHY_COLUMNS],
+    ).where(F.col("msn_normalized") != "")
+    return broadcast_if_small(last_wins(rows, "msn_normalized"), rows)
 
 
 def join_catalogue(events: DataFrame, lookup: DataFrame) -> DataFrame:
     """Left join on the event id; unmatched rows get null columns and a false flag."""
-    side = broadcast_if_small(lookup)
-    joined = events.join(side, events["evnt_id"] == side["event_id"], "left")
+    joined = events.join(lookup, events["evnt_id"] == lookup["event_id"], "left")
     return joined.withColumn("event_catalogue_match", F.col("event_id").isNotNull()).drop("event_id")
 
 
 def join_hierarchy(events: DataFrame, lookup: DataFrame) -> DataFrame:
     """Left join on the trimmed, upper-cased meter id."""
-    side = broadcast_if_small(lookup)
     key = F.upper(blank_to_null(F.col("msn")))
     if "seq" in events.columns:
         key = spread_missing(key, F.col("seq"))
     joined = events.withColumn("_meter", key)
-    joined = joined.join(side, joined["_meter"] == side["msn_normalized"], "left").drop("_meter")
+    joined = joined.join(lookup, joined["_meter"] == lookup["msn_normalized"], "left").drop("_meter")
     return joined.withColumn("hierarchy_match", F.col("msn_normalized").isNotNull())
 
 

@@ -25,6 +25,7 @@ from meterflow.functions import (
     blank_to_null, control_trim, event_us, is_blank, micros_text, minutes_between, same_text,
     seconds_text,
 )
+from meterflow.operators.skew import materialise
 
 POWER_FAILURE = "Power failure"
 OCCURRENCE, RESTORATION = "OCCURRENCE", "RESTORATION"
@@ -246,7 +247,9 @@ def pair_incidents(
         (F.col("event_us") if guard else F.lit(_HIGHEST)).alias("ends_us"),
         "event_us", "arrival_us", *CONTEXT)
     chunk_key = ["msn", "event_tblrefid", "chunk"]
-    active = _without_idle_rows(prepared.repartition(*chunk_key)).select(*_ROW_COLUMNS)
+    # Read by two passes, and far smaller than the events it was filtered from.
+    active = materialise(
+        _without_idle_rows(prepared.repartition(*chunk_key)).select(*_ROW_COLUMNS))
     summaries = active.sortWithinPartitions(*chunk_key, "seq").mapInArrow(
         _summarise, f"{_KEY_TYPES}, chunk bigint, pieces array<{_PIECE}>")
     states = (

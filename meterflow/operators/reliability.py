@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from meterflow.operators.skew import exact_percentile
 
@@ -59,14 +59,25 @@ def restoration_activity(log: DataFrame) -> DataFrame:
         .withColumn("share_closed", F.col("closed") / F.nullif(F.col("opened"), F.lit(0))))
 
 
+def _total_ms() -> Column:
+    """Durations summed as whole milliseconds, so that the order of addition cannot matter."""
+    return F.sum(F.round(F.col("duration_minutes") * 60000).cast("bigint"))
+
+
+def _total_and_mean(count: str) -> dict[str, Column]:
+    total = F.col("_ms") / F.lit(60000.0)
+    return {"total_minutes": total, "mean_minutes": total / F.col(count)}
+
+
 def outage_duration(log: DataFrame) -> DataFrame:
     """Sum, mean, maximum and exact median of the closed minutes, per level."""
     closed = _per_level(log.where(F.col("incident_status") == "CLOSED")).select(
         "level", F.coalesce("name", F.lit("")).alias("name"), F.col("duration_minutes"))
-    totals = closed.groupBy("level", "name").agg(
-        F.count("*").alias("closed"), F.sum("duration_minutes").alias("total_minutes"),
-        F.avg("duration_minutes").alias("mean_minutes"),
-        F.max("duration_minutes").alias("max_minutes"))
+    totals = (
+        closed.groupBy("level", "name")
+        .agg(F.count("*").alias("closed"), _total_ms().alias("_ms"),
+             F.max("duration_minutes").alias("max_minutes"))
+        .withColumns(_total_and_mean("closed")).drop("_ms"))
     median = exact_percentile(
         closed, ["level", "name"], "duration_minutes", 0.5, bin_width=1.0, out="median_minutes")
     return totals.join(median, ["level", "name"])
@@ -81,8 +92,8 @@ def network_rollup(log: DataFrame) -> DataFrame:
     return (
         closed.rollup("substation_name", "feeder_name", "dtr_name")
         .agg(F.grouping_id().alias("_grouping"), F.count("*").alias("outages"),
-             F.sum("duration_minutes").alias("total_minutes"),
-             F.avg("duration_minutes").alias("mean_minutes"))
-        .withColumn("depth", 3 - F.bit_count("_grouping")).drop("_grouping"))
+             _total_ms().alias("_ms"))
+        .withColumns(_total_and_mean("outages"))
+        .withColumn("depth", 3 - F.bit_count("_grouping")).drop("_grouping", "_ms"))
 
 

@@ -12,21 +12,32 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(
-    lookup: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Hint a broadcast only after measuring the lookup.
-
-    The probe reads at most ``max_rows + 1`` rows and sums their text width. A larger lookup is
-    returned without hint: it is joined by shuffle, where adaptive execution splits hot keys.
-    """
+def fits_broadcast(
+    source: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES,
+) -> bool:
+    """Measure a lookup source: at most ``max_rows + 1`` rows are read, their text width summed."""
     width = reduce(
         lambda a, b: a + b,
-        [F.coalesce(F.length(F.col(name).cast("string")), F.lit(0)) + 8 for name in lookup.columns])
+        [F.coalesce(F.length(F.col(name).cast("string")), F.lit(0)) + 8 for name in source.columns])
     rows, size = (
-        lookup.limit(max_rows + 1)
+        source.limit(max_rows + 1)
         .agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first())
-    return F.broadcast(lookup) if rows <= max_rows and size <= max_bytes else lookup
+    return rows <= max_rows and size <= max_bytes
+
+
+def broadcast_if_small(lookup: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """Hint a broadcast only after measuring the lookup, or the source it is a subset of.
+
+    A larger lookup is returned without hint: it is joined by shuffle, where adaptive execution
+    splits hot keys.
+    """
+    return F.broadcast(lookup) if fits_broadcast(source or lookup) else lookup
+
+
+def materialise(rows: DataFrame) -> DataFrame:
+    """Checkpoint to the shared folder, for rows that several later steps read."""
+    shared_dir(rows.sparkSession)
+    return rows.checkpoint()
 
 
 def spread_missing(key: Column, row_id: Column, buckets: int = 4096) -> Column:
@@ -55,12 +66,9 @@ def global_rank(rows: DataFrame, order: list[Column], rank: str) -> DataFrame:
     layout; each partition's offset is the number of rows before it. Only the per-partition
     counts are ranked in a single task.
     """
-    spark = rows.sparkSession
-    shared_dir(spark)
-    placed = (
+    placed = materialise(
         rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id()).checkpoint()
-    )
+        .withColumn("_place", F.monotonically_increasing_id()))
     split = F.shiftright("_place", 33)
     within = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     counts = placed.groupBy(split.alias("_split")).agg(F.count("*").alias("_rows"))
@@ -111,7 +119,10 @@ def exact_percentile(
         .withColumn("_first", F.col("_last") - F.col("_n"))
     )
     low, high = F.floor("_pos"), F.ceil("_pos")
-    holds = lambda place: (F.col("_first") <= place) & (place < F.col("_last"))
+
+    def holds(place: Column) -> Column:
+        return (F.col("_first") <= place) & (place < F.col("_last"))
+
     picked = ranked.groupBy(*group).agg(
         F.max(F.when(holds(low), F.col("_v"))).alias("_low"),
         F.max(F.when(holds(high), F.col("_v"))).alias("_high"),

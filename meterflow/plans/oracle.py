@@ -122,6 +122,8 @@ _LOG_COLUMNS = """incident_id, msn, event_name, event_tblrefid, incident_status,
 
 _JOB_LOG = _BASE + _OUTAGE_ROWS + _JOB_MACHINE + _LOG
 
+_MINUTES = "sum(round(duration_minutes * 60000)::bigint)::double / 60000.0::double"
+
 _LEVELS = """
 , levelled as (
   select log.*, l.level,
@@ -257,8 +259,8 @@ select seq, msn, us as event_us from validated
 where validation_status = 'VALID' and us is not null""",
     "meter_features_15m": _BASE + _FEATURES + f"""
 select msn, {_text("w")} as window_start, {_text("w + 900000000")} as window_end,
-  event_count_15m, round(avg_voltage_15m, 6) as avg_voltage_15m,
-  round(voltage_range_15m, 6) as voltage_range_15m, power_failure_count_15m from features""",
+  event_count_15m, round(avg_voltage_15m, 7) as avg_voltage_15m,
+  round(voltage_range_15m, 7) as voltage_range_15m, power_failure_count_15m from features""",
     "outage_events": _BASE + _OUTAGE_ROWS + """
 select msn, event_tblrefid, seq, occurs, us as event_us from outage_rows""",
     "outage_previous_state": _BASE + _OUTAGE_ROWS + """
@@ -300,16 +302,15 @@ select level, name, count(*) filter (where incident_status = 'OPEN') as opened,
   round(count(*) filter (where incident_status = 'CLOSED')
     / nullif(count(*) filter (where incident_status = 'OPEN'), 0)::double, 6) as share_closed
 from levelled group by level, name""",
-    "outage_duration": _JOB_LOG + _LEVELS + """
+    "outage_duration": _JOB_LOG + _LEVELS + f"""
 select level, coalesce(name, '') as name, count(*) as closed,
-  round(sum(duration_minutes), 4) as total_minutes,
-  round(avg(duration_minutes), 4) as mean_minutes, round(max(duration_minutes), 4) as max_minutes,
-  round(quantile_cont(duration_minutes, 0.5), 4) as median_minutes
+  {_MINUTES} as total_minutes, {_MINUTES} / count(*)::double as mean_minutes,
+  round(max(duration_minutes), 6) as max_minutes,
+  round(quantile_cont(duration_minutes, 0.5), 6) as median_minutes
 from levelled where incident_status = 'CLOSED' group by level, coalesce(name, '')""",
-    "reliability_rollup": _JOB_LOG + """
+    "reliability_rollup": _JOB_LOG + f"""
 select substation_name, feeder_name, dtr_name, count(*) as outages,
-  round(sum(duration_minutes), 4) as total_minutes,
-  round(avg(duration_minutes), 4) as mean_minutes,
+  {_MINUTES} as total_minutes, {_MINUTES} / count(*)::double as mean_minutes,
   cast(3 - bit_count(grouping(substation_name, feeder_name, dtr_name)) as integer) as depth
 from log where incident_status = 'CLOSED'
 group by rollup (substation_name, feeder_name, dtr_name)""",

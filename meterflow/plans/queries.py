@@ -13,6 +13,7 @@ from meterflow.functions import haversine_km, linear_decay, micros_text, seconds
 from meterflow.operators import (
     enrich, features, outage, parse, project, reliability, replay, topology,
 )
+from meterflow.operators.skew import materialise
 from meterflow.plans import batch, derive
 from meterflow.schemas import PROCESSED_EVENT_NARROW, column_names
 
@@ -132,7 +133,7 @@ def meter_features(spark, sf_dir):
 
 def meter_features_15m(spark, sf_dir):
     return rounded(timed_text(meter_features(spark, sf_dir), "window_start", "window_end"),
-                   "avg_voltage_15m", "voltage_range_15m")
+                   "avg_voltage_15m", "voltage_range_15m", digits=7)
 
 
 # ---- outages ---------------------------------------------------------------------------------
@@ -183,7 +184,8 @@ def outage_rejects(spark, sf_dir):
 # ---- reliability -----------------------------------------------------------------------------
 
 def incident_log(spark, sf_dir):
-    return outage.outage_incidents(batch.derived_enriched(spark, sf_dir))
+    """The stored incident table the reports read, possibly several times."""
+    return materialise(outage.outage_incidents(batch.derived_enriched(spark, sf_dir)))
 
 
 def incident_latest(spark, sf_dir):
@@ -205,12 +207,11 @@ def restoration_activity(spark, sf_dir):
 
 def outage_duration(spark, sf_dir):
     return rounded(reliability.outage_duration(incident_log(spark, sf_dir)),
-                   "total_minutes", "mean_minutes", "max_minutes", "median_minutes", digits=4)
+                   "max_minutes", "median_minutes")
 
 
 def reliability_rollup(spark, sf_dir):
-    return rounded(reliability.network_rollup(incident_log(spark, sf_dir)),
-                   "total_minutes", "mean_minutes", digits=4)
+    return reliability.network_rollup(incident_log(spark, sf_dir))
 
 
 # ---- topology --------------------------------------------------------------------------------
