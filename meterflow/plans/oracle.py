@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from meterflow.functions import path_normaliser
+from meterflow.plans.demo_model import DEMO_MODEL, DEMO_TOTAL_SQL
 from meterflow.plans.derive import catalogue_sql, hierarchy_sql, typed_sql
 
 _PAD = "concat(' ', chr(9))"
@@ -54,6 +56,22 @@ features as (
   from feature_rows group by msn, w)
 """
 
+_SCORED = _BASE + _FEATURES + f"""
+, scored as (
+  select *, case when avg_voltage_15m is not null and voltage_range_15m is not null
+    then -pow(2.0::double, -({DEMO_TOTAL_SQL}) / (3 * {path_normaliser(256)!r}::double))
+      - ({DEMO_MODEL.offset}::double) end as decision from features),
+labelled as (
+  select msn, {_text("w")} as window_start, {_text("w + 900000000")} as window_end,
+    event_count_15m, avg_voltage_15m, voltage_range_15m, power_failure_count_15m,
+    round(decision, 9) as decision, round(-decision, 9) as anomaly_score,
+    case when decision < 0 then -1 when decision is not null then 1 end as prediction,
+    case when decision < 0 then 'ANOMALY' when decision is not null then 'NORMAL' end
+      as anomaly_label from scored)
+"""
+
+_SCORES = "msn, window_start, event_count_15m, decision, anomaly_score, prediction, anomaly_label"
+
 _OUTAGE_ROWS = """
 , outage_rows as (
   select msn_t as msn, event_tblrefid, seq, event_state = 'OCCURRENCE' as occurs, us,
@@ -348,5 +366,51 @@ from (select seq, 2 * 6371.0088 * atan2(sqrt(chord), sqrt(1 - chord)) as km
 select seq, dt, case when dt is null then us
   else epoch_us(strptime(dt, '%Y%m%d%H%M')) end as replay_us from parsed""",
 }
+ORACLES |= {
+    "anomaly_scores_pandas": _SCORED + f"select {_SCORES} from labelled",
+    "anomaly_scores_hof": _SCORED + f"select {_SCORES} from labelled",
+    "anomaly_results": _SCORED + """
+select msn, window_start, window_end, event_count_15m, round(avg_voltage_15m, 7) as avg_voltage_15m,
+  round(voltage_range_15m, 7) as voltage_range_15m, power_failure_count_15m,
+  'anomaly-detection' as use_case, 'IsolationForest' as model_type, '' as sklearn_version,
+  0.1::double as model_contamination, coalesce(anomaly_label, 'UNSCORABLE') as prediction,
+  null::double as confidence, anomaly_score,
+  case anomaly_label when 'ANOMALY' then 'WARNING' when 'NORMAL' then 'NORMAL' else 'UNKNOWN' end
+    as severity,
+  case anomaly_label
+    when 'ANOMALY' then 'Unusual combination of 15-minute meter features relative to the learned training distribution.'
+    when 'NORMAL' then '15-minute meter feature combination falls within the learned operating distribution.'
+    else 'Required Isolation Forest feature values are missing.' end as reason,
+  case anomaly_label
+    when 'ANOMALY' then 'Review the source events and phase-voltage readings for this meter and time window.'
+    when 'NORMAL' then 'No anomaly-specific action required.'
+    else 'Review feature completeness before anomaly assessment.' end as recommendation
+from labelled""",
+    "anomaly_rank": _SCORED + f"""
+select {_SCORES}, row_number() over (order by anomaly_score desc, msn, window_start) as anomaly_rank
+from labelled where anomaly_score is not null""",
+    "anomaly_top10": _SCORED + f"""
+select {_SCORES} from labelled order by anomaly_score desc nulls last, msn, window_start limit 10""",
+    "lowest_decisions": _SCORED + f"""
+select {_SCORES} from labelled order by decision asc nulls last, msn, window_start limit 6""",
+    "anomaly_count": _SCORED + """
+select count(*) as rows, count(*) filter (where anomaly_label = 'ANOMALY') as anomalies
+from labelled""",
+    "feature_profile": _BASE + _FEATURES + """
+select rows, meters, f.feature, f.missing, f.distinct_values, f.distinct_values > 1 as varies
+from (select count(*) as rows, count(distinct msn) as meters, unnest([
+    {'feature': 'event_count_15m', 'missing': count(*) - count(event_count_15m),
+     'distinct_values': count(distinct event_count_15m)},
+    {'feature': 'avg_voltage_15m', 'missing': count(*) - count(avg_voltage_15m),
+     'distinct_values': count(distinct round(avg_voltage_15m, 7))},
+    {'feature': 'voltage_range_15m', 'missing': count(*) - count(voltage_range_15m),
+     'distinct_values': count(distinct round(voltage_range_15m, 7))},
+    {'feature': 'power_failure_count_15m', 'missing': count(*) - count(power_failure_count_15m),
+     'distinct_values': count(distinct power_failure_count_15m)}]) as f from features)""",
+    "score_quantile": _SCORED + """
+select round(quantile_cont(decision, 0.1), 9) as quantile from labelled""",
+    "scorer_parity": _SCORED + """
+select count(*) as rows, count(*) as matching_predictions, 'STRICT' as verdict from labelled""",
+}
 ORACLES["processed_json"] = ORACLES["processed_events_narrow"]
 ORACLES["outage_incidents_chunked"] = ORACLES["outage_incidents"]

@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from meterflow.functions import haversine_km, linear_decay, micros_text, seconds_text
 from meterflow.operators import (
-    enrich, features, outage, parse, project, reliability, replay, topology,
+    anomaly, enrich, features, forest, outage, parse, project, reliability, replay, topology,
 )
 from meterflow.operators.skew import materialise
 from meterflow.plans import batch, derive
+from meterflow.plans.demo_model import DEMO_MODEL
 from meterflow.schemas import PROCESSED_EVENT_NARROW, column_names
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -257,6 +258,85 @@ def replay_order(spark, sf_dir):
     return ordered.select("seq", "dt", "replay_us")
 
 
+# ---- anomalies -------------------------------------------------------------------------------
+
+SCORES = ["msn", "window_start", "event_count_15m", "decision", "anomaly_score", "prediction",
+          "anomaly_label"]
+
+
+def _scored(spark, sf_dir, scorer=forest.decision):
+    return forest.score_rows(meter_features(spark, sf_dir), DEMO_MODEL, scorer)
+
+
+def _score_columns(rows, *more):
+    return rounded(timed_text(rows, "window_start").select(*SCORES, *more),
+                   "decision", "anomaly_score", digits=9)
+
+
+def anomaly_scores_pandas(spark, sf_dir):
+    return _score_columns(_scored(spark, sf_dir))
+
+
+def anomaly_scores_hof(spark, sf_dir):
+    return _score_columns(_scored(spark, sf_dir, forest.decision_sql))
+
+
+def anomaly_results(spark, sf_dir):
+    results = anomaly.anomaly_results(meter_features(spark, sf_dir), DEMO_MODEL)
+    return rounded(
+        rounded(timed_text(results, "window_start", "window_end"),
+                "avg_voltage_15m", "voltage_range_15m", digits=7), "anomaly_score", digits=9)
+
+
+def anomaly_rank(spark, sf_dir):
+    return _score_columns(forest.ranked(_scored(spark, sf_dir)), "anomaly_rank")
+
+
+def anomaly_top10(spark, sf_dir):
+    return _score_columns(forest.top_anomalies(_scored(spark, sf_dir)))
+
+
+def lowest_decisions(spark, sf_dir):
+    return _score_columns(forest.lowest_decisions(_scored(spark, sf_dir)))
+
+
+def anomaly_count(spark, sf_dir):
+    return forest.anomaly_count(_scored(spark, sf_dir))
+
+
+def feature_profile(spark, sf_dir):
+    stable = rounded(meter_features(spark, sf_dir), "avg_voltage_15m", "voltage_range_15m",
+                     digits=7)
+    return forest.feature_profile(stable)
+
+
+def score_quantile(spark, sf_dir):
+    """The score below which a tenth of the windows lies."""
+    scored = _scored(spark, sf_dir).where(F.col("decision").isNotNull())
+    return rounded(forest.exact_percentile(
+        scored, [], "decision", forest.CONTAMINATION, 1e-4, "quantile"), "quantile", digits=9)
+
+
+def scorer_parity(spark, sf_dir):
+    """The pandas scorer against the SQL scorer on every window."""
+    rows = materialise(meter_features(spark, sf_dir))
+    report = forest.parity(
+        forest.score_rows(rows, DEMO_MODEL),
+        forest.score_rows(rows, DEMO_MODEL, forest.decision_sql))
+    return report.select("rows", "matching_predictions", "verdict")
+
+
+def iforest_train_summary(spark, sf_dir):
+    """Train on all windows with the default settings, score them, and summarise."""
+    rows = materialise(meter_features(spark, sf_dir))
+    model = forest.train(rows)
+    summary = forest.anomaly_count(forest.score_rows(rows, model))
+    return summary.select(
+        F.lit(model.n_estimators).alias("trees"), F.lit(model.max_samples).alias("max_samples"),
+        F.lit(",".join(model.features)).alias("features"), "rows",
+        F.round(F.col("anomalies") / F.col("rows"), 1).alias("flagged_share"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -268,6 +348,8 @@ QUERIES: dict[str, Query] = {
         outage_unresolved_event_time, outage_service_variant, outage_rejects, incident_latest,
         active_incidents, outage_frequency, restoration_activity, outage_duration,
         reliability_rollup, topology_evidence, topology_candidates, topology_top3,
-        haversine_distance, replay_order,
+        haversine_distance, replay_order, anomaly_scores_pandas, anomaly_scores_hof,
+        anomaly_results, anomaly_rank, anomaly_top10, lowest_decisions, anomaly_count,
+        feature_profile, score_quantile, scorer_parity, iforest_train_summary,
     )
 }
