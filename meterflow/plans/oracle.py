@@ -414,3 +414,21 @@ select count(*) as rows, count(*) as matching_predictions, 'STRICT' as verdict f
 }
 ORACLES["processed_json"] = ORACLES["processed_events_narrow"]
 ORACLES["outage_incidents_chunked"] = ORACLES["outage_incidents"]
+
+# A stream emits a window once the latest event, less five seconds, has reached its end.
+def _emitted_windows(sql: str) -> str:
+    return f"""
+select * exclude (window_us) from (
+  select *, epoch_us(window_end::timestamp) as window_us from ({sql}))
+where window_us <= (select max(us) // 1000 * 1000 - 5000000 from (
+  {_BASE + _FEATURES} select us from feature_rows))"""
+
+
+ORACLES |= {
+    "stream_processed_events": ORACLES["processed_events"],
+    "stream_meter_features": _emitted_windows(ORACLES["meter_features_15m"]),
+    "stream_anomalies": _emitted_windows(ORACLES["anomaly_results"]),
+    "stream_outages": ORACLES["outage_incidents"],
+    "stream_topology": ORACLES["topology_top3"],
+    "stored_features": ORACLES["meter_features_15m"],
+}

@@ -17,6 +17,9 @@ from meterflow.operators.skew import materialise
 from meterflow.plans import batch, derive
 from meterflow.plans.demo_model import DEMO_MODEL
 from meterflow.schemas import PROCESSED_EVENT_NARROW, column_names
+from meterflow.session import scratch_path
+from meterflow.sinks.tables import append_table, read_table
+from meterflow.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -337,6 +340,57 @@ def iforest_train_summary(spark, sf_dir):
         F.round(F.col("anomalies") / F.col("rows"), 1).alias("flagged_share"))
 
 
+# ---- streams, drained into result tables -----------------------------------------------------
+
+def _drained(spark, sf_dir, start, table):
+    """Run a job over the events as a stream until nothing is left, and read its table."""
+    root = scratch_path(spark, table)
+    target = jobs.Target(f"{root}/tables", f"{root}/checkpoints", available_now=True)
+    start(batch.derived_enriched_stream(spark, sf_dir), target).awaitTermination()
+    return read_table(spark, table, target.root)
+
+
+def _stream_anomalies(enriched, target):
+    return jobs.start_features_and_anomalies(enriched, DEMO_MODEL, target)
+
+
+def stream_processed_events(spark, sf_dir):
+    rows = _drained(spark, sf_dir, jobs.start_processed, "processed_events")
+    return rows.drop("processed_at")
+
+
+def stream_meter_features(spark, sf_dir):
+    rows = _drained(spark, sf_dir, jobs.start_features, "meter_features_15m")
+    return rounded(timed_text(rows, "window_start", "window_end").drop("ingested_at"),
+                   "avg_voltage_15m", "voltage_range_15m", digits=7)
+
+
+def stream_anomalies(spark, sf_dir):
+    rows = _drained(spark, sf_dir, _stream_anomalies, "anomaly_detection_results")
+    return rounded(
+        rounded(timed_text(rows, "window_start", "window_end").drop("received_at"),
+                "avg_voltage_15m", "voltage_range_15m", digits=7), "anomaly_score", digits=9)
+
+
+def stream_outages(spark, sf_dir):
+    rows = _drained(spark, sf_dir, jobs.start_outages, "outage_incident_events")
+    return rounded(rows.drop("received_at"), "duration_minutes")
+
+
+def stream_topology(spark, sf_dir):
+    rows = _drained(spark, sf_dir, jobs.start_topology, "topology_inference_results")
+    return rows.drop("generated_at", "received_at")
+
+
+def stored_features(spark, sf_dir):
+    """Features written to their sorted table and read back."""
+    root = scratch_path(spark, "stored")
+    append_table(meter_features(spark, sf_dir), "meter_features_15m", root)
+    rows = read_table(spark, "meter_features_15m", root).drop("ingested_at")
+    return rounded(timed_text(rows, "window_start", "window_end"),
+                   "avg_voltage_15m", "voltage_range_15m", digits=7)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -351,5 +405,7 @@ QUERIES: dict[str, Query] = {
         haversine_distance, replay_order, anomaly_scores_pandas, anomaly_scores_hof,
         anomaly_results, anomaly_rank, anomaly_top10, lowest_decisions, anomaly_count,
         feature_profile, score_quantile, scorer_parity, iforest_train_summary,
+        stream_processed_events, stream_meter_features, stream_anomalies, stream_outages,
+        stream_topology, stored_features,
     )
 }
