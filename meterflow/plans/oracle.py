@@ -43,7 +43,7 @@ enriched as (
 
 _FEATURES = f"""
 , feature_rows as (
-  select msn_t as msn, us // 900000000 * 900000000 as w, v_r_num, v_y_num, v_b_num,
+  select msn_t as msn, us, us // 900000000 * 900000000 as w, v_r_num, v_y_num, v_b_num,
     event_name = 'Power failure' and event_state = 'OCCURRENCE' as failure
   from enriched where validation_status = 'VALID' and us is not null),
 features as (

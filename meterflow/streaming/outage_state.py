@@ -17,6 +17,7 @@ _STATE = f"start_us bigint, {_CONTEXT_TYPES}, alert_ms bigint"
 _EMITTED = (
     "msn string, event_tblrefid int, incident_status string, start_us bigint, end_us bigint, "
     f"{_CONTEXT_TYPES}")
+_Emitted = Row(*[part.split()[0] for part in _EMITTED.split(", ")])
 
 
 class OutageProcessor(StatefulProcessor):
@@ -30,7 +31,7 @@ class OutageProcessor(StatefulProcessor):
         self.open_outage = handle.getValueState("open_outage", _STATE)
 
     def _emit(self, key: tuple, status: str, state: tuple, end_us: int | None = None) -> Row:
-        return Row(*key, status, state[0], end_us, *state[1:-1])
+        return _Emitted(*key, status, state[0], end_us, *state[1:-1])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         state = self.open_outage.get() if self.open_outage.exists() else None

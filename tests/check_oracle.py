@@ -72,7 +72,7 @@ def main() -> int:
                 problem = differences(got, connection.execute(oracles[name]).df())
             note = "" if name in oracles else " (no oracle)"
         except Exception as error:
-            got, took, problem, note = [], time.time() - started, f"{type(error).__name__}: {str(error)[:1500]}", ""
+            got, took, problem, note = [], time.time() - started, f"{type(error).__name__}: {str(error)[-2500:]}", ""
         failed += problem is not None
         print(f"{'FAIL' if problem else 'ok  '} {name} {len(got)} rows {took:.2f}s{note} {problem or ''}",
               flush=True)
