@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from meterflow.operators.anomaly import anomaly_results
 from meterflow.operators.features import LATENESS, meter_features
 from meterflow.operators.forest import ForestModel
+from meterflow.operators.outage import UNRESOLVED_AFTER_US
 from meterflow.operators.project import processed_events
 from meterflow.sinks.tables import start_batches, start_table, write_batch
 from meterflow.streaming.outage_state import outage_stream
@@ -84,8 +85,10 @@ def start_features_and_anomalies(
 
 
 def start_outages(enriched: DataFrame, target: Target) -> StreamingQuery:
+    """Incident records; a run that ends once drained keeps no timers for alerts."""
+    alert_after_us = None if target.available_now else UNRESOLVED_AFTER_US
     return start_table(
-        outage_stream(enriched), "outage_incident_events", target.root, target.checkpoint,
+        outage_stream(enriched, alert_after_us), "outage_incident_events", target.root, target.checkpoint,
         target.available_now)
 
 

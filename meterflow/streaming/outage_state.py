@@ -23,7 +23,7 @@ _Emitted = Row(*[part.split()[0] for part in _EMITTED.split(", ")])
 class OutageProcessor(StatefulProcessor):
     """One open outage per (meter, event pair), kept until a restoration closes it."""
 
-    def __init__(self, alert_after_ms: int) -> None:
+    def __init__(self, alert_after_ms: int | None) -> None:
         self.alert_after_ms = alert_after_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -39,8 +39,10 @@ class OutageProcessor(StatefulProcessor):
         for row in sorted(rows, key=lambda r: r["seq"]):
             if row["occurs"]:
                 if state is None:
-                    alert = timerValues.getCurrentProcessingTimeInMs() + self.alert_after_ms
-                    self.handle.registerTimer(alert)
+                    alert = None
+                    if self.alert_after_ms is not None:
+                        alert = timerValues.getCurrentProcessingTimeInMs() + self.alert_after_ms
+                        self.handle.registerTimer(alert)
                     start = row["event_us"] // 1_000_000 * 1_000_000
                     state = (start, *[row[name] for name in CONTEXT], alert)
                     yield self._emit(key, "OPEN", state)
@@ -66,17 +68,20 @@ class OutageProcessor(StatefulProcessor):
 
 
 def outage_stream(
-    enriched: DataFrame, alert_after_us: int = UNRESOLVED_AFTER_US,
+    enriched: DataFrame, alert_after_us: int | None = UNRESOLVED_AFTER_US,
     arrival_us: Column | None = None,
 ) -> DataFrame:
     """Enriched stream to incident records, emitted as they happen.
 
-    The alert counts wall-clock time from the moment the occurrence is processed.
+    The alert counts wall-clock time from the moment the occurrence is processed. Without alert
+    (None) no timers are kept; a query that has any never ends by itself, since it waits for them.
     """
+    alerts = alert_after_us is not None
     emitted = (
         outage_rows(enriched, arrival_us).drop("arrival_us").groupBy("msn", "event_tblrefid")
         .transformWithState(
-            OutageProcessor(alert_after_us // 1000), _EMITTED, "Append", "ProcessingTime"))
+            OutageProcessor(alert_after_us // 1000 if alerts else None), _EMITTED, "Append",
+            "ProcessingTime" if alerts else "None"))
     status = F.col("incident_status")
     incident_id = F.concat_ws(
         ":", "msn", F.col("event_tblrefid").cast("string"),
@@ -86,5 +91,5 @@ def outage_stream(
         "end_ts": seconds_text(F.col("end_us")),
         "duration_minutes": F.when(status == "CLOSED", minutes_between(
             F.col("start_us"), F.col("end_us")))
-        .when(status == "UNRESOLVED", F.lit(alert_after_us / 60e6)),
+        .when(status == "UNRESOLVED", F.lit(alert_after_us / 60e6 if alerts else None)),
     }).select(*INCIDENT_COLUMNS)
