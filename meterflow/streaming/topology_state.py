@@ -1,14 +1,16 @@
 """Topology inference per micro-batch against a table of recent evidence.
 
-The evidence outlives a micro-batch as a table in shared storage, partitioned by batch and hour,
+The evidence outlives a micro-batch as a table in shared storage, partitioned by hour and batch,
 instead of as one list in one task. Each batch adds its known outages and then scores its unknown
-outages with the batch operator over the last minutes of evidence only. Evidence counts once it
-has arrived, in the same or an earlier batch.
+outages with the batch operator over the last minutes of evidence only: just the hours in reach
+are listed and read, however long the stream has been running. Evidence counts once it has
+arrived, in the same or an earlier batch. Hours out of reach may be deleted at any time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterflow.operators import topology
 from meterflow.sinks.tables import write_batch
@@ -24,27 +26,41 @@ class TopologyBatches:
     """A ``foreachBatch`` function; ``state`` and ``root`` are folders all executors reach."""
 
     def __init__(self, state: str, root: str) -> None:
-        self.state, self.root = state, root
+        self.occurrences, self.root = f"{state}/occurrences", root
+
+    def _stored(self, spark: SparkSession, pattern: str) -> DataFrame | None:
+        """Partitions matching a pattern, None if there are none."""
+        reader = spark.read.schema(
+            f"{_COLUMNS}, known boolean, hour int, batch_id bigint"
+        ).option("basePath", self.occurrences)
+        try:
+            return reader.parquet(f"{self.occurrences}/{pattern}")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
 
     def __call__(self, enriched: DataFrame, batch_id: int) -> None:
-        # Both writes replace the batch's own folder, so a retried batch leaves the same state.
-        occurred = topology.outage_occurrences(enriched).withColumn(
-            "known", F.col("hierarchy_match")).withColumn(
-            "hour", F.floor(F.col("us") / _HOUR_US).cast("int"))
+        spark = enriched.sparkSession
+        occurred = topology.outage_occurrences(enriched).withColumns({
+            "known": F.col("hierarchy_match"),
+            "hour": F.floor(F.col("us") / _HOUR_US).cast("int"),
+            "batch_id": F.lit(batch_id).cast("bigint")})
+        # A retried batch replaces its own partitions, here and in the result table.
         (occurred.repartition("known", "hour", F.pmod(F.xxhash64("msn"), F.lit(16)))
-         .write.mode("overwrite").partitionBy("known", "hour")
-         .parquet(f"{self.state}/occurrences/batch_id={batch_id}"))
-        stored = enriched.sparkSession.read.schema(
-            f"{_COLUMNS}, batch_id bigint, known boolean, hour int"
-        ).parquet(f"{self.state}/occurrences")
-        unknown = stored.where((F.col("batch_id") == batch_id) & ~F.col("known"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("known", "hour", "batch_id").parquet(self.occurrences))
+        unknown = self._stored(spark, f"known=false/hour=*/batch_id={batch_id}")
+        if unknown is None:
+            return
         oldest, latest = unknown.agg(F.min("us"), F.max("us")).first()
         if oldest is None:
             return
         start = oldest - topology.LOOKBACK_US
-        evidence = stored.where(
-            F.col("known") & (F.col("batch_id") <= batch_id)
-            & F.col("hour").between(start // _HOUR_US, latest // _HOUR_US)
-            & F.col("us").between(start, latest))
-        results = topology.topology_results(evidence.unionByName(unknown))
-        write_batch(results, TABLE, self.root, batch_id)
+        hours = ",".join(map(str, range(start // _HOUR_US, latest // _HOUR_US + 1)))
+        evidence = self._stored(spark, f"known=true/hour={{{hours}}}/batch_id=*")
+        if evidence is None:
+            return
+        recent = evidence.where(
+            (F.col("batch_id") <= batch_id) & F.col("us").between(start, latest))
+        write_batch(topology.topology_results(recent.unionByName(unknown)), TABLE, self.root, batch_id)
