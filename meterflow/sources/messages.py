@@ -62,7 +62,10 @@ def _lines(text: DataFrame) -> DataFrame:
 
 
 def jsonl_messages(spark: SparkSession, path: str) -> DataFrame:
-    """One message per non-blank line, numbered in file order."""
+    """One message per non-blank line; numbers rise within a split of a file, not across files.
+
+    Where arrival order across files matters, number the messages from a payload field.
+    """
     lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("seq"))
     return _lines(lines).select("seq", "payload")
 
