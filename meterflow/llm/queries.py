@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meterflow.llm import quality, secrets, simhash, substring, url_rules
+from meterflow.llm import (
+    decontaminate, language, lines, mixing, pii, quality, secrets, simhash, substring, url_rules,
+)
 from meterflow.llm.shared import table
 
 URL_RULES = [
@@ -12,6 +14,41 @@ URL_RULES = [
     ("com/fr/", "allow"), ("com/de/", "block"),
 ]
 
+# Targets of the mix: sources belong to domains, the rest is "other".
+DOMAINS = {
+    "web": ["src0", "src1", "src2", "src3", "src4", "src5", "src6", "src7"],
+    "books": ["src8", "src9", "src10", "src11", "src12"],
+    "reference": ["src13", "src14", "src15"],
+}
+MIX = mixing.Mix(
+    domains={"web": 40, "books": 30, "reference": 25, "other": 5},
+    langs={"en": 6, "de": 2, "fr": 2}, sources={"src0": 3}, budget_percent=60, max_epochs=3,
+    seed=17)
+PSEUDONYM_KEY = b"an example key; production passes its own"
+
+
+def domain():
+    chain = F.lit("other")
+    for name, sources in DOMAINS.items():
+        chain = F.when(F.col("source").isin(sources), name).otherwise(chain)
+    return chain
+
+
+def op1_decontaminate(spark, sf_dir):
+    return decontaminate.overlaps(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "n_equal")
+
+
+def op2_line_dedup(spark, sf_dir):
+    return lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
+
+
+def op3_language_id(spark, sf_dir):
+    model = language.TextModel.fit(table(spark, sf_dir, "documents"))
+    return language.identify(table(spark, sf_dir, "pages"), model)
+
 
 def op4_url_rules(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -19,6 +56,10 @@ def op4_url_rules(spark, sf_dir):
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op5_pii_pseudonyms(spark, sf_dir):
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
 def op6_substring_dedup(spark, sf_dir):
     return substring.dedup(table(spark, sf_dir, "documents"), with_text=False)
 
@@ -32,6 +73,10 @@ def op8_simhash(spark, sf_dir):
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_mixing(spark, sf_dir):
+    return mixing.select_mix(table(spark, sf_dir, "documents"), domain(), MIX)
+
+
 def op10_quality_rules(spark, sf_dir):
     return quality.judge(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
@@ -39,12 +84,81 @@ def op10_quality_rules(spark, sf_dir):
         "base_failed", "kept", "rule")
 
 
+def _sql_weight(name: str, weights: dict[str, int]) -> str:
+    cases = " ".join(f"WHEN {name} = '{value}' THEN {weight}" for value, weight in weights.items())
+    return f"CASE {cases} ELSE 1 END" if cases else "1"
+
+
+def _sql_level(number: int) -> str:
+    """One level of the share-out: budgets of the children from those of their parents."""
+    keys = mixing.LEVELS[: number + 1]
+    parent, name = ", ".join(keys[:-1]), keys[-1]
+    weights = (MIX.domains, MIX.langs, MIX.sources)[number]
+    by = f"PARTITION BY {parent} " if parent else ""
+    above = f"JOIN level{number - 1} above USING ({parent})" if parent else "CROSS JOIN root above"
+    return f"""
+        supply{number} AS (
+            SELECT {", ".join(keys)}, sum(tokens) * {MIX.max_epochs} AS supply,
+                {_sql_weight(name, weights)} AS weight
+            FROM leaves GROUP BY {", ".join(keys)}),
+        placed{number} AS (
+            SELECT *, coalesce(sum(supply) OVER ({by}ORDER BY supply / weight, {name}
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+                sum(weight) OVER ({by}ORDER BY supply / weight, {name}
+                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+            FROM (SELECT s.*, above.budget AS parent_budget FROM supply{number} s {above}) x),
+        filled{number} AS (
+            SELECT *, CAST(supply AS HUGEINT) * CAST(rest AS HUGEINT)
+                <= CAST(greatest(parent_budget - before, 0) AS HUGEINT) * weight AS filled
+            FROM placed{number}),
+        level{number} AS (
+            SELECT {", ".join(keys)}, supply, CASE WHEN filled THEN supply ELSE
+                (CAST(parent_budget - coalesce(sum(CASE WHEN filled THEN supply END) OVER ({by}), 0)
+                    AS HUGEINT) * weight)
+                // CAST(sum(CASE WHEN NOT filled THEN weight END) OVER ({by}) AS HUGEINT)
+                END AS budget
+            FROM filled{number})"""
+
+
+def _mixing_sql() -> str:
+    names = " ".join(
+        "WHEN source IN ({}) THEN '{}'".format(", ".join(f"'{s}'" for s in sources), name)
+        for name, sources in DOMAINS.items())
+    keys = ", ".join(mixing.LEVELS)
+    return rf"""
+        WITH counted AS (
+            SELECT doc_id, CASE {names} ELSE 'other' END AS domain, coalesce(lang, '') AS lang,
+                coalesce(source, '') AS source,
+                len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS n_tokens
+            FROM documents),
+        leaves AS (
+            SELECT {keys}, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM counted
+            WHERE n_tokens > 0 GROUP BY {keys}),
+        root AS (SELECT sum(tokens) * {MIX.budget_percent} // 100 AS budget FROM leaves),
+        {",".join(_sql_level(number) for number in range(3))},
+        shares AS (
+            SELECT {keys}, CAST(budget // (supply // {MIX.max_epochs}) AS BIGINT) AS epochs,
+                CAST(budget % (supply // {MIX.max_epochs}) AS BIGINT) AS tail
+            FROM level2),
+        drawn AS (
+            SELECT doc_id, {keys}, n_tokens, epochs, tail,
+                md5('{MIX.seed}:' || epochs || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+            FROM counted JOIN shares USING ({keys}) WHERE n_tokens > 0),
+        ordered AS (
+            SELECT *, sum(n_tokens) OVER (PARTITION BY {keys} ORDER BY key, n_tokens
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n_tokens AS start
+            FROM drawn),
+        used AS (
+            SELECT doc_id, {keys}, n_tokens, epochs,
+                CAST(greatest(0, least(n_tokens, tail - start)) AS BIGINT) AS tail_tokens
+            FROM ordered)
+        SELECT * FROM used WHERE epochs > 0 OR tail_tokens > 0"""
+
+
 QUERIES = {
-    "op4_url_rules": op4_url_rules,
-    "op6_substring_dedup": op6_substring_dedup,
-    "op7_secrets": op7_secrets,
-    "op8_simhash": op8_simhash,
-    "op10_quality_rules": op10_quality_rules,
+    query.__name__: query for query in (
+        op1_decontaminate, op2_line_dedup, op3_language_id, op4_url_rules, op5_pii_pseudonyms,
+        op6_substring_dedup, op7_secrets, op8_simhash, op9_mixing, op10_quality_rules)
 }
 
 ORACLES = {
@@ -72,4 +186,31 @@ ORACLES = {
             WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block'
             ELSE 'allow' END AS verdict
         FROM ruled""",
+    # Two substitutions in twelve tokens always leave a seed intact, so the seeds do not show here.
+    "op1_decontaminate": """
+        WITH doc_words AS (
+            SELECT doc_id, string_split(trim(regexp_replace(
+                lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') AS w
+            FROM documents),
+        item_words AS (
+            SELECT item_id, string_split(trim(regexp_replace(
+                lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') AS b
+            FROM benchmark),
+        doc_at AS (
+            SELECT doc_id, w, unnest(range(len(w))) AS p FROM doc_words),
+        item_at AS (
+            SELECT item_id, b, unnest(range(len(b))) AS q FROM item_words WHERE len(b) >= 12),
+        -- Ten of twelve equal tokens hold a run of at least four.
+        met AS (
+            SELECT DISTINCT doc_id, w, item_id, b, p - q AS d
+            FROM (SELECT *, w[p + 1 : p + 4] AS g FROM doc_at) x
+            JOIN (SELECT *, b[q + 1 : q + 4] AS g FROM item_at WHERE q + 4 <= len(b)) y
+                ON x.g = y.g),
+        windows AS (
+            SELECT doc_id, item_id, list_sum(list_transform(range(12), lambda k:
+                CASE WHEN d + s + k >= 0 AND w[d + s + k + 1] = b[s + k + 1] THEN 1 ELSE 0 END)) AS n
+            FROM (SELECT *, unnest(range(len(b) - 11)) AS s FROM met) z)
+        SELECT doc_id, item_id, CAST(max(n) AS INTEGER) AS n_equal
+        FROM windows WHERE n >= 10 GROUP BY doc_id, item_id""",
+    "op9_mixing": _mixing_sql(),
 }
