@@ -223,3 +223,13 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, **l
     return statistics(docs, keep or ["doc_id"]).withColumns({
         "base_failed": failed, "rule": fired(rules),
     }).withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+
+
+def accept(docs: DataFrame, labels: DataFrame, **learning) -> DataFrame:
+    """The documents, all columns under their own names, that the rules keep."""
+    plain = docs.select(*[F.col(f"`{name}`").alias(f"_c{n}") for n, name in enumerate(docs.columns)],
+                        "text")
+    rules = learn(docs, labels, **learning)
+    kept = statistics(plain, [f"_c{n}" for n in range(len(docs.columns))]).where(
+        ~base_failed() & fired(rules).isNull())
+    return kept.select(*[F.col(f"_c{n}").alias(name) for n, name in enumerate(docs.columns)])

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from meterflow.llm.components import connected
 from meterflow.llm.pigeonhole import close_pairs
-from meterflow.llm.shared import map_texts, staged
+from meterflow.llm.shared import map_texts, staged, with_key
 
 CHUNK = 1 << 16
 
@@ -72,3 +72,116 @@ def components(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFram
     named = staged(rooted.join(lowest, "root").select("fp", "component_id"), "components")
     # Both sides are plain scans: adaptive execution splits a fingerprint that many copies share.
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+# ---- wide fingerprints, for copies with many small changes ----
+
+WORDS = 16
+BLOCKS, BLOCK_BYTES = 42, 3
+WIDE_BITS = BLOCKS * BLOCK_BYTES * 8
+PAIRED_BUCKET = 32
+STEP, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+
+
+def most_distance(similarity: float) -> int:
+    """Differing bits of a wide fingerprint at a Jaccard similarity of the shingle sets."""
+    cosine = 2 * similarity / (1 + similarity)
+    return int(WIDE_BITS * np.arccos(cosine) / np.pi)
+
+
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """SimHash of ``WIDE_BITS`` bits, packed; every shingle counts once."""
+    hashes = np.unique(hashes)
+    ones = np.zeros(WORDS * 64, np.int64)
+    for at in range(0, len(hashes), 255):  # as many as a byte can count
+        words = hashes[at: at + 255, None] + STEP * np.arange(1, WORDS + 1, dtype=np.uint64)
+        words = (words ^ (words >> np.uint64(30))) * MIX1
+        words = (words ^ (words >> np.uint64(27))) * MIX2
+        octets = (words ^ (words >> np.uint64(31))).astype("<u8").view(np.uint8)
+        ones += np.add.reduce(np.unpackbits(octets, axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    bits = (2 * ones > len(hashes)).astype(np.uint8)
+    bits[WIDE_BITS:] = 0
+    return np.packbits(bits, bitorder="little")
+
+
+def block_values(packed: np.ndarray) -> np.ndarray:
+    """The value of each block of a packed fingerprint."""
+    octets = packed[: BLOCKS * BLOCK_BYTES].reshape(BLOCKS, BLOCK_BYTES).astype(np.int32)
+    return octets[:, 0] | (octets[:, 1] << 8) | (octets[:, 2] << 16)
+
+
+def _wide(docs: DataFrame, keep: list[str], shingle: int) -> DataFrame:
+    def of_batch(texts: list[bytes]):
+        for data in texts:
+            packed = wide_fingerprint(shingle_hashes(data, shingle))
+            yield packed.view("<i8").tolist(), block_values(packed).tolist()
+
+    return map_texts(docs, keep, "bits array<long>, blocks array<int>", of_batch)
+
+
+def _bucket_pairs(members: DataFrame, key: list[str], hot: bool) -> tuple[DataFrame, DataFrame]:
+    """Pairs of classes in one bucket, and the members of buckets that are too large to pair.
+
+    With ``hot`` nothing is left over: members of large buckets are paired with the smallest one.
+    """
+    buckets = staged(members.groupBy(*key).agg(
+        F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"),
+    ).where("n > 1"), "buckets")
+    pairs = buckets.where("n = 2").select(F.col("low").alias("u"), F.col("high").alias("v"))
+    shared = staged(
+        members.join(buckets.where("n > 2").select(*key, "n", "low"), key), "shared")
+    small = shared.where(F.col("n") <= PAIRED_BUCKET)
+    pairs = pairs.union(
+        small.select(*key, F.col("node").alias("u")).join(
+            small.select(*key, F.col("node").alias("v")), key).where("u < v").select("u", "v"))
+    large = shared.where(F.col("n") > PAIRED_BUCKET)
+    if hot:
+        pairs = pairs.union(large.where("node != low").select(F.col("low").alias("u"), F.col("node").alias("v")))
+    return pairs, large
+
+
+def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``_doc``, ``_digest``, ``node`` and ``root``: documents and the group of their fingerprint.
+
+    Linked are documents whose wide fingerprints share a block and differ in no more bits than
+    texts of the given similarity do. Up to 41 differing bits two of them always share a block; near
+    a similarity of 0.9 they do in nineteen of twenty cases, near 0.8 in more than half. Members of a
+    large bucket are split by each of their other blocks; if that leaves a large one, its members
+    are compared with the smallest. Two documents without words have the same fingerprint.
+    """
+    marked = staged(
+        _wide(with_key(docs), ["_doc", "_digest"], shingle)
+        .withColumn("node", F.xxhash64("bits")), "wide")
+    classes = staged(
+        marked.groupBy("node").agg(F.first("bits").alias("bits"), F.first("blocks").alias("blocks")), "classes")
+    keyed = classes.select("node", F.posexplode("blocks").alias("block", "value"))
+    pairs, large = _bucket_pairs(keyed, ["block", "value"], hot=False)
+    split = large.select("node", "block", "value").join(
+        classes.select("node", "blocks"), "node").select(
+        "node", "block", "value", F.posexplode("blocks").alias("block2", "value2")).where("block2 != block")
+    # The same two blocks meet from either side.
+    pair_key = split.select(
+        "node", F.least("block", "block2").alias("b1"), F.greatest("block", "block2").alias("b2"),
+        F.when(F.col("block") < F.col("block2"), F.col("value")).otherwise(F.col("value2")).alias("v1"),
+        F.when(F.col("block") < F.col("block2"), F.col("value2")).otherwise(F.col("value")).alias("v2")).distinct()
+    more, _ = _bucket_pairs(pair_key, ["b1", "b2", "v1", "v2"], hot=True)
+    candidates = pairs.union(more).distinct()
+    left = classes.select(F.col("node").alias("u"), F.col("bits").alias("a"))
+    right = classes.select(F.col("node").alias("v"), F.col("bits").alias("b"))
+    apart = sum((F.bit_count(F.col("a")[n].bitwiseXOR(F.col("b")[n])) for n in range(WORDS)), F.lit(0))
+    links = candidates.join(left, "u").join(right, "v").where(apart <= most_distance(similarity))
+    roots = connected(links.select("u", "v"))
+    return marked.select("_doc", "_digest", "node").join(roots, "node", "left").select(
+        "_doc", "_digest", "node", F.coalesce("root", "node").alias("root"))
+
+
+def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The documents, all columns, that come first in their group; of repeated rows one stays.
+
+    First is the smallest doc_id, null behind all others, then the smallest digest of the text.
+    """
+    keepers = staged(
+        near_groups(docs, shingle, similarity).groupBy("root")
+        .agg(F.min(F.struct("_doc", "_digest")).alias("first")).select("first.*"), "keepers")
+    return with_key(docs).join(keepers, ["_doc", "_digest"], "left_semi").dropDuplicates(
+        ["_doc", "_digest"]).select(*docs.columns)
