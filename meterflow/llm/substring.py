@@ -196,7 +196,8 @@ def _next_level(listed: DataFrame, base: int, length: int, lists: dict[int, str]
                         (other >> np.uint64(33)).astype(np.int32)))
             yield _listed_rows(batch, found)
 
-    return listed.select("_doc", "_text", *lists.values()).mapInArrow(run, LISTED)
+    # All columns go in: the documents are then shuffled once, for this step and for the last.
+    return listed.mapInArrow(run, LISTED)
 
 
 def _going_back(listed: DataFrame, last: bool, name: str) -> DataFrame:
