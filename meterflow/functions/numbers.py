@@ -25,8 +25,8 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
 
 
 def linear_decay(value: Column, zero_at: float) -> Column:
-    """1 at zero, falling to 0 at ``zero_at`` and beyond."""
-    return F.greatest(F.lit(0.0), 1.0 - value / F.lit(float(zero_at)))
+    """1 at zero, falling to 0 at ``zero_at`` and beyond; null stays null."""
+    return F.when(value >= zero_at, F.lit(0.0)).otherwise(1.0 - value / F.lit(float(zero_at)))
 
 
 def path_normaliser(n: int) -> float:

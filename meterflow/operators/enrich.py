@@ -42,9 +42,10 @@ def join_catalogue(events: DataFrame, lookup: DataFrame) -> DataFrame:
 
 def join_hierarchy(events: DataFrame, lookup: DataFrame) -> DataFrame:
     """Left join on the trimmed, upper-cased meter id."""
-    key = F.upper(blank_to_null(F.col("msn")))
-    if "seq" in events.columns:
-        key = spread_missing(key, F.col("seq"))
+    # Rows without a meter id are told apart by their other values where they are not numbered.
+    row = [F.col("seq")] if "seq" in events.columns else [
+        F.col(name) for name, kind in events.dtypes if not kind.startswith(("map", "variant"))]
+    key = spread_missing(F.upper(blank_to_null(F.col("msn"))), *row)
     joined = events.withColumn("_meter", key)
     joined = joined.join(lookup, joined["_meter"] == lookup["msn_normalized"], "left").drop("_meter")
     return joined.withColumn("hierarchy_match", F.col("msn_normalized").isNotNull())

@@ -1,21 +1,25 @@
 """Outage incidents: an occurrence paired with the first restoration that can close it.
 
 Per (meter, event pair), in arrival order: an occurrence opens an outage unless one is open; a
-restoration closes the open outage unless it lies before its start. The outcome of a row depends
-on everything before it, yet a meter may hold a large share of all rows. So the rows of a key are
-cut into chunks of arrival order, and three passes follow:
+restoration closes the open outage unless it lies before its start. As long as no restoration
+does, occurrences and restorations take turns: the first row of each run of occurrences pairs
+with the first row of the next run of restorations. That is ``lag`` and ``lead``, windowed by chunks of
+arrival order so that a hot key spreads over tasks, with one summary row per chunk for its neighbours.
+
+Only keys where a restoration lies before the start it follows need the state machine, since there the
+outcome of a row depends on everything before it. For them three passes follow:
 
 1. ``_summarise``: each chunk becomes a small table "state before -> state after";
 2. ``_carry``: per key, those tables are chained to give the state before each chunk;
 3. ``_replay``: each chunk runs once more from its true starting state and emits its incidents.
 
-Rows are sorted inside partitions and streamed, so no pass holds a group in memory, and a hot key
-spreads over as many tasks as it has chunks.
+Rows are sorted inside partitions and streamed, so no pass holds a group in memory.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heappop, heappush
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -112,26 +116,43 @@ _PIECE_TYPE = pa.struct([pa.field("upto", pa.int64()), pa.field("is_open", pa.bo
                          *_OPENING_FIELDS])
 
 
-def _step(pieces: list[list], opening: Opening | None, ends_us: int) -> None:
-    """Advance a chunk table by one row.
+class _Table:
+    """A chunk as a function: the state after it, by the state before it.
 
-    A piece ``[upto, state]`` says: if the chunk starts with an outage open since at most ``upto``,
-    the state now is ``state`` (None: closed). The first piece, ``upto`` lowest, stands for
-    starting closed. An outage open since later than every ``upto`` is still open.
+    Entries are told apart by the start of the outage that is open before the chunk: a piece
+    ``upto`` stands for starts after the piece before it and up to ``upto``, the lowest for
+    starting closed. An outage open since later than every ``upto`` is still open. Entries that
+    have come to the same state stay together, so a row costs the logarithm of the open states.
     """
-    if opening is not None:
-        for piece in pieces:
-            if piece[1] is None:
-                piece[1] = opening
-        return
-    for piece in pieces:
-        if piece[1] is not None and piece[1].start_us <= ends_us:
-            piece[1] = None
-    if ends_us > pieces[-1][0]:
-        pieces.append([ends_us, None])
-    merged = [piece for piece, later in zip(pieces, pieces[1:])
-              if not (piece[1] is later[1] or piece[1] == later[1])]
-    pieces[:] = merged + [pieces[-1]]
+
+    def __init__(self) -> None:
+        self.reach = _LOWEST
+        self.closed: list[int] = [_LOWEST]
+        self.open: list[tuple[int, int, Opening, list[int]]] = []
+        self.steps = 0
+
+    def occurs(self, opening: Opening) -> None:
+        if self.closed:
+            self.steps += 1
+            heappush(self.open, (opening.start_us, self.steps, opening, self.closed))
+            self.closed = []
+
+    def restored(self, ends_us: int) -> None:
+        while self.open and self.open[0][0] <= ends_us:
+            entries = heappop(self.open)[3]
+            if len(entries) > len(self.closed):
+                entries, self.closed = self.closed, entries
+            self.closed += entries
+        if ends_us > self.reach:
+            self.closed.append(ends_us)
+            self.reach = ends_us
+
+    def pieces(self) -> list[tuple[int, Opening | None]]:
+        states = [(upto, None) for upto in self.closed] + [
+            (upto, opening) for _, _, opening, entries in self.open for upto in entries]
+        states.sort(key=lambda piece: piece[0])
+        return [piece for piece, later in zip(states, [*states[1:], (None, 0)])
+                if piece[1] is not later[1]]
 
 
 def _after(pieces: list[dict], state: Opening | None) -> Opening | None:
@@ -155,13 +176,13 @@ _INCIDENT_SCHEMA = pa.schema([*_KEY_FIELDS, *_OPENING_FIELDS, pa.field("end_us",
 
 
 def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    key, pieces = None, []
+    key, table = None, _Table()
 
     def finished() -> tuple:
         closed = (None,) * len(_OPENING)
         return (*key, [
             dict(zip(["upto", "is_open", *_OPENING], (upto, state is not None, *(state or closed))))
-            for upto, state in pieces])
+            for upto, state in table.pieces()])
 
     for batch in batches:
         out = []
@@ -170,8 +191,11 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (msn, pair, chunk) != key:
                 if key is not None:
                     out.append(finished())
-                key, pieces = (msn, pair, chunk), [[_LOWEST, None]]
-            _step(pieces, Opening(start, seq, arrival, *context) if occurs else None, ends)
+                key, table = (msn, pair, chunk), _Table()
+            if occurs:
+                table.occurs(Opening(start, seq, arrival, *context))
+            else:
+                table.restored(ends)
         yield _rows_to_batch(out, _SUMMARY_SCHEMA)
     if key is not None:
         yield _rows_to_batch([finished()], _SUMMARY_SCHEMA)
@@ -215,6 +239,25 @@ def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _rows_to_batch(out, _INCIDENT_SCHEMA)
 
 
+def previous_states(rows: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """``previous_occurs``: the kind of the row before, per key in arrival order.
+
+    Rows are windowed by chunk, so that one key spreads over tasks; the first row of a chunk takes
+    the last row of the chunk before, known from one summary row per chunk.
+    """
+    key = ["msn", "event_tblrefid"]
+    chunked = rows.withColumn("_chunk", F.floor(F.col("seq") / chunk_rows).cast("bigint"))
+    lasts = chunked.groupBy(*key, "_chunk").agg(F.max_by("occurs", "seq").alias("_last"))
+    before = lasts.select(*key, "_chunk", F.lag("_last").over(
+        Window.partitionBy(*key).orderBy("_chunk")).alias("_carried"))
+    order = Window.partitionBy(*key, "_chunk").orderBy("seq")
+    return (
+        chunked.withColumn("_was", F.lag("occurs").over(order))
+        .join(before, [*key, "_chunk"])
+        .withColumn("previous_occurs", F.coalesce("_was", "_carried"))
+        .select(*rows.columns, "previous_occurs"))
+
+
 def _without_idle_rows(rows: DataFrame) -> DataFrame:
     """Drop rows whose predecessor in the chunk makes them irrelevant.
 
@@ -229,6 +272,48 @@ def _without_idle_rows(rows: DataFrame) -> DataFrame:
     return previous.where(~F.coalesce(idle, F.lit(False))).drop("_was", "_reach")
 
 
+_KEY = ["msn", "event_tblrefid"]
+_CHUNK_KEY = [*_KEY, "chunk"]
+
+
+def _neighbours(rows: DataFrame, value: Column, name: str, ahead: bool) -> DataFrame:
+    """``value`` of the row before (or after) each row, across the chunks of a key."""
+    order = Window.partitionBy(*_CHUNK_KEY).orderBy("seq")
+    move, pick = (F.lead, F.min_by) if ahead else (F.lag, F.max_by)
+    edges = rows.groupBy(*_CHUNK_KEY).agg(pick(value, F.col("seq")).alias("_edge"))
+    carried = edges.select(*_CHUNK_KEY, move("_edge").over(
+        Window.partitionBy(*_KEY).orderBy("chunk")).alias("_carried"))
+    return (
+        rows.withColumn(name, move(value).over(order)).join(carried, _CHUNK_KEY)
+        .withColumn(name, F.coalesce(name, "_carried")).drop("_carried"))
+
+
+def _taking_turns(active: DataFrame) -> DataFrame:
+    """The first row of each run of occurrences, with the restoration ``_next`` that follows it."""
+    was = _neighbours(active, F.col("occurs"), "_was", ahead=False)
+    turns = was.where(F.col("_was").isNull() | (F.col("_was") != F.col("occurs"))).drop("_was")
+    following = F.struct("ends_us", "event_us", "arrival_us")
+    return _neighbours(turns, following, "_next", ahead=True).where("occurs")
+
+
+def _by_machine(active: DataFrame) -> DataFrame:
+    """Incidents of keys that need the state machine."""
+    summaries = active.repartition(*_CHUNK_KEY).sortWithinPartitions(*_CHUNK_KEY, "seq").mapInArrow(
+        _summarise, f"{_KEY_TYPES}, chunk bigint, pieces array<{_PIECE}>")
+    states = (
+        summaries.repartition(*_KEY).sortWithinPartitions(*_CHUNK_KEY)
+        .mapInArrow(_carry, f"{_KEY_TYPES}, chunk bigint, {_OPENING_TYPES}"))
+    before = states.where(F.col("chunk").isNotNull()).select(
+        *_CHUNK_KEY, *[F.col(name).alias(f"open_{name}") for name in _OPENING])
+    closed = (
+        active.join(before, _CHUNK_KEY, "left")
+        .repartition(*_CHUNK_KEY).sortWithinPartitions(*_CHUNK_KEY, "seq")
+        .mapInArrow(_replay, f"{_KEY_TYPES}, {_OPENING_TYPES}, end_us bigint, end_arrival_us bigint"))
+    still_open = states.where(F.col("chunk").isNull()).drop("chunk").withColumns({
+        "end_us": F.lit(None).cast("bigint"), "end_arrival_us": F.lit(None).cast("bigint")})
+    return closed.unionByName(still_open)
+
+
 def pair_incidents(
     rows: DataFrame, *, guard: bool = True, whole_seconds: bool = True,
     chunk_rows: int = CHUNK_ROWS,
@@ -242,28 +327,24 @@ def pair_incidents(
     second = F.lit(1_000_000)
     start = (F.floor(F.col("event_us") / second) * second).cast("bigint")
     prepared = rows.select(
-        "msn", "event_tblrefid", F.floor(F.col("seq") / chunk_rows).cast("bigint").alias("chunk"),
+        *_KEY, F.floor(F.col("seq") / chunk_rows).cast("bigint").alias("chunk"),
         "seq", "occurs", (start if whole_seconds else F.col("event_us")).alias("start_us"),
         (F.col("event_us") if guard else F.lit(_HIGHEST)).alias("ends_us"),
         "event_us", "arrival_us", *CONTEXT)
-    chunk_key = ["msn", "event_tblrefid", "chunk"]
-    # Read by two passes, and far smaller than the events it was filtered from.
+    # Read by several passes, and far smaller than the events it was filtered from.
     active = materialise(
-        _without_idle_rows(prepared.repartition(*chunk_key)).select(*_ROW_COLUMNS))
-    summaries = active.sortWithinPartitions(*chunk_key, "seq").mapInArrow(
-        _summarise, f"{_KEY_TYPES}, chunk bigint, pieces array<{_PIECE}>")
-    states = (
-        summaries.repartition("msn", "event_tblrefid").sortWithinPartitions(*chunk_key)
-        .mapInArrow(_carry, f"{_KEY_TYPES}, chunk bigint, {_OPENING_TYPES}"))
-    before = states.where(F.col("chunk").isNotNull()).select(
-        *chunk_key, *[F.col(name).alias(f"open_{name}") for name in _OPENING])
-    closed = (
-        active.join(before, chunk_key, "left")
-        .repartition(*chunk_key).sortWithinPartitions(*chunk_key, "seq")
-        .mapInArrow(_replay, f"{_KEY_TYPES}, {_OPENING_TYPES}, end_us bigint, end_arrival_us bigint"))
-    still_open = states.where(F.col("chunk").isNull()).drop("chunk").withColumns({
-        "end_us": F.lit(None).cast("bigint"), "end_arrival_us": F.lit(None).cast("bigint")})
-    return closed.unionByName(still_open)
+        _without_idle_rows(prepared.repartition(*_CHUNK_KEY)).select(*_ROW_COLUMNS))
+    opened = materialise(_taking_turns(active))
+    unordered = materialise(
+        opened.where(F.col("_next.ends_us") < F.col("start_us")).select(*_KEY).distinct())
+    simple = opened if unordered.isEmpty() else opened.join(unordered, _KEY, "left_anti")
+    incidents = simple.select(
+        *_KEY, "start_us", F.col("seq").alias("start_seq"),
+        F.col("arrival_us").alias("start_arrival_us"), *CONTEXT,
+        F.col("_next.event_us").alias("end_us"), F.col("_next.arrival_us").alias("end_arrival_us"))
+    if unordered.isEmpty():
+        return incidents
+    return incidents.unionByName(_by_machine(active.join(unordered, _KEY, "left_semi")))
 
 
 # ---- incident records ------------------------------------------------------------------------
@@ -307,29 +388,34 @@ def incident_log(
         .select("*", "s.*").select(*INCIDENT_COLUMNS))
 
 
+def service_records(rows: DataFrame) -> DataFrame:
+    """Ids, times and minutes of the service variant for rows with ``incident_status``."""
+    closed = F.col("incident_status") == "CLOSED"
+    return rows.withColumns({
+        "incident_id": F.concat_ws(
+            ":", "msn", F.col("event_tblrefid").cast("string"), micros_text(F.col("start_us"), "T")),
+        "start_ts": micros_text(F.col("start_us")),
+        "end_ts": F.when(closed, micros_text(F.col("end_us"))),
+        "duration_minutes": F.when(closed, F.bround(
+            (F.col("end_us") - F.col("start_us")) / F.lit(60e6), 2))})
+
+
 def service_incident_log(incidents: DataFrame) -> DataFrame:
     """The service variant: fractions kept in ids and times, minutes rounded to 2, no alerts."""
-    minutes = (F.col("end_us") - F.col("start_us")) / F.lit(60e6)
-    statuses = [
-        F.struct(F.lit("OPEN").alias("incident_status"),
-                 F.lit(None).cast("string").alias("end_ts"),
-                 F.lit(None).cast("double").alias("duration_minutes")),
-        F.when(F.col("end_us").isNotNull(), F.struct(
-            F.lit("CLOSED").alias("incident_status"), micros_text(F.col("end_us")).alias("end_ts"),
-            F.bround(minutes, 2).alias("duration_minutes"))),
-    ]
-    incident_id = F.concat_ws(
-        ":", "msn", F.col("event_tblrefid").cast("string"), micros_text(F.col("start_us"), "T"))
-    return (
-        incidents.withColumns({
-            "incident_id": incident_id, "start_ts": micros_text(F.col("start_us")),
-            "s": F.explode(F.array_compact(F.array(*statuses)))})
-        .select("*", "s.*").select(*INCIDENT_COLUMNS))
+    statuses = F.array_compact(F.array(
+        F.lit("OPEN"), F.when(F.col("end_us").isNotNull(), F.lit("CLOSED"))))
+    return service_records(
+        incidents.withColumn("incident_status", F.explode(statuses))).select(*INCIDENT_COLUMNS)
 
 
-def outage_incidents(enriched: DataFrame, unresolved: str | None = "event", **options) -> DataFrame:
-    """Enriched events to the incident log."""
-    return incident_log(pair_incidents(outage_rows(enriched), **options), unresolved)
+def outage_incidents(
+    enriched: DataFrame, unresolved: str | None = "event", arrival_us: Column | None = None,
+    **options,
+) -> DataFrame:
+    """Enriched events to the incident log; judging by arrival time needs the arrival column."""
+    if unresolved == "arrival" and arrival_us is None:
+        raise ValueError("unresolved by arrival time needs arrival_us")
+    return incident_log(pair_incidents(outage_rows(enriched, arrival_us), **options), unresolved)
 
 
 def service_incidents(enriched: DataFrame, **options) -> DataFrame:

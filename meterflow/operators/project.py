@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from meterflow.schemas import PROCESSED_EVENT, PROCESSED_EVENT_NARROW, column_names
 from meterflow.operators.enrich import HIERARCHY_COLUMNS, SQL_CATALOGUE_COLUMNS
@@ -30,7 +30,12 @@ def enriched_events_sql(events: DataFrame) -> DataFrame:
         *column_names(PROCESSED_EVENT_NARROW), *SQL_CATALOGUE_COLUMNS, *HIERARCHY_COLUMNS)
 
 
+def record_json(rows: DataFrame) -> Column:
+    """A row as a JSON record: nulls written out, times as ``yyyy-MM-dd HH:mm:ss``."""
+    return F.to_json(F.struct(*rows.columns), {
+        "ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd HH:mm:ss"})
+
+
 def as_json(rows: DataFrame) -> DataFrame:
-    """One JSON ``value`` per row, nulls written out."""
-    return rows.select(
-        F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"))
+    """One JSON ``value`` per row."""
+    return rows.select(record_json(rows).alias("value"))

@@ -13,6 +13,7 @@ LEVELS = {
     "substation": "substation_name",
     "day": "day",
 }
+NO_NAME = "\u0000"
 _STATUS_RANK = "case incident_status when 'OPEN' then 0 when 'UNRESOLVED' then 1 else 2 end"
 
 
@@ -71,8 +72,9 @@ def _total_and_mean(count: str) -> dict[str, Column]:
 
 def outage_duration(log: DataFrame) -> DataFrame:
     """Sum, mean, maximum and exact median of the closed minutes, per level."""
+    # A missing name is a group of its own; the joins below need a value for it.
     closed = _per_level(log.where(F.col("incident_status") == "CLOSED")).select(
-        "level", F.coalesce("name", F.lit("")).alias("name"), F.col("duration_minutes"))
+        "level", F.coalesce("name", F.lit(NO_NAME)).alias("name"), F.col("duration_minutes"))
     totals = (
         closed.groupBy("level", "name")
         .agg(F.count("*").alias("closed"), _total_ms().alias("_ms"),
@@ -80,7 +82,8 @@ def outage_duration(log: DataFrame) -> DataFrame:
         .withColumns(_total_and_mean("closed")).drop("_ms"))
     median = exact_percentile(
         closed, ["level", "name"], "duration_minutes", 0.5, bin_width=1.0, out="median_minutes")
-    return totals.join(median, ["level", "name"])
+    return totals.join(median, ["level", "name"]).withColumn(
+        "name", F.nullif("name", F.lit(NO_NAME)))
 
 
 def network_rollup(log: DataFrame) -> DataFrame:
@@ -95,5 +98,3 @@ def network_rollup(log: DataFrame) -> DataFrame:
              _total_ms().alias("_ms"))
         .withColumns(_total_and_mean("outages"))
         .withColumn("depth", 3 - F.bit_count("_grouping")).drop("_grouping", "_ms"))
-
-

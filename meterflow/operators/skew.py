@@ -10,18 +10,22 @@ from meterflow.session import shared_dir
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
+PARTS = 4096
 
 
 def fits_broadcast(
     source: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES,
 ) -> bool:
-    """Measure a lookup source: at most ``max_rows + 1`` rows are read, their text width summed."""
+    """Measure a lookup source: its rows and the bytes of its values, by one aggregate.
+
+    Counted whole and combined map-side: a limit would gather up to its number of rows from
+    every partition in one task, just when the source is too large.
+    """
     width = reduce(
         lambda a, b: a + b,
-        [F.coalesce(F.length(F.col(name).cast("string")), F.lit(0)) + 8 for name in source.columns])
-    rows, size = (
-        source.limit(max_rows + 1)
-        .agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first())
+        [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 8
+         for name in source.columns])
+    rows, size = source.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 
@@ -40,12 +44,12 @@ def materialise(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
-def spread_missing(key: Column, row_id: Column, buckets: int = 4096) -> Column:
+def spread_missing(key: Column, *row: Column, buckets: int = 4096) -> Column:
     """A join key whose null values are spread over many values that match nothing.
 
     Rows without key would otherwise hash to one task of a shuffled outer join.
     """
-    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(row_id), F.lit(buckets)).cast("string"))
+    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*row), F.lit(buckets)).cast("string"))
     return F.coalesce(key, filler)
 
 
@@ -59,28 +63,35 @@ def last_wins(lookup: DataFrame, key: str, ordinal: str = "ordinal") -> DataFram
     )
 
 
-def global_rank(rows: DataFrame, order: list[Column], rank: str) -> DataFrame:
-    """Number rows 1..n in a total order without sending all of them through one task.
+def with_positions(placed: DataFrame, position: str) -> DataFrame:
+    """Number the rows of a materialised table 0..n-1 in the order of its partitions.
 
-    Rows are range partitioned and sorted, and materialised so that both uses below see the same
-    layout; each partition's offset is the number of rows before it. Only the per-partition
-    counts are ranked in a single task.
+    Only the row counts of the partitions are added up in a single task.
     """
-    placed = materialise(
-        rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id()))
+    marked = placed.withColumn("_place", F.monotonically_increasing_id())
     split = F.shiftright("_place", 33)
     within = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = placed.groupBy(split.alias("_split")).agg(F.count("*").alias("_rows"))
+    counts = marked.groupBy(split.alias("_split")).agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_split", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    # One row per partition of the shuffle: bounded by the partition count.
+    # One row per partition: bounded by the partition count.
     return (
-        placed.withColumn("_split", split).join(F.broadcast(offsets), "_split")
-        .withColumn(rank, F.col("_offset") + within + 1)
-        .drop("_split", "_offset", "_place")
-    )
+        marked.withColumn("_split", split).join(F.broadcast(offsets), "_split")
+        .withColumn(position, F.col("_offset") + within).drop("_split", "_offset", "_place"))
+
+
+def global_rank(rows: DataFrame, order: list[Column], rank: str) -> DataFrame:
+    """Number rows 1..n in a total order without sending all of them through one task.
+
+    Rows are range partitioned and sorted; each partition's offset is the number of rows before it.
+    The input is materialised first, as range partitioning samples it before shuffling it, and
+    again once placed, so that counting and numbering see the same layout.
+    """
+    placed = materialise(
+        materialise(rows).repartitionByRange(*order).sortWithinPartitions(*order))
+    return with_positions(placed, "_position").withColumn(
+        rank, F.col("_position") + 1).drop("_position")
 
 
 def exact_percentile(
@@ -90,34 +101,32 @@ def exact_percentile(
     """Exact percentile with linear interpolation, one row per group.
 
     The built-in ``percentile`` keeps every distinct value of a group in one buffer. Here equal
-    values are first counted, a histogram of ``bin_width`` wide bins locates the bin that holds
-    each of the two order statistics, and only those bins are ordered value by value.
+    values are counted, a histogram of ``bin_width`` wide bins locates the bin of each of the two
+    order statistics, those bins are cut into ``PARTS`` finer ones and located again, and only what
+    is left in the two finer bins is ordered. The counted values are materialised, so the
+    input runs once. Group columns must not be null.
     """
-    values = (
+    values = materialise(
         rows.where(F.col(value).isNotNull())
         .groupBy(*group, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-        .withColumn("_bin", F.floor(F.col("_v") / bin_width))
-    )
-    per_bin = values.groupBy(*group, "_bin").agg(F.sum("_n").alias("_bn"))
-    whole = Window.partitionBy(*group)
-    running = whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    position = (F.col("_total") - 1) * F.lit(float(fraction))
-    located = (
-        per_bin.withColumns({
-            "_upto": F.sum("_bn").over(running), "_total": F.sum("_bn").over(whole)})
-        .withColumn("_before", F.col("_upto") - F.col("_bn"))
-        .withColumn("_pos", position)
-        .where((F.col("_upto") > F.floor("_pos")) & (F.col("_before") <= F.ceil("_pos")))
-        .select(*group, "_bin", "_before", "_pos")
-    )
-    in_bin = (
-        Window.partitionBy(*group, "_bin").orderBy("_v")
+        .withColumn("_bin", F.floor(F.col("_v") / bin_width)))
+    total = values.groupBy(*group).agg(F.sum("_n").alias("_total")).select(
+        *group, ((F.col("_total") - 1) * F.lit(float(fraction))).alias("_pos"))
+    if not group:
+        total = total.where(F.col("_pos").isNotNull())
+    wide = _located(values, total.withColumn("_base", F.lit(0).cast("bigint")), group, ["_bin"])
+    part = F.floor((F.col("_v") / bin_width - F.col("_bin")) * PARTS)
+    inside = values.join(wide.withColumnRenamed("_before", "_base"), [*group, "_bin"]).withColumn(
+        "_part", part)
+    narrow = _located(inside.drop("_base", "_pos"), wide.select(
+        *group, "_bin", "_pos", F.col("_before").alias("_base")), [*group, "_bin"], ["_part"])
+    in_part = (
+        Window.partitionBy(*group, "_bin", "_part").orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ranked = (
-        values.join(located, [*group, "_bin"])
-        .withColumn("_last", F.col("_before") + F.sum("_n").over(in_bin))
-        .withColumn("_first", F.col("_last") - F.col("_n"))
-    )
+        inside.drop("_base", "_pos").join(narrow, [*group, "_bin", "_part"])
+        .withColumn("_last", F.col("_before") + F.sum("_n").over(in_part))
+        .withColumn("_first", F.col("_last") - F.col("_n")))
     low, high = F.floor("_pos"), F.ceil("_pos")
 
     def holds(place: Column) -> Column:
@@ -126,7 +135,25 @@ def exact_percentile(
     picked = ranked.groupBy(*group).agg(
         F.max(F.when(holds(low), F.col("_v"))).alias("_low"),
         F.max(F.when(holds(high), F.col("_v"))).alias("_high"),
-        F.max(F.col("_pos") - F.floor("_pos")).alias("_part"),
-    )
+        F.max(F.col("_pos") - F.floor("_pos")).alias("_share"))
     return picked.select(
-        *group, (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")).alias(out))
+        *group, (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")).alias(out))
+
+
+def _located(values: DataFrame, wanted: DataFrame, group: list[str], by: list[str]) -> DataFrame:
+    """The bins that hold the positions around ``_pos``, and ``_before``, the rows before each.
+
+    ``_base`` counts the rows before the group. One row per bin is ordered, no values.
+    """
+    per_bin = values.groupBy(*group, *by).agg(F.sum("_n").alias("_bn"))
+    running = Window.partitionBy(*group).orderBy(*by).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    summed = per_bin.withColumn("_upto", F.sum("_bn").over(running))
+    joined = summed.join(wanted, group) if group else summed.join(
+        wanted.withColumn("_all", F.lit(1)), F.col("_all") == F.lit(1)).drop("_all")
+    return (
+        joined.withColumns({
+            "_upto": F.col("_upto") + F.col("_base"),
+            "_before": F.col("_upto") + F.col("_base") - F.col("_bn")})
+        .where((F.col("_upto") > F.floor("_pos")) & (F.col("_before") <= F.ceil("_pos")))
+        .select(*group, *by, "_before", "_pos"))

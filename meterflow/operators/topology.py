@@ -10,7 +10,8 @@ rate, so the known side is first folded into one step function of time per feede
   until it expires itself, so at any time a meter counts once, with its earliest coordinates;
 * entering and leaving are +1 / -1 changes; their running sums per feeder give the number of
   meters and the coordinate sums between two changes;
-* an unknown outage then meets one row per feeder that has evidence at its time.
+* an unknown outage is laid once into the steps of every feeder that has evidence in its bucket
+  and takes the step in force there, so the work is outages times feeders plus steps.
 
 Time is cut into buckets so that all this is keyed by (feeder, bucket) or (bucket) and runs in
 parallel; within a bucket, changes before its start collapse into one row. Evidence is ordered by
@@ -125,24 +126,41 @@ def evidence_steps(known: DataFrame, bucket_us: int = BUCKET_US) -> DataFrame:
             F.col("to.us").alias("to_us"), F.col("to.seq").alias("to_seq")))
 
 
+def asked_feeders(unknown: DataFrame, steps: DataFrame, bucket_us: int = BUCKET_US) -> DataFrame:
+    """One row per unknown outage and feeder with evidence in its bucket."""
+    outages = unknown.select(
+        "msn", "ts", "us", "seq", "latitude", "longitude",
+        _bucket(F.col("us"), bucket_us).alias("bucket"))
+    return outages.join(steps.select("bucket", "feeder_name").distinct(), "bucket")
+
+
 def candidates(occurrences: DataFrame, bucket_us: int = BUCKET_US) -> DataFrame:
     """One row per unknown outage and feeder with evidence, scored and ranked."""
     steps = evidence_steps(known_evidence(occurrences), bucket_us)
-    unknown = unknown_outages(occurrences).select(
-        "msn", "ts", "us", "seq", "latitude", "longitude",
-        _bucket(F.col("us"), bucket_us).alias("bucket"))
-    after = (F.col("us") > F.col("from_us")) | (
-        (F.col("us") == F.col("from_us")) & (F.col("seq") > F.col("from_seq")))
-    until = (F.col("us") < F.col("to_us")) | (
-        (F.col("us") == F.col("to_us")) & (F.col("seq") <= F.col("to_seq")))
+    asked = asked_feeders(unknown_outages(occurrences), steps, bucket_us)
+    values = ["substation_name", "n", "centroid_lat", "centroid_lon", "first_us", "first_seq",
+              "to_us", "to_seq"]
+    # A step holds after its position, so an outage at that very position comes before it.
+    laid = steps.select(
+        "bucket", "feeder_name", F.struct(
+            F.col("from_us").alias("us"), F.col("from_seq").alias("seq")).alias("pos"),
+        F.lit(1).alias("kind"), F.struct(*values).alias("step")).unionByName(
+        asked.withColumns({"pos": F.struct("us", "seq"), "kind": F.lit(0)}),
+        allowMissingColumns=True)
+    sofar = Window.partitionBy("feeder_name", "bucket").orderBy("pos", "kind").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    until = F.col("pos") <= F.struct(F.col("step.to_us").alias("us"), F.col("step.to_seq").alias("seq"))
+    met = (
+        laid.withColumn("step", F.last("step", ignorenulls=True).over(sofar))
+        .where((F.col("kind") == 0) & F.col("step").isNotNull() & until)
+        .select("msn", "ts", "us", "seq", "latitude", "longitude", "feeder_name", "step.*"))
     # The rank is keyed by the outage, not the bucket: adaptive execution may then split a bucket
     # that holds many unknown outages, since no later step relies on its partitioning.
     per_outage = Window.partitionBy("seq")
     distance = haversine_km(
         F.col("latitude"), F.col("longitude"), F.col("centroid_lat"), F.col("centroid_lon"))
     scored = (
-        unknown.join(steps, "bucket").where(after & until)
-        .withColumn("distance", distance)
+        met.withColumn("distance", distance)
         .withColumn("cooccurrence", F.col("n") / F.max("n").over(per_outage))
         .withColumn("proximity", linear_decay(F.col("distance"), PROXIMITY_ZERO_KM))
         .withColumn("score", COOCCURRENCE_WEIGHT * F.col("cooccurrence")

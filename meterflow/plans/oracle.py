@@ -283,7 +283,7 @@ select msn, {_text("w")} as window_start, {_text("w + 900000000")} as window_end
 select msn, event_tblrefid, seq, occurs, us as event_us from outage_rows""",
     "outage_previous_state": _BASE + _OUTAGE_ROWS + """
 select msn, event_tblrefid, seq, occurs, lag(occurs) over (
-  partition by msn, event_tblrefid, seq // 1048576 order by seq) as previous_occurs
+  partition by msn, event_tblrefid order by seq) as previous_occurs
 from outage_rows""",
     "outage_incidents": _JOB_LOG + f"""
 select {_LOG_COLUMNS} from log where incident_status <> 'UNRESOLVED'""",
@@ -321,11 +321,11 @@ select level, name, count(*) filter (where incident_status = 'OPEN') as opened,
     / nullif(count(*) filter (where incident_status = 'OPEN'), 0)::double, 6) as share_closed
 from levelled group by level, name""",
     "outage_duration": _JOB_LOG + _LEVELS + f"""
-select level, coalesce(name, '') as name, count(*) as closed,
+select level, name, count(*) as closed,
   {_MINUTES} as total_minutes, {_MINUTES} / count(*)::double as mean_minutes,
   round(max(duration_minutes), 6) as max_minutes,
   round(quantile_cont(duration_minutes, 0.5), 6) as median_minutes
-from levelled where incident_status = 'CLOSED' group by level, coalesce(name, '')""",
+from levelled where incident_status = 'CLOSED' group by level, name""",
     "reliability_rollup": _JOB_LOG + f"""
 select substation_name, feeder_name, dtr_name, count(*) as outages,
   {_MINUTES} as total_minutes, {_MINUTES} / count(*)::double as mean_minutes,
@@ -357,7 +357,8 @@ select concat(msn, ':', {_ISO}) as inference_id, 'topology-inference' as use_cas
 from ranked where candidate_rank <= 3""",
     "haversine_distance": _BASE + """
 select seq, round(km, 6) as km,
-  round(greatest(0.0::double, 1.0::double - km / 20.0::double), 6) as proximity
+  case when km is not null
+    then round(greatest(0.0::double, 1.0::double - km / 20.0::double), 6) end as proximity
 from (select seq, 2 * 6371.0088 * atan2(sqrt(chord), sqrt(1 - chord)) as km
   from (select seq, pow(sin(radians(28.2 - latitude) / 2), 2)
       + cos(radians(latitude)) * cos(radians(28.2)) * pow(sin(radians(77.2 - longitude) / 2), 2)
@@ -410,10 +411,24 @@ from (select count(*) as rows, count(distinct msn) as meters, unnest([
     "score_quantile": _SCORED + """
 select round(quantile_cont(decision, 0.1), 9) as quantile from labelled""",
     "scorer_parity": _SCORED + """
-select count(*) as rows, count(*) as matching_predictions, 'STRICT' as verdict from labelled""",
+select count(*) as rows, count(*) as matching_predictions, 0::bigint as mismatching_predictions,
+  'STRICT' as verdict, 0.0::double as max_difference, 0.0::double as mean_difference
+from labelled""",
+    "iforest_train_summary": _BASE + _FEATURES + """
+select 200::integer as trees, least(256, count(*) filter (where avg_voltage_15m is not null
+    and voltage_range_15m is not null))::integer as max_samples,
+  concat_ws(',',
+    case when min(event_count_15m) < max(event_count_15m) then 'event_count_15m' end,
+    case when min(avg_voltage_15m) < max(avg_voltage_15m) then 'avg_voltage_15m' end,
+    case when min(voltage_range_15m) < max(voltage_range_15m) then 'voltage_range_15m' end,
+    case when min(power_failure_count_15m) < max(power_failure_count_15m)
+      then 'power_failure_count_15m' end) as features,
+  count(*) as rows, 0.1::double as flagged_share from features""",
 }
+ORACLES["scorer_parity_trained"] = ORACLES["scorer_parity"]
 ORACLES["processed_json"] = ORACLES["processed_events_narrow"]
 ORACLES["outage_incidents_chunked"] = ORACLES["outage_incidents"]
+ORACLES["outage_previous_state_chunked"] = ORACLES["outage_previous_state"]
 
 # A stream emits a window once the latest event, less five seconds, has reached its end.
 def _emitted_windows(sql: str) -> str:
@@ -429,6 +444,27 @@ ORACLES |= {
     "stream_meter_features": _emitted_windows(ORACLES["meter_features_15m"]),
     "stream_anomalies": _emitted_windows(ORACLES["anomaly_results"]),
     "stream_outages": ORACLES["outage_incidents"],
+    "stream_service_outages": ORACLES["outage_service_variant"],
+    # Alerts of open outages wait for the watermark, 15 minutes behind the latest outage row.
+    "stream_unresolved": _JOB_LOG + f"""
+select {_LOG_COLUMNS} from log where incident_status = 'UNRESOLVED' and (
+  incident_id in (select incident_id from log where incident_status = 'CLOSED')
+  or epoch_us(start_ts::timestamp) + 300000000
+    <= (select max(us) // 1000 * 1000 - 900000000 from outage_rows))""",
     "stream_topology": ORACLES["topology_top3"],
     "stored_features": ORACLES["meter_features_15m"],
 }
+ORACLES |= {
+    "features_json": ORACLES["meter_features_15m"],
+    "anomalies_json": ORACLES["anomaly_results"],
+    "catalogue_csv": ORACLES["enrich_catalogue"],
+    "hierarchy_csv": ORACLES["hierarchy_lookup"],
+    "hierarchy_csv_positional": ORACLES["hierarchy_lookup"],
+    "events_jsonl": f"select * exclude (seq) from ({ORACLES['parse_events']})",
+    "training_csv": f"select * exclude (window_end) from ({ORACLES['meter_features_15m']})",
+    "scored_csv": ORACLES["anomaly_scores_pandas"],
+    "model_file_scores": ORACLES["anomaly_scores_pandas"],
+    "arrival_stamps": _BASE + _FEATURES + "select count(*) as rows, count(*) as stamped from features",
+    "stream_enriched": ORACLES["enriched_events"],
+    "stream_quarantine": ORACLES["quarantine_events"],
+}

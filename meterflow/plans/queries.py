@@ -16,9 +16,13 @@ from meterflow.operators import (
 from meterflow.operators.skew import materialise
 from meterflow.plans import batch, derive
 from meterflow.plans.demo_model import DEMO_MODEL
-from meterflow.schemas import PROCESSED_EVENT_NARROW, column_names
+from meterflow.schemas import (
+    ANOMALY_RESULT, METER_FEATURES, NETWORK_HIERARCHY, PROCESSED_EVENT_NARROW, TRAINING_FEATURES,
+    column_names,
+)
 from meterflow.session import scratch_path
-from meterflow.sinks.tables import append_table, read_table
+from meterflow.sinks.tables import append_table, read_table, write_scored_csv
+from meterflow.sources import lookups, messages
 from meterflow.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,6 +129,105 @@ def processed_json(spark, sf_dir):
         F.from_json("value", PROCESSED_EVENT_NARROW).alias("r")).select("r.*")
 
 
+def _record_columns(rows, ddl):
+    """Written as JSON records and read back, times staying text as other readers see them."""
+    return project.as_json(rows).select(
+        F.from_json("value", ddl.replace(" timestamp", " string")).alias("r")).select("r.*")
+
+
+def features_json(spark, sf_dir):
+    return rounded(_record_columns(meter_features(spark, sf_dir), METER_FEATURES),
+                   "avg_voltage_15m", "voltage_range_15m", digits=7)
+
+
+def anomalies_json(spark, sf_dir):
+    results = anomaly.anomaly_results(meter_features(spark, sf_dir), DEMO_MODEL)
+    return rounded(rounded(_record_columns(results, ANOMALY_RESULT),
+                           "avg_voltage_15m", "voltage_range_15m", digits=7),
+                   "anomaly_score", digits=9)
+
+
+# ---- files: derived tables written in their file forms and read back ---------------------------
+
+def catalogue_csv(spark, sf_dir):
+    """The catalogue as CSV with header and padded cells, joined to the events."""
+    path = scratch_path(spark, "catalogue")
+    rows = derive.event_catalogue(spark).orderBy("ordinal").drop("ordinal")
+    padded = rows.select(*[F.concat(F.lit(" "), F.col(c).cast("string"), F.lit(" ")).alias(c)
+                           for c in rows.columns])
+    padded.coalesce(1).write.option("header", True).option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    lookup = enrich.catalogue_lookup(lookups.event_catalogue(spark, path))
+    return enrich.join_catalogue(validated(spark, sf_dir), lookup).select(
+        "seq", "evnt_id", "event_catalogue_match", *enrich.CATALOGUE_COLUMNS)
+
+
+def _hierarchy_file(spark, sf_dir, header):
+    path = scratch_path(spark, "hierarchy")
+    rows = derive.network_hierarchy(spark, sf_dir)
+    columns = column_names(NETWORK_HIERARCHY)
+    rows.coalesce(1).sortWithinPartitions("ordinal").select(*columns).write.option(
+        "header", header).csv(path)
+    return lookups.network_hierarchy(spark, path, header)
+
+
+def hierarchy_csv(spark, sf_dir):
+    """The hierarchy as CSV with header; of duplicate meters the last row wins."""
+    return enrich.hierarchy_lookup(_hierarchy_file(spark, sf_dir, True))
+
+
+def hierarchy_csv_positional(spark, sf_dir):
+    return enrich.hierarchy_lookup(_hierarchy_file(spark, sf_dir, False))
+
+
+def events_jsonl(spark, sf_dir):
+    """Messages as JSON lines with blank lines between, parsed from the file."""
+    path = scratch_path(spark, "jsonl")
+    derive.raw_messages(spark, sf_dir).select(
+        F.explode(F.array("payload", F.lit("  "))).alias("value")).write.text(path)
+    return parse.parse_events(messages.jsonl_messages(spark, path)).select(
+        *[name for name in PARSED if name != "seq"])
+
+
+def training_csv(spark, sf_dir):
+    """Feature windows exported as CSV and read as training rows."""
+    path = scratch_path(spark, "training")
+    timed_text(meter_features(spark, sf_dir), "window_start").select(
+        *column_names(TRAINING_FEATURES)).write.option("header", True).csv(path)
+    rows = messages.training_features(spark, path)
+    return rounded(timed_text(rows, "window_start"), "avg_voltage_15m", "voltage_range_15m", digits=7)
+
+
+def scored_csv(spark, sf_dir):
+    """Scored windows written as CSV, most anomalous first, and read back."""
+    path = scratch_path(spark, "scored")
+    scored = timed_text(_scored(spark, sf_dir), "window_start").select(*SCORES)
+    write_scored_csv(scored.orderBy(*forest.most_anomalous_first()), path)
+    ddl = ("msn string, window_start string, event_count_15m bigint, decision double, "
+           "anomaly_score double, prediction int, anomaly_label string")
+    rows = spark.read.schema(ddl).option("header", True).csv(path)
+    return rounded(rows, "decision", "anomaly_score", digits=9)
+
+
+def model_file_scores(spark, sf_dir):
+    """The model written as a JSON document, loaded again and applied."""
+    path = scratch_path(spark, "model")
+    forest.save_model(spark, DEMO_MODEL, path)
+    model = forest.load_model(spark, path)
+    return _score_columns(forest.score_rows(meter_features(spark, sf_dir), model))
+
+
+def arrival_stamps(spark, sf_dir):
+    """Arrival times of a stored table lie between the start of the write and now."""
+    root = scratch_path(spark, "stamped")
+    append_table(meter_features(spark, sf_dir), "meter_features_15m", root)
+    stamp = F.col("ingested_at")
+    return read_table(spark, "meter_features_15m", root).agg(
+        F.count("*").alias("rows"), F.count_if(
+            stamp.isNotNull() & (stamp <= F.current_timestamp())
+            & (stamp > F.current_timestamp() - F.expr("interval 1 hour"))).alias("stamped"))
+
+
 # ---- features --------------------------------------------------------------------------------
 
 def feature_eligible(spark, sf_dir):
@@ -152,13 +255,16 @@ def outage_events(spark, sf_dir):
     return rows.select("msn", "event_tblrefid", "seq", "occurs", "event_us")
 
 
-def outage_previous_state(spark, sf_dir):
-    """Occurrence or restoration next to the preceding one of the same meter and chunk."""
-    rows = outage.outage_rows(batch.derived_enriched(spark, sf_dir)).withColumn(
-        "chunk", F.floor(F.col("seq") / outage.CHUNK_ROWS))
-    order = Window.partitionBy("msn", "event_tblrefid", "chunk").orderBy("seq")
-    return rows.select("msn", "event_tblrefid", "seq", "occurs",
-                       F.lag("occurs").over(order).alias("previous_occurs"))
+def outage_previous_state(spark, sf_dir, **options):
+    """Occurrence or restoration next to the preceding one of the same meter."""
+    rows = outage.outage_rows(batch.derived_enriched(spark, sf_dir))
+    return outage.previous_states(rows, **options).select(
+        "msn", "event_tblrefid", "seq", "occurs", "previous_occurs")
+
+
+def outage_previous_state_chunked(spark, sf_dir):
+    """The same with chunks so small that most meters span several."""
+    return outage_previous_state(spark, sf_dir, chunk_rows=500)
 
 
 def outage_incidents(spark, sf_dir):
@@ -188,8 +294,8 @@ def outage_rejects(spark, sf_dir):
 # ---- reliability -----------------------------------------------------------------------------
 
 def incident_log(spark, sf_dir):
-    """The stored incident table the reports read, possibly several times."""
-    return materialise(outage.outage_incidents(batch.derived_enriched(spark, sf_dir)))
+    """The incident table of the reports that read it once."""
+    return outage.outage_incidents(batch.derived_enriched(spark, sf_dir))
 
 
 def incident_latest(spark, sf_dir):
@@ -197,7 +303,7 @@ def incident_latest(spark, sf_dir):
 
 
 def active_incidents(spark, sf_dir):
-    return reliability.active_incidents(incident_log(spark, sf_dir)).select(
+    return reliability.active_incidents(materialise(incident_log(spark, sf_dir))).select(
         "incident_id", "msn", "start_ts", "feeder_name", "substation_name")
 
 
@@ -210,7 +316,7 @@ def restoration_activity(spark, sf_dir):
 
 
 def outage_duration(spark, sf_dir):
-    return rounded(reliability.outage_duration(incident_log(spark, sf_dir)),
+    return rounded(reliability.outage_duration(materialise(incident_log(spark, sf_dir))),
                    "max_minutes", "median_minutes")
 
 
@@ -320,21 +426,32 @@ def score_quantile(spark, sf_dir):
         scored, [], "decision", forest.CONTAMINATION, 1e-4, "quantile"), "quantile", digits=9)
 
 
+def _parity(rows, model, pandas_scored):
+    """The pandas scorer against the SQL scorer on every window; differences in whole 1e-10."""
+    report = forest.parity(pandas_scored, forest.score_rows(rows, model, forest.decision_sql))
+    return report.select(
+        "rows", "matching_predictions", "mismatching_predictions", "verdict",
+        F.round("max_difference", 10).alias("max_difference"),
+        F.round("mean_difference", 10).alias("mean_difference"))
+
+
 def scorer_parity(spark, sf_dir):
-    """The pandas scorer against the SQL scorer on every window."""
     rows = materialise(meter_features(spark, sf_dir))
-    report = forest.parity(
-        forest.score_rows(rows, DEMO_MODEL),
-        forest.score_rows(rows, DEMO_MODEL, forest.decision_sql))
-    return report.select("rows", "matching_predictions", "verdict")
+    return _parity(rows, DEMO_MODEL, forest.score_rows(rows, DEMO_MODEL))
+
+
+def scorer_parity_trained(spark, sf_dir):
+    """The same for a model of 200 trees trained on all windows."""
+    rows = materialise(meter_features(spark, sf_dir))
+    model, scored = forest.train_and_score(rows)
+    return _parity(rows, model, scored)
 
 
 def iforest_train_summary(spark, sf_dir):
     """Train on all windows with the default settings, score them, and summarise."""
     rows = materialise(meter_features(spark, sf_dir))
-    model = forest.train(rows)
-    summary = forest.anomaly_count(forest.score_rows(rows, model))
-    return summary.select(
+    model, scored = forest.train_and_score(rows)
+    return forest.anomaly_count(scored).select(
         F.lit(model.n_estimators).alias("trees"), F.lit(model.max_samples).alias("max_samples"),
         F.lit(",".join(model.features)).alias("features"), "rows",
         F.round(F.col("anomalies") / F.col("rows"), 1).alias("flagged_share"))
@@ -354,6 +471,25 @@ def _stream_anomalies(enriched, target):
     return jobs.start_features_and_anomalies(enriched, DEMO_MODEL, target)
 
 
+def stream_enriched(spark, sf_dir):
+    """Enriched events landed for the use cases."""
+    root = scratch_path(spark, "enriched")
+    target = jobs.Target(f"{root}/tables", f"{root}/checkpoints", available_now=True)
+    jobs.start_enriched(batch.derived_enriched_stream(spark, sf_dir), target).awaitTermination()
+    return spark.read.parquet(f"{target.root}/{jobs.ENRICHED}").select(
+        "seq", "msn", "evnt_id", "ts", "latitude", "longitude", "event_catalogue_match",
+        *enrich.CATALOGUE_COLUMNS, "hierarchy_match", "msn_normalized",
+        *enrich.HIERARCHY_COLUMNS, "validation_status")
+
+
+def stream_quarantine(spark, sf_dir):
+    """Broken messages of the stream."""
+    root = scratch_path(spark, "quarantine")
+    target = jobs.Target(f"{root}/tables", f"{root}/checkpoints", available_now=True)
+    jobs.start_quarantine(derive.raw_message_stream(spark, sf_dir), target).awaitTermination()
+    return read_table(spark, "quarantined_messages", target.root).select("seq", "reject_reason")
+
+
 def stream_processed_events(spark, sf_dir):
     rows = _drained(spark, sf_dir, jobs.start_processed, "processed_events")
     return rows.drop("processed_at")
@@ -372,11 +508,27 @@ def stream_anomalies(spark, sf_dir):
                 "avg_voltage_15m", "voltage_range_15m", digits=7), "anomaly_score", digits=9)
 
 
+def _stream_incidents(spark, sf_dir):
+    return _drained(spark, sf_dir, jobs.start_outages, "outage_incident_events")
+
+
 def stream_outages(spark, sf_dir):
-    rows = _drained(spark, sf_dir, jobs.start_outages, "outage_incident_events")
+    """OPEN and CLOSED records of the stream."""
+    rows = _stream_incidents(spark, sf_dir).where("incident_status <> 'UNRESOLVED'")
     return rounded(rows.drop("received_at"), "duration_minutes")
 
 
+def stream_unresolved(spark, sf_dir):
+    """Alerts of the drained stream: by event time, once the watermark has passed them."""
+    rows = _stream_incidents(spark, sf_dir).where("incident_status = 'UNRESOLVED'")
+    return rows.drop("received_at")
+
+
+def stream_service_outages(spark, sf_dir):
+    rows = _drained(spark, sf_dir, jobs.start_service_outages, "outage_incident_events")
+    return rows.drop("received_at")
+
+
 def stream_topology(spark, sf_dir):
     rows = _drained(spark, sf_dir, jobs.start_topology, "topology_inference_results")
     return rows.drop("generated_at", "received_at")
@@ -397,15 +549,17 @@ QUERIES: dict[str, Query] = {
         parse_events, parse_events_sql, quarantine_events, validate_events,
         validate_events_sqlcodes, enrich_catalogue, enrich_hierarchy, hierarchy_lookup,
         enriched_events, enriched_sql_variant, enriched_service_variant, processed_events,
-        processed_events_narrow, processed_json, feature_eligible, meter_features_15m,
-        outage_events, outage_previous_state, outage_incidents, outage_incidents_chunked,
+        processed_events_narrow, processed_json, features_json, anomalies_json, catalogue_csv,
+        hierarchy_csv, hierarchy_csv_positional, events_jsonl, training_csv, scored_csv,
+        model_file_scores, arrival_stamps, feature_eligible, meter_features_15m,
+        outage_events, outage_previous_state, outage_previous_state_chunked, outage_incidents, outage_incidents_chunked,
         outage_unresolved_event_time, outage_service_variant, outage_rejects, incident_latest,
         active_incidents, outage_frequency, restoration_activity, outage_duration,
         reliability_rollup, topology_evidence, topology_candidates, topology_top3,
         haversine_distance, replay_order, anomaly_scores_pandas, anomaly_scores_hof,
         anomaly_results, anomaly_rank, anomaly_top10, lowest_decisions, anomaly_count,
-        feature_profile, score_quantile, scorer_parity, iforest_train_summary,
-        stream_processed_events, stream_meter_features, stream_anomalies, stream_outages,
-        stream_topology, stored_features,
+        feature_profile, score_quantile, scorer_parity, scorer_parity_trained, iforest_train_summary,
+        stream_enriched, stream_quarantine, stream_processed_events, stream_meter_features, stream_anomalies, stream_outages,
+        stream_unresolved, stream_service_outages, stream_topology, stored_features,
     )
 }

@@ -62,6 +62,9 @@ ANOMALY_RESULT = (
     "reason string, recommendation string"
 )
 
+# Raw messages that are no JSON objects.
+QUARANTINED = "seq bigint, payload string, reject_reason string"
+
 TRAINING_FEATURES = (
     "msn string, window_start timestamp, event_count_15m bigint, avg_voltage_15m double, "
     "voltage_range_15m double, power_failure_count_15m bigint"
@@ -92,6 +95,7 @@ def column_names(ddl: str) -> list[str]:
 # Per result table: schema, arrival-stamp column and stored sort key.
 RESULT_TABLES = {
     "processed_events": (PROCESSED_EVENT, "processed_at", ["processed_at"]),
+    "quarantined_messages": (QUARANTINED, "received_at", ["received_at"]),
     "meter_features_15m": (METER_FEATURES, "ingested_at", ["msn", "window_start"]),
     "outage_incident_events": (OUTAGE_INCIDENT, "received_at", ["incident_id", "received_at"]),
     "topology_inference_results": (

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -41,19 +42,27 @@ def local_session(app: str = "meterflow", cores: str = "*", **conf: str) -> Spar
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+    """This application's folder below the one all executors can reach, ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (local tests) a temporary folder is made, once per session.
+    Everything an application leaves there is in one folder named by its id, to be removed as a
+    whole; checkpoints are removed by Spark when they are no longer referenced, if the cluster
+    sets ``spark.cleaner.referenceTracking.cleanCheckpoints``. Without a named folder only a local
+    master gets a temporary one: on a cluster other machines could not read it.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
-        named = context.getCheckpointDir() or tempfile.mkdtemp(prefix="meterflow-")
-    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        # Local runs clean up after themselves.
+        atexit.register(shutil.rmtree, local := tempfile.mkdtemp(prefix="meterflow-"), True)
+        context.setCheckpointDir(local)
+        named = context.getCheckpointDir()
+    elif context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
-    return named
+    return f"{named.rstrip('/')}/{context.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

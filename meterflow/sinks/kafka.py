@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from meterflow.operators.project import record_json
+
 
 def kafka_records(rows: DataFrame, key: str | None = None) -> DataFrame:
-    """``value`` (JSON with nulls written out) and, if asked for, ``key``."""
-    value = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value")
+    """``value`` (JSON with nulls written out, times to the second) and, if asked for, ``key``."""
+    value = record_json(rows).alias("value")
     return rows.select(value) if key is None else rows.select(
         F.col(key).cast("string").alias("key"), value)
 

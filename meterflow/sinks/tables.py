@@ -33,16 +33,27 @@ def append_table(rows: DataFrame, table: str, root: str) -> None:
     clustered(stamped(rows, table), table).write.mode("append").parquet(f"{root}/{table}")
 
 
-def write_batch(rows: DataFrame, table: str, root: str, batch_id: int) -> None:
-    """Write one micro-batch; a repeated batch replaces its own folder, so retries are safe."""
-    clustered(stamped(rows, table), table).write.mode("overwrite").parquet(
-        f"{root}/{table}/batch_id={batch_id}")
+def write_batch(
+    rows: DataFrame, table: str, root: str, batch_id: int, folder: str | None = None,
+) -> None:
+    """Write one micro-batch, to the folder of the table's name if no other is given; a repeated batch replaces its own folder, so retries are safe.
+
+    The rows are kept for the write: range partitioning samples them before it shuffles them,
+    and stateful operators above must run once.
+    """
+    kept = stamped(rows, table).persist()
+    try:
+        clustered(kept, table).write.mode("overwrite").parquet(f"{root}/{folder or table}/batch_id={batch_id}")
+    finally:
+        kept.unpersist()
 
 
-def read_table(spark: SparkSession, table: str, root: str) -> DataFrame:
+def read_table(
+    spark: SparkSession, table: str, root: str, folder: str | None = None,
+) -> DataFrame:
     """A result table written by either of the above."""
     ddl, stamp, _ = RESULT_TABLES[table]
-    return spark.read.schema(f"{ddl}, {stamp} timestamp").parquet(f"{root}/{table}").select(
+    return spark.read.schema(f"{ddl}, {stamp} timestamp").parquet(f"{root}/{folder or table}").select(
         *column_names(ddl), stamp)
 
 
@@ -58,11 +69,12 @@ def start_batches(
 
 def start_table(
     stream: DataFrame, table: str, root: str, checkpoint: str, available_now: bool = False,
+    folder: str | None = None,
 ) -> StreamingQuery:
     """Append a stream to its result table."""
     return start_batches(
-        stream, lambda rows, batch_id: write_batch(rows, table, root, batch_id), table, checkpoint,
-        available_now)
+        stream, lambda rows, batch_id: write_batch(rows, table, root, batch_id, folder),
+        folder or table, checkpoint, available_now)
 
 
 def write_scored_csv(scored: DataFrame, path: str) -> None:

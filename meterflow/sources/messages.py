@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterflow import schemas
 from meterflow.functions import blank_to_null
 
 
+# Rows of a topic and files of a folder that one micro-batch takes; stateful operators hold the
+# rows of one key of a batch.
+MAX_OFFSETS, MAX_FILES = 1_000_000, 64
+
+
 def kafka_options(servers: str, topic: str, start: str = "latest", group: str | None = None,
-                  max_offsets: int | None = None) -> dict[str, str]:
-    """Options of a Kafka source; ``max_offsets`` bounds the rows of one micro-batch."""
+                  max_offsets: int | None = MAX_OFFSETS) -> dict[str, str]:
+    """Options of a Kafka source; ``max_offsets`` bounds the rows of one micro-batch (None: all)."""
     options = {
         "kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": start,
         "failOnDataLoss": "true"}
@@ -45,14 +52,22 @@ def kafka_messages_batch(spark: SparkSession, servers: str, topic: str) -> DataF
 
 
 def typed_records(messages: DataFrame, ddl: str) -> DataFrame:
-    """JSON records typed by a schema, e.g. of a result table; broken records are dropped."""
+    """JSON records typed by a schema, e.g. of a result table, with the broken ones beside them.
+
+    ``broken`` holds the payload of a record of which nothing could be read and whose columns are
+    all null; it is null for good records.
+    """
     # Generated from a one-record array, so that filters above do not parse again.
     fields = ", ".join(part.replace(" ", ": ", 1) for part in ddl.split(", "))
-    return messages.select(F.inline(F.from_json("payload", f"array<struct<{fields}>>")))
+    read = messages.select(
+        "payload", F.inline_outer(F.from_json("payload", f"array<struct<{fields}>>")))
+    names = schemas.column_names(ddl)
+    something = reduce(lambda a, b: a | b, [F.col(name).isNotNull() for name in names])
+    return read.select(*names, F.when(~something, F.col("payload")).alias("broken"))
 
 
 def result_records(messages: DataFrame, table: str) -> DataFrame:
-    """Records of one of the five result topics."""
+    """Records of one of the five result topics, broken ones beside them."""
     return typed_records(messages, schemas.RESULT_TABLES[table][0])
 
 
@@ -70,12 +85,15 @@ def jsonl_messages(spark: SparkSession, path: str) -> DataFrame:
     return _lines(lines).select("seq", "payload")
 
 
-def jsonl_message_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """New JSON-lines files of a folder; number them from a payload field where order matters."""
-    reader = spark.readStream
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return _lines(reader.text(path)).select("payload")
+def jsonl_message_stream(
+    spark: SparkSession, path: str, max_files: int = MAX_FILES, number: str = "$.log_seq_no",
+) -> DataFrame:
+    """New JSON-lines files of a folder, numbered from a payload field.
+
+    A stream has no line numbers of its own; rows without the field have a null ``seq``.
+    """
+    lines = _lines(spark.readStream.option("maxFilesPerTrigger", max_files).text(path))
+    return lines.select(F.get_json_object("payload", number).cast("bigint").alias("seq"), "payload")
 
 
 def training_features(spark: SparkSession, path: str, kind: str = "csv") -> DataFrame:

@@ -6,19 +6,25 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from meterflow.operators.anomaly import anomaly_results
 from meterflow.operators.features import LATENESS, meter_features
 from meterflow.operators.forest import ForestModel
-from meterflow.operators.outage import UNRESOLVED_AFTER_US
+from meterflow.operators.parse import quarantine
 from meterflow.operators.project import processed_events
+from meterflow.schemas import RESULT_TABLES
+from meterflow.sinks.kafka import start_kafka
 from meterflow.sinks.tables import start_batches, start_table, write_batch
-from meterflow.streaming.outage_state import outage_stream
+from meterflow.sources.messages import MAX_FILES
+from meterflow.streaming.outage_state import outage_stream, service_stream
 from meterflow.streaming.topology_state import TopologyBatches
 
 
+ENRICHED = "enriched_events"
+
+
 @dataclass(frozen=True)
 class Target:
     """Where a job writes: result tables, checkpoints, and whether it stops once drained."""
@@ -30,7 +36,7 @@ class Target:
 
 @dataclass(frozen=True)
 class UseCase:
-    """A configured use case; ``output`` names the result table."""
+    """A configured use case; ``output`` names its result folder, or its topic when publishing."""
 
     name: str
     enabled: bool
@@ -44,10 +50,15 @@ DEFAULT_USE_CASES = (
 )
 
 
+def _is_true(value: object) -> bool:
+    """JSON true or the word "true"; any other word, number or nothing is false."""
+    return value is True or (isinstance(value, str) and value.strip().lower() == "true")
+
+
 def load_use_cases(text: str) -> list[UseCase]:
-    """Enabled entries of a JSON document ``{"use_cases": [{name, enabled, output}, ...]}``."""
-    entries = [UseCase(entry["name"], bool(entry["enabled"]), entry["output"])
-               for entry in json.loads(text)["use_cases"]]
+    """Enabled entries of ``{"plugins": [{name, enabled, outputTopic, ...}, ...]}``."""
+    entries = [UseCase(entry["name"], _is_true(entry.get("enabled")), entry["outputTopic"])
+               for entry in json.loads(text)["plugins"]]
     return [entry for entry in entries if entry.enabled]
 
 
@@ -58,8 +69,37 @@ def start_processed(enriched: DataFrame, target: Target) -> StreamingQuery:
         target.available_now)
 
 
+def start_quarantine(messages: DataFrame, target: Target) -> StreamingQuery:
+    """Broken raw messages with the reason; parsing leaves them out of every other output."""
+    return start_table(
+        quarantine(messages), "quarantined_messages", target.root, target.checkpoint,
+        target.available_now)
+
+
+def start_enriched(enriched: DataFrame, target: Target) -> StreamingQuery:
+    """All columns of the enriched events, landed once for every use case to read."""
+    landed = f"{target.root}/{ENRICHED}"
+    # An empty first batch: readers can start before there are events.
+    enriched.sparkSession.createDataFrame([], enriched.schema).write.mode("overwrite").parquet(
+        f"{landed}/batch_id=-1")
+    return start_batches(
+        enriched,
+        lambda rows, batch_id: rows.write.mode("overwrite").parquet(f"{landed}/batch_id={batch_id}"),
+        ENRICHED, target.checkpoint, target.available_now)
+
+
+def landed_events(enriched: DataFrame, target: Target, max_files: int = MAX_FILES) -> DataFrame:
+    """The landed enriched events as a stream of their own."""
+    return (
+        enriched.sparkSession.readStream.schema(enriched.schema)
+        .option("maxFilesPerTrigger", max_files).parquet(f"{target.root}/{ENRICHED}/*"))
+
+
 def start_features(enriched: DataFrame, target: Target) -> StreamingQuery:
-    """Feature windows, each emitted once the watermark has passed its end."""
+    """Feature windows, each emitted once the watermark has passed its end.
+
+    Windows the watermark has not reached when a drained run ends are not emitted.
+    """
     return start_table(
         meter_features(enriched, LATENESS), "meter_features_15m", target.root, target.checkpoint,
         target.available_now)
@@ -67,38 +107,47 @@ def start_features(enriched: DataFrame, target: Target) -> StreamingQuery:
 
 def start_features_and_anomalies(
     enriched: DataFrame, model: ForestModel, target: Target,
+    output: str = "anomaly_detection_results",
 ) -> StreamingQuery:
-    """Feature windows and their verdicts from one windowed aggregation."""
+    """Feature windows and their verdicts from one windowed aggregation, as ``start_features``."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
         rows.persist()
         try:
             write_batch(rows, "meter_features_15m", target.root, batch_id)
             write_batch(anomaly_results(rows, model), "anomaly_detection_results",
-                        target.root, batch_id)
+                        target.root, batch_id, output)
         finally:
             rows.unpersist()
 
     return start_batches(
-        meter_features(enriched, LATENESS), write, "anomaly_detection_results",
-        target.checkpoint, target.available_now)
+        meter_features(enriched, LATENESS), write, output, target.checkpoint, target.available_now)
 
 
-def start_outages(enriched: DataFrame, target: Target) -> StreamingQuery:
-    """Incident records; a run that ends once drained keeps no timers for alerts."""
-    alert_after_us = None if target.available_now else UNRESOLVED_AFTER_US
+def start_outages(
+    enriched: DataFrame, target: Target, output: str = "outage_incident_events",
+) -> StreamingQuery:
+    """Incident records; a run that ends once drained alerts by event time."""
     return start_table(
-        outage_stream(enriched, alert_after_us), "outage_incident_events", target.root, target.checkpoint,
-        target.available_now)
+        outage_stream(enriched, event_time=target.available_now), "outage_incident_events",
+        target.root, target.checkpoint, target.available_now, output)
 
 
-def start_topology(enriched: DataFrame, target: Target) -> StreamingQuery:
-    return start_batches(
-        enriched, TopologyBatches(f"{target.checkpoint}/topology-evidence", target.root),
-        "topology_inference_results", target.checkpoint, target.available_now)
+def start_service_outages(enriched: DataFrame, target: Target) -> StreamingQuery:
+    """Incident records of the service variant."""
+    return start_table(
+        service_stream(enriched), "outage_incident_events", target.root, target.checkpoint,
+        target.available_now, "service_outages")
+
+
+def start_topology(
+    enriched: DataFrame, target: Target, output: str = "topology_inference_results",
+) -> StreamingQuery:
+    batches = TopologyBatches(f"{target.checkpoint}/topology-evidence", target.root, output)
+    return start_batches(enriched, batches, output, target.checkpoint, target.available_now)
 
 
-Starter = Callable[[DataFrame, Target], StreamingQuery]
+Starter = Callable[[DataFrame, Target, str], StreamingQuery]
 
 
 def registry(model: ForestModel) -> dict[str, Starter]:
@@ -106,18 +155,47 @@ def registry(model: ForestModel) -> dict[str, Starter]:
     return {
         "outage-intelligence": start_outages,
         "topology-inference": start_topology,
-        "anomaly-detection": lambda enriched, target: start_features_and_anomalies(
-            enriched, model, target),
+        "anomaly-detection": lambda enriched, target, output: start_features_and_anomalies(
+            enriched, model, target, output),
     }
 
 
 def start_use_cases(
     enriched: DataFrame, use_cases: list[UseCase], model: ForestModel, target: Target,
 ) -> list[StreamingQuery]:
-    """Start every enabled use case; an unknown name is an error before anything starts."""
+    """Land the enriched events and start every enabled use case on them.
+
+    The source is read, parsed and enriched once. An unknown name is an error before anything
+    starts. A run that is to end when drained lands everything first.
+    """
     known = registry(model)
     wanted = [entry for entry in use_cases if entry.enabled]
     unknown = [entry.name for entry in wanted if entry.name not in known]
     if unknown:
         raise ValueError(f"unknown use cases: {unknown}")
-    return [known[entry.name](enriched, target) for entry in wanted]
+    landing = start_enriched(enriched, target)
+    if target.available_now:
+        landing.awaitTermination()
+    return [landing, *[
+        known[entry.name](landed_events(enriched, target), target, entry.output)
+        for entry in wanted]]
+
+
+# Key column of each use case's records on its topic.
+TOPIC_KEYS = {"outage-intelligence": "incident_id", "topology-inference": None, "anomaly-detection": "msn"}
+_RESULTS = {
+    "outage-intelligence": "outage_incident_events",
+    "topology-inference": "topology_inference_results",
+    "anomaly-detection": "anomaly_detection_results",
+}
+
+
+def publish_use_case(
+    spark: SparkSession, use_case: UseCase, servers: str, target: Target,
+) -> StreamingQuery:
+    """Send a started use case's result folder to the topic of the same name."""
+    ddl, stamp, _ = RESULT_TABLES[_RESULTS[use_case.name]]
+    results = spark.readStream.schema(f"{ddl}, {stamp} timestamp").parquet(
+        f"{target.root}/{use_case.output}/*").drop(stamp)
+    return start_kafka(
+        results, servers, use_case.output, target.checkpoint, TOPIC_KEYS[use_case.name])

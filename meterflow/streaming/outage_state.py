@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from meterflow.functions import minutes_between, seconds_text
 from meterflow.operators.outage import (
-    CONTEXT, INCIDENT_COLUMNS, UNRESOLVED_AFTER_US, outage_rows,
+    CONTEXT, INCIDENT_COLUMNS, UNRESOLVED_AFTER_US, outage_rows, service_records, service_rows,
 )
 
+LATENESS = "15 minutes"
+
 _CONTEXT_TYPES = ", ".join(f"{name} string" for name in CONTEXT)
 _STATE = f"start_us bigint, {_CONTEXT_TYPES}, alert_ms bigint"
 _EMITTED = (
@@ -21,10 +23,19 @@ _Emitted = Row(*[part.split()[0] for part in _EMITTED.split(", ")])
 
 
 class OutageProcessor(StatefulProcessor):
-    """One open outage per (meter, event pair), kept until a restoration closes it."""
+    """One open outage per (meter, event pair), kept until a restoration closes it.
+
+    The alert counts wall-clock time from the processing of the occurrence, or event time behind the
+    watermark. By event time a restoration that comes too late raises the alert before it closes.
+    ``guard`` and ``whole_seconds`` are those of the batch form.
+    """
 
-    def __init__(self, alert_after_ms: int | None) -> None:
-        self.alert_after_ms = alert_after_ms
+    def __init__(
+        self, alert_after_ms: int | None, event_time: bool = False, guard: bool = True,
+        whole_seconds: bool = True,
+    ) -> None:
+        self.alert_after_ms, self.event_time = alert_after_ms, event_time
+        self.guard, self.whole_seconds = guard, whole_seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -35,20 +46,25 @@ class OutageProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         state = self.open_outage.get() if self.open_outage.exists() else None
-        # Only the rows of one key in one micro-batch; the source's rate limit bounds them.
+        # Only the rows of one key in one micro-batch; sources are rate limited by default.
         for row in sorted(rows, key=lambda r: r["seq"]):
             if row["occurs"]:
                 if state is None:
-                    alert = None
+                    start, alert = row["event_us"], None
+                    if self.whole_seconds:
+                        start = start // 1_000_000 * 1_000_000
                     if self.alert_after_ms is not None:
-                        alert = timerValues.getCurrentProcessingTimeInMs() + self.alert_after_ms
+                        since = start // 1000 if self.event_time \
+                            else timerValues.getCurrentProcessingTimeInMs()
+                        alert = since + self.alert_after_ms
                         self.handle.registerTimer(alert)
-                    start = row["event_us"] // 1_000_000 * 1_000_000
                     state = (start, *[row[name] for name in CONTEXT], alert)
                     yield self._emit(key, "OPEN", state)
-            elif state is not None and row["event_us"] >= state[0]:
+            elif state is not None and (not self.guard or row["event_us"] >= state[0]):
                 if state[-1] is not None:
                     self.handle.deleteTimer(state[-1])
+                    if self.event_time and row["event_us"] > state[0] + self.alert_after_ms * 1000:
+                        yield self._emit(key, "UNRESOLVED", state)
                 yield self._emit(key, "CLOSED", state, row["event_us"])
                 state = None
         if state is None:
@@ -67,21 +83,31 @@ class OutageProcessor(StatefulProcessor):
         pass
 
 
+def _emitted(rows: DataFrame, processor: OutageProcessor, delay: str) -> DataFrame:
+    mode = "None" if processor.alert_after_ms is None else "ProcessingTime"
+    if processor.event_time:
+        mode = "EventTime"
+        rows = rows.withColumn("event_time", F.timestamp_micros("event_us")).withWatermark(
+            "event_time", delay)
+    return rows.groupBy("msn", "event_tblrefid").transformWithState(
+        processor, _EMITTED, "Append", mode)
+
+
 def outage_stream(
     enriched: DataFrame, alert_after_us: int | None = UNRESOLVED_AFTER_US,
-    arrival_us: Column | None = None,
+    event_time: bool = False, delay: str = LATENESS,
 ) -> DataFrame:
     """Enriched stream to incident records, emitted as they happen.
 
-    The alert counts wall-clock time from the moment the occurrence is processed. Without alert
-    (None) no timers are kept; a query that has any never ends by itself, since it waits for them.
+    The alert counts wall-clock time from the moment the occurrence is processed. A query with such
+    timers never ends by itself, since it waits for them; one that is to end when drained takes
+    ``event_time`` alerts: they fire once the watermark, ``delay`` behind the latest event, has passed
+    the alert, and rows later than that are dropped. None keeps no alerts.
     """
-    alerts = alert_after_us is not None
-    emitted = (
-        outage_rows(enriched, arrival_us).drop("arrival_us").groupBy("msn", "event_tblrefid")
-        .transformWithState(
-            OutageProcessor(alert_after_us // 1000 if alerts else None), _EMITTED, "Append",
-            "ProcessingTime" if alerts else "None"))
+    processor = OutageProcessor(
+        None if alert_after_us is None else alert_after_us // 1000,
+        event_time and alert_after_us is not None)
+    emitted = _emitted(outage_rows(enriched).drop("arrival_us"), processor, delay)
     status = F.col("incident_status")
     incident_id = F.concat_ws(
         ":", "msn", F.col("event_tblrefid").cast("string"),
@@ -91,5 +117,13 @@ def outage_stream(
         "end_ts": seconds_text(F.col("end_us")),
         "duration_minutes": F.when(status == "CLOSED", minutes_between(
             F.col("start_us"), F.col("end_us")))
-        .when(status == "UNRESOLVED", F.lit(alert_after_us / 60e6 if alerts else None)),
+        .when(status == "UNRESOLVED", F.lit((alert_after_us or 0) / 60e6)),
     }).select(*INCIDENT_COLUMNS)
+
+
+def service_stream(enriched: DataFrame) -> DataFrame:
+    """The service variant: no guard, no alerts, fractions of seconds kept."""
+    emitted = _emitted(
+        service_rows(enriched).drop("arrival_us"),
+        OutageProcessor(None, guard=False, whole_seconds=False), LATENESS)
+    return service_records(emitted).select(*INCIDENT_COLUMNS)

@@ -2,9 +2,9 @@
 
 The evidence outlives a micro-batch as a table in shared storage, partitioned by hour and batch,
 instead of as one list in one task. Each batch adds its known outages and then scores its unknown
-outages with the batch operator over the last minutes of evidence only: just the hours in reach
-are listed and read, however long the stream has been running. Evidence counts once it has
-arrived, in the same or an earlier batch. Hours out of reach may be deleted at any time.
+outages with the batch operator over the hours that hold unknown outages and the hours before
+them. Evidence counts once it has arrived, in the same or an earlier batch. Hours that lie far
+behind the typical event of a batch are removed, and so are unknown outages already scored.
 """
 
 from __future__ import annotations
@@ -20,13 +20,17 @@ _COLUMNS = (
     "msn string, ts string, us bigint, seq bigint, hierarchy_match boolean, feeder_name string, "
     "substation_name string, latitude double, longitude double")
 TABLE = "topology_inference_results"
+KEEP_HOURS = 48
 
 
 class TopologyBatches:
     """A ``foreachBatch`` function; ``state`` and ``root`` are folders all executors reach."""
 
-    def __init__(self, state: str, root: str) -> None:
-        self.occurrences, self.root = f"{state}/occurrences", root
+    def __init__(
+        self, state: str, root: str, output: str = TABLE, keep_hours: int = KEEP_HOURS,
+    ) -> None:
+        self.occurrences, self.root, self.output = f"{state}/occurrences", root, output
+        self.keep_hours = keep_hours
 
     def _stored(self, spark: SparkSession, pattern: str) -> DataFrame | None:
         """Partitions matching a pattern, None if there are none."""
@@ -40,6 +44,17 @@ class TopologyBatches:
                 return None
             raise
 
+    def _expire(self, spark: SparkSession, oldest_hour: int, batch_id: int) -> None:
+        """Remove evidence before an hour, and unknown outages of earlier batches."""
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        files = path(self.occurrences).getFileSystem(spark._jsc.hadoopConfiguration())
+        for folder in files.globStatus(path(f"{self.occurrences}/known=true/hour=*")) or ():
+            if int(folder.getPath().getName().partition("=")[2]) < oldest_hour:
+                files.delete(folder.getPath(), True)
+        for folder in files.globStatus(path(f"{self.occurrences}/known=false/hour=*/batch_id=*")) or ():
+            if int(folder.getPath().getName().partition("=")[2]) < batch_id:
+                files.delete(folder.getPath(), True)
+
     def __call__(self, enriched: DataFrame, batch_id: int) -> None:
         spark = enriched.sparkSession
         occurred = topology.outage_occurrences(enriched).withColumns({
@@ -50,17 +65,19 @@ class TopologyBatches:
         (occurred.repartition("known", "hour", F.pmod(F.xxhash64("msn"), F.lit(16)))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("known", "hour", "batch_id").parquet(self.occurrences))
+        known = self._stored(spark, f"known=true/hour=*/batch_id={batch_id}")
+        if known is not None:
+            # The median, so that a few wrong clocks do not decide what is old.
+            typical = known.agg(F.percentile_approx("hour", 0.5)).first()[0]
+            if typical is not None:
+                self._expire(spark, typical - self.keep_hours, batch_id)
         unknown = self._stored(spark, f"known=false/hour=*/batch_id={batch_id}")
-        if unknown is None:
-            return
-        oldest, latest = unknown.agg(F.min("us"), F.max("us")).first()
-        if oldest is None:
-            return
-        start = oldest - topology.LOOKBACK_US
-        hours = ",".join(map(str, range(start // _HOUR_US, latest // _HOUR_US + 1)))
-        evidence = self._stored(spark, f"known=true/hour={{{hours}}}/batch_id=*")
-        if evidence is None:
+        evidence = self._stored(spark, "known=true/hour=*/batch_id=*")
+        if unknown is None or evidence is None:
             return
-        recent = evidence.where(
-            (F.col("batch_id") <= batch_id) & F.col("us").between(start, latest))
-        write_batch(topology.topology_results(recent.unionByName(unknown)), TABLE, self.root, batch_id)
+        # One small row per hour; joined on the partition column, so other hours are not read.
+        hours = unknown.select(F.explode(F.array("hour", F.col("hour") - 1)).alias("hour")).distinct()
+        recent = evidence.where(F.col("batch_id") <= batch_id).join(hours, "hour", "left_semi")
+        write_batch(
+            topology.topology_results(recent.select(unknown.columns).unionByName(unknown)), TABLE,
+            self.root, batch_id, self.output)

@@ -51,9 +51,23 @@ def test_training_is_repeatable_whatever_the_layout(windows, model):
     assert forest.train(windows, n_trees=60, seed=1).trees != model.trees
 
 
-def test_pool_is_bounded(windows):
-    pool = forest.training_pool(windows, FEATURES[:3], 100)
-    assert pool.count() == 100 and pool.agg(F.max("slot")).first()[0] == 99
+def test_every_tree_draws_from_all_rows(windows):
+    samples, size = forest.draw_samples(windows, FEATURES[:3], 30, 200)
+    drawn = samples.select("tree_index", "slot", "msn").collect()
+    assert size == 200 and len({(r["tree_index"], r["slot"]) for r in drawn}) == len(drawn) == 30 * 200
+    # 6,000 draws of 1,505 rows: a shared pool of 200 rows would show here.
+    assert len({r["slot"] for r in drawn}) > 1300 and max(r["slot"] for r in drawn) <= 1505
+    few, size = forest.draw_samples(windows.limit(9), FEATURES[:3], 4, 200)
+    assert size == few.where("tree_index = 0").count() <= 9
+
+
+def test_parity_reports_mismatches(spark):
+    rows = spark.createDataFrame(
+        [("a", 1, 0.1, 1), ("b", 1, None, None)], "msn string, window_start int, decision double, prediction int")
+    same = forest.parity(rows, rows).first()
+    assert same["verdict"] == "STRICT" and same["mismatching_predictions"] == 0
+    other = rows.withColumn("prediction", F.when(F.col("msn") == "b", 1).otherwise(F.col("prediction")))
+    assert forest.parity(rows, other).first()["verdict"] == "REVIEW"
 
 
 @pytest.mark.parametrize("which", ["trained", "demo"])

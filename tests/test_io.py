@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from meterflow import session
 from meterflow.operators.enrich import hierarchy_lookup
 from meterflow.schemas import METER_FEATURES, RESULT_TABLES
 from meterflow.sinks import kafka, tables
@@ -63,7 +64,33 @@ def test_kafka_options_and_records(spark):
 def test_record_topic_is_typed(spark):
     rows = spark.createDataFrame([('{"incident_id":"i","event_tblrefid":1}',), ("{bad",)], "payload string")
     got = messages.result_records(rows, "outage_incident_events").collect()
-    assert [(r["incident_id"], r["event_tblrefid"], r["end_ts"]) for r in got] == [("i", 1, None)]
+    assert [(r["incident_id"], r["event_tblrefid"], r["end_ts"], r["broken"]) for r in got] == [
+        ("i", 1, None, None), (None, None, None, "{bad")]
+
+
+def test_records_write_times_to_the_second(spark):
+    rows = features_frame(spark, 1)
+    record = json.loads(kafka.kafka_records(rows, "msn").first()["value"])
+    assert record["window_start"] == "1970-01-01 00:00:00" and record["window_end"] == "1970-01-01 00:15:00"
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    class Context:
+        master, applicationId = "spark://host:7077", "app-1"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
 
 
 def features_frame(spark, count=50):
@@ -100,10 +127,12 @@ def test_every_result_table_has_its_sort_columns():
 
 
 def test_use_case_registry(spark):
-    text = json.dumps({"use_cases": [
-        {"name": "outage-intelligence", "enabled": True, "output": "o"},
-        {"name": "topology-inference", "enabled": False, "output": "t"}]})
-    assert [u.name for u in jobs.load_use_cases(text)] == ["outage-intelligence"]
+    text = json.dumps({"plugins": [
+        {"name": "outage-intelligence", "enabled": True, "className": "x", "outputTopic": "o"},
+        {"name": "topology-inference", "enabled": "false", "outputTopic": "t"},
+        {"name": "anomaly-detection", "enabled": "true", "outputTopic": "a"}]})
+    assert [(u.name, u.output) for u in jobs.load_use_cases(text)] == [
+        ("outage-intelligence", "o"), ("anomaly-detection", "a")]
     assert set(jobs.registry(None)) == {u.name for u in jobs.DEFAULT_USE_CASES}
     with pytest.raises(ValueError, match="nonsense"):
         jobs.start_use_cases(None, [jobs.UseCase("nonsense", True, "x")], None, None)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +78,48 @@ def log(spark, events, unresolved="event"):
                         for r in rows.collect())
 
 
+def test_ordered_keys_never_reach_the_machine(spark, monkeypatch):
+    def refuse(_):
+        raise AssertionError("no key needs the state machine here")
+    monkeypatch.setattr(outage, "_by_machine", refuse)
+    rng = random.Random(5)
+    events = [(f"m{rng.randrange(3)}", seq, rng.random() < 0.5, seq * SECOND) for seq in range(900)]
+    for chunk_rows in (1, 10, 1 << 20):
+        assert paired(spark, events, chunk_rows=chunk_rows) == plain_machine(events)
+
+
+def test_fast_clock_takes_no_square_time(spark):
+    """Occurrences stamped far ahead of all restorations, each later than the one before."""
+    count = 100_000
+    table, started = outage._Table(), time.time()
+    for n in range(count // 2):
+        table.occurs(outage.Opening(10 ** 12 + n, 2 * n, 0, *[None] * 5))
+        table.restored(n)
+    assert time.time() - started < 10
+    pieces = table.pieces()
+    assert pieces[0][1].start_us == 10 ** 12 and len(pieces) == count // 2 + 1
+    events = [("a", 2 * n + k, k == 0, (n + (10 ** 6 if k == 0 else 0)) * SECOND)
+              for n in range(1500) for k in (0, 1)]
+    assert paired(spark, events, chunk_rows=400) == plain_machine(events)
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 3, 1000])
+def test_previous_state_crosses_chunks(spark, chunk_rows):
+    events = random_events(2, 200, 4, 10)
+    got = {r["seq"]: r["previous_occurs"] for r in
+           outage.previous_states(frame(spark, events), chunk_rows).collect()}
+    last, want = {}, {}
+    for msn, seq, occurs, _ in events:
+        want[seq] = last.get(msn)
+        last[msn] = occurs
+    assert got == want
+
+
+def test_arrival_alerts_need_the_arrival_column(spark):
+    with pytest.raises(ValueError):
+        outage.outage_incidents(spark.range(1), "arrival")
+
+
 def test_log_edge_cases(spark):
     at = 1704103200 * SECOND  # 2024-01-01 10:00:00
     start = "2024-01-01 10:00:00"

@@ -108,3 +108,17 @@ def test_relevance_does_not_trim(spark):
         "hierarchy_match": F.lit(True), "feeder_name": F.lit("F"), "substation_name": F.lit("S"),
         "latitude": F.lit(1.0), "longitude": F.lit(1.0)})
     assert [r["seq"] for r in topology.outage_occurrences(rows).collect()] == [0]
+
+
+def test_work_grows_with_outages_times_feeders(spark):
+    """Ten times the events over the same feeders and minutes give ten times the rows, not a hundred."""
+    def asked(times):
+        rows = []
+        for n in range(40 * times):
+            us = START + (n * 1_500_000) // times
+            rows.append((f"k{n}", us, 2 * n, True, f"F{n % 4}", None, 28.0, 77.0))
+            rows.append((f"u{n}", us + 1, 2 * n + 1, False, None, None, 28.0, 77.0))
+        events = frame(spark, rows)
+        steps = topology.evidence_steps(topology.known_evidence(events))
+        return topology.asked_feeders(topology.unknown_outages(events), steps).count()
+    assert asked(1) == 40 * 4 and asked(10) == 400 * 4
