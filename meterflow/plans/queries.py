@@ -459,12 +459,12 @@ def iforest_train_summary(spark, sf_dir):
 
 # ---- streams, drained into result tables -----------------------------------------------------
 
-def _drained(spark, sf_dir, start, table):
+def _drained(spark, sf_dir, start, table, folder=None):
     """Run a job over the events as a stream until nothing is left, and read its table."""
     root = scratch_path(spark, table)
     target = jobs.Target(f"{root}/tables", f"{root}/checkpoints", available_now=True)
     start(batch.derived_enriched_stream(spark, sf_dir), target).awaitTermination()
-    return read_table(spark, table, target.root)
+    return read_table(spark, table, target.root, folder)
 
 
 def _stream_anomalies(enriched, target):
@@ -525,7 +525,8 @@ def stream_unresolved(spark, sf_dir):
 
 
 def stream_service_outages(spark, sf_dir):
-    rows = _drained(spark, sf_dir, jobs.start_service_outages, "outage_incident_events")
+    rows = _drained(spark, sf_dir, jobs.start_service_outages, "outage_incident_events",
+                    "service_outages")
     return rows.drop("received_at")
 
 
