@@ -81,15 +81,13 @@ def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     alive = leaves.where("tokens > 0")
     for name in LEVELS:
         alive = alive.where(_weight(name, weights[name]) > 0)
-    total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("all")).select(
-        F.expr(f"all * {int(mix.budget_percent)} div 100").alias("parent_budget"))
+    total = leaves.agg(F.sum("tokens")).first()[0] or 0
     current, parent = None, []
     for name in LEVELS:
         group = parent + [name]
         supply = alive.groupBy(*group).agg((F.sum("tokens") * mix.max_epochs).alias("supply"))
-        # The root is one row; below it every child finds its parent.
-        above = supply.withColumn("_root", F.lit(1)).join(
-            total.withColumn("_root", F.lit(1)), "_root").drop("_root") if current is None else \
+        above = supply.withColumn(
+            "parent_budget", F.lit(total * mix.budget_percent // 100)) if current is None else \
             supply.join(current.select(*parent, F.col("budget").alias("parent_budget")), parent)
         current = share_out(
             above.withColumn("weight", _weight(name, weights[name])), parent, name)
