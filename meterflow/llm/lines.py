@@ -1,9 +1,9 @@
 """Line dedup across documents: fuzzy lines keep one occurrence per connected group.
 
-Lines are normalised and fingerprinted by SimHash over the counts of their byte pairs. Equal
-normalised lines are one class. Classes with one fingerprint are gathered around leaders by edit
-similarity; the leaders of fingerprints within two bits, found by pigeonhole blocks, are linked if
-their edit similarity is high enough; connected groups keep their earliest line.
+Lines are normalised and fingerprinted by SimHash over their pairs of neighbouring words. Equal
+normalised lines are one class. Fingerprints are cut into blocks; classes that share a block and whose
+fingerprints are close are compared by edit similarity in words, similar ones are linked, and
+connected groups keep their earliest line.
 
 Only the kept lines go back to their documents, one row per group. A line that a third of all
 documents share is one buffer per task of an aggregate and is never joined.
@@ -12,30 +12,34 @@ documents share is one buffer per task of an aggregate and is never joined.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from meterflow.llm.components import connected
 from meterflow.llm.edit import similar
-from meterflow.llm.pigeonhole import close_pairs
 from meterflow.llm.shared import explode_texts, staged, text_bytes, with_key
+from meterflow.llm.simhash import (
+    COUNTED, SPREAD, STEP, block_links, in_blocks, lane_octets,
+)
+from meterflow.operators.skew import broadcast_if_small
 
 MIN_WORDS = 5
 SIMILARITY = 0.8
-DISTANCE = 2
-CELLS = 1024
-ROWS = 256
-PAIRS = 1 << 20
+# Ten blocks of 28 bits: with up to nine differing bits two lines always share one; with one word in
+# a hundred changed nine of ten pairs do, with one in fifty half of them. Unlike lines differ in about
+# half of their bits, and by chance share a block only among hundreds of millions of lines.
+BLOCKS, WIDTH, DISTANCE = 10, 28, 70
+PAIRS = 1 << 15
+LANES = 5
+OCTETS = BLOCKS * WIDTH // 8
 # Letters in one case, digits alike, ASCII punctuation as blanks; other bytes stay.
 NORMAL = bytes(
     c + 32 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c if 97 <= c <= 122 or c > 127 else 32
     for c in range(256))
-SIGNS = np.where(
-    np.random.default_rng(20240229).integers(0, 2, (CELLS, 64)) == 1, 1, -1).astype(np.float32)
 
 
 def normalised(line: bytes) -> bytes:
@@ -45,25 +49,28 @@ def normalised(line: bytes) -> bytes:
 
 
 def fingerprints(lines: list[bytes]) -> np.ndarray:
-    """SimHash of each line over the counts of its byte pairs, hashed to a fixed number of cells.
-
-    Counts are added up as whole numbers in floats, so the result is the same on every machine.
-    """
-    out = np.empty(len(lines), np.int64)
+    """SimHash of each line over its pairs of neighbouring words, as rows of block values."""
+    out = np.empty((len(lines), BLOCKS), np.int32)
     begin = 0
     while begin < len(lines):
-        end, size = begin, 0
-        while end < len(lines) and end - begin < ROWS and (size < PAIRS or end == begin):
-            size += len(lines[end])
+        end, words, starts = begin, [], []
+        while end < len(lines) and (len(words) < PAIRS or end == begin):
+            starts.append(len(words))
+            words += lines[end].split()
             end += 1
-        data = np.frombuffer(b"".join(lines[begin:end]), np.uint8).astype(np.uint32)
-        lengths = np.array([len(line) for line in lines[begin:end]])
-        pair = (((data[:-1] << np.uint32(8)) | data[1:]) * np.uint32(2654435761)) >> np.uint32(22)
-        owner = np.repeat(np.arange(len(lengths)), lengths)
-        inside = owner[:-1] == owner[1:]
-        counts = np.bincount(owner[:-1][inside] * CELLS + pair[inside], minlength=len(lengths) * CELLS)
-        bits = (counts.reshape(-1, CELLS).astype(np.float32) @ SIGNS > 0).astype(np.uint8)
-        out[begin:end] = np.packbits(bits, axis=1, bitorder="little").view("<i8").ravel()
+        codes, distinct = pd.factorize(np.array(words, dtype=object))
+        hashes = np.array([xxhash.xxh3_64_intdigest(word) for word in distinct], np.uint64)[codes]
+        pairs = hashes * STEP + np.roll(hashes, -1)
+        spread = SPREAD[lane_octets(pairs, LANES)[:, :OCTETS]]
+        lengths = np.diff([*starts, len(words)])
+        spread[np.cumsum(lengths) - 1] = 0  # the last word of a line has no neighbour
+        # Parts of lines that a byte can count, then whole lines.
+        parts = -(-lengths // COUNTED)
+        first = np.cumsum(parts) - parts
+        at = np.repeat(starts, parts) + COUNTED * (np.arange(parts.sum()) - np.repeat(first, parts))
+        ones = np.add.reduceat(spread, at, axis=0).view(np.uint8).astype(np.int32)
+        ones = np.add.reduceat(ones, first, axis=0)
+        out[begin:end] = in_blocks(2 * ones > (lengths - 1)[:, None], WIDTH)
         begin = end
     return out
 
@@ -78,16 +85,19 @@ def _lines_of_batch(texts: list[bytes]) -> tuple:
                 numbers.append(number)
                 lines.append(normal)
     hashes = np.array([xxhash.xxh3_64_intdigest(line) for line in lines], np.uint64).view(np.int64)
-    return np.array(owners, np.int64), hashes, fingerprints(lines), np.array(numbers, np.int32)
+    blocks = pa.ListArray.from_arrays(
+        pa.array(np.arange(len(lines) + 1, dtype=np.int32) * BLOCKS),
+        pa.array(fingerprints(lines).ravel()))
+    return np.array(owners, np.int64), hashes, blocks, np.array(numbers, np.int32)
 
 
 def _candidate_texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     """The normalised text of each wanted class, read from the document that holds it first."""
-    per_doc = wanted.groupBy("_doc", "_digest").agg(
-        F.collect_list(F.struct("_line", "_hash", "fp")).alias("_wanted"))
+    per_doc = staged(wanted.groupBy("_doc", "_digest").agg(
+        F.collect_list(F.struct("_line", "_hash")).alias("_wanted")), "wanted")
     # Repeated rows of a document would give the same lines again.
     held = keyed.select("_doc", "_digest", text_bytes().alias("_text")).join(
-        per_doc, ["_doc", "_digest"])
+        broadcast_if_small(per_doc), ["_doc", "_digest"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,55 +105,30 @@ def _candidate_texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
             for data, wanted_here in zip(
                     batch.column("_text").to_pylist(), batch.column("_wanted").to_pylist()):
                 lines = data.split(b"\n")
-                rows += [(w["_hash"], w["fp"], normalised(lines[w["_line"]]).decode("utf-8", "replace"))
+                rows += [(w["_hash"], normalised(lines[w["_line"]]).decode("utf-8", "replace"))
                          for w in wanted_here]
-            columns = list(zip(*rows)) if rows else [[]] * 3
+            columns = list(zip(*rows)) if rows else [[]] * 2
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                 pa.array(columns[2], pa.string())], ["_hash", "fp", "_normal"])
+                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string())],
+                ["_hash", "_normal"])
 
     return held.select("_text", "_wanted").mapInArrow(
-        run, "_hash long, fp long, _normal string").dropDuplicates(["fp", "_hash"])
+        run, "_hash long, _normal string").dropDuplicates(["_hash"])
 
 
-def _judged(pairs: DataFrame, least: float) -> DataFrame:
-    """``u``, ``v`` and ``alike`` for pairs of classes with their texts."""
+def _alike(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The pairs ``u``, ``v`` whose lines are similar enough."""
+    sides = [texts.select(F.col("_hash").alias(side), F.col("_normal").alias(name))
+             for side, name in (("u", "_left"), ("v", "_right"))]
+    beside = pairs.join(sides[0], "u").join(sides[1], "v").select("u", "v", "_left", "_right")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            alike = [similar(a, b, least) for a, b in zip(
-                batch.column("_left").to_pylist(), batch.column("_right").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("u"), batch.column("v"), batch.column("fp"), pa.array(alike, pa.bool_())],
-                ["u", "v", "fp", "alike"])
-
-    return pairs.select("u", "v", "fp", "_left", "_right").mapInArrow(
-        run, "u long, v long, fp long, alike boolean")
+            alike = pa.array([similar(a.split(" "), b.split(" "), least) for a, b in zip(
+                batch.column("_left").to_pylist(), batch.column("_right").to_pylist())], pa.bool_())
+            yield batch.select(["u", "v"]).filter(alike)
 
-
-def _leaders(texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """Leaders of each fingerprint, and links of the other classes to them.
-
-    The class with the smallest hash leads; those not similar to it choose among themselves in the
-    next round, so rounds are as many as there are unlike groups with one fingerprint.
-    """
-    links, leaders = [], []
-    open_classes = texts
-    while True:
-        first = open_classes.groupBy("fp").agg(F.min("_hash").alias("_hash"), F.count("*").alias("n"))
-        chosen = staged(open_classes.join(first, ["fp", "_hash"]), "leaders")
-        leaders.append(chosen.select("fp", "_hash", "_normal"))
-        pairs = open_classes.alias("c").join(
-            chosen.where("n > 1").alias("l"), F.col("c.fp") == F.col("l.fp")).where(
-            "c._hash != l._hash").select(
-            F.col("c._hash").alias("u"), F.col("l._hash").alias("v"), F.col("c.fp").alias("fp"),
-            F.col("c._normal").alias("_left"), F.col("l._normal").alias("_right"))
-        judged = staged(_judged(pairs, least), "judged")
-        links.append(judged.where("alike").select("u", "v"))
-        odd = judged.where("not alike").select("fp", F.col("u").alias("_hash"))
-        if odd.isEmpty():
-            return reduce(DataFrame.union, leaders), reduce(DataFrame.union, links)
-        open_classes = staged(open_classes.join(odd, ["fp", "_hash"], "left_semi"), "open")
+    return beside.mapInArrow(run, "u long, v long")
 
 
 def groups(docs: DataFrame, least: float = SIMILARITY, distance: int = DISTANCE) -> DataFrame:
@@ -155,28 +140,22 @@ def groups(docs: DataFrame, least: float = SIMILARITY, distance: int = DISTANCE)
     keyed = with_key(docs)
     place = F.struct("_doc", "_digest", "_line")
     lines = explode_texts(
-        keyed, ["_doc", "_digest"], "_hash long, fp long, _line int", _lines_of_batch)
+        keyed, ["_doc", "_digest"], "_hash long, blocks array<int>, _line int", _lines_of_batch)
     classes = staged(
-        lines.groupBy("_hash", "fp").agg(F.min(place).alias("first"), F.count("*").alias("n")),
+        lines.groupBy("_hash").agg(
+            F.min(place).alias("first"), F.count("*").alias("n"), F.first("blocks").alias("blocks")),
         "classes")
-    per_fp = classes.groupBy("fp").agg(F.count("*").alias("n"))
-    near = staged(close_pairs(per_fp.select("fp"), distance), "near")
-    fuzzy = staged(
-        near.select(F.col("u").alias("fp")).union(near.select(F.col("v").alias("fp")))
-        .union(per_fp.where("n > 1").select("fp")).distinct(), "fuzzy")
-    wanted = classes.join(fuzzy, "fp", "left_semi").select("first.*", "_hash", "fp")
+    links, held = block_links(
+        classes.select(F.col("_hash").alias("node"), "blocks", "first"), BLOCKS, distance)
+    near = staged(links, "near")
+    fuzzy = near.select(F.col("u").alias("node")).union(
+        near.select(F.col("v").alias("node"))).distinct()
+    wanted = held.select("first", "node").join(fuzzy, "node").select(
+        "first.*", F.col("node").alias("_hash"))
     texts = staged(_candidate_texts(keyed, wanted), "texts")
-    leaders, links = _leaders(texts, least)
-    sides = [leaders.select(
-        F.col("fp").alias(side), F.col("_hash").alias(f"{side}_hash"), F.col("_normal").alias(name))
-        for side, name in (("u", "_left"), ("v", "_right"))]
-    across = _judged(
-        near.join(sides[0], "u").join(sides[1], "v").select(
-            F.col("u_hash").alias("u"), F.col("v_hash").alias("v"), F.col("u").alias("fp"),
-            "_left", "_right"), least)
-    roots = connected(links.union(across.where("alike").select("u", "v")))
+    roots = connected(_alike(near, texts, least))
     return (
-        classes.join(roots, classes["_hash"] == roots["node"], "left")
+        classes.select("_hash", "first", "n").join(roots, classes["_hash"] == roots["node"], "left")
         .groupBy(F.coalesce("root", "_hash").alias("_root"))
         .agg(F.min("first").alias("first"), F.sum("n").alias("size"))
         .select("first.*", "size"))

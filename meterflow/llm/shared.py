@@ -80,8 +80,8 @@ def explode_texts(
 ) -> DataFrame:
     """Any number of output rows per input row.
 
-    ``of_batch`` gets the UTF-8 texts of an Arrow batch and returns ``(owner, *columns)``: numpy
-    arrays of equal length, ``owner`` holding the place of each row's text in the batch.
+    ``of_batch`` gets the UTF-8 texts of an Arrow batch and returns ``(owner, *columns)``: numpy or
+    Arrow arrays of equal length, ``owner`` holding the place of each row's text in the batch.
     """
     given = rows.select(*keep, text_bytes(text).alias("_text"))
     kept = StructType([given.schema[name] for name in keep])
@@ -95,7 +95,8 @@ def explode_texts(
             places = pa.array(owner, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(name).take(places) for name in keep]
-                + [pa.array(values, field.type) for values, field in zip(columns, arrow)],
+                + [values if isinstance(values, pa.Array) else pa.array(values, field.type)
+                   for values, field in zip(columns, arrow)],
                 names=whole.names)
 
     return given.mapInArrow(run, whole)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from meterflow.llm.components import connected
 from meterflow.llm.pigeonhole import close_pairs
 from meterflow.llm.shared import map_texts, staged, with_key
+from meterflow.operators.skew import broadcast_if_small
 
 CHUNK = 1 << 16
 
@@ -76,101 +77,130 @@ def components(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFram
 
 # ---- wide fingerprints, for copies with many small changes ----
 
-WORDS = 16
-BLOCKS, BLOCK_BYTES = 42, 3
-WIDE_BITS = BLOCKS * BLOCK_BYTES * 8
+BLOCK_BITS = 24
+WORDS, BLOCKS = 16, 42
 PAIRED_BUCKET = 32
+# By byte value, its eight bits as the eight bytes of a word: adding such words counts all bits at
+# once, and a byte can count 255 rows.
+SPREAD = np.unpackbits(
+    np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8").ravel()
+COUNTED = 255
 STEP, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def most_distance(similarity: float) -> int:
-    """Differing bits of a wide fingerprint at a Jaccard similarity of the shingle sets."""
+def most_distance(similarity: float, bits: int = BLOCKS * BLOCK_BITS) -> int:
+    """Differing bits of a fingerprint at a Jaccard similarity of the shingle sets."""
     cosine = 2 * similarity / (1 + similarity)
-    return int(WIDE_BITS * np.arccos(cosine) / np.pi)
+    return int(bits * np.arccos(cosine) / np.pi)
+
+
+def in_blocks(bits: np.ndarray, width: int = BLOCK_BITS) -> np.ndarray:
+    """Rows of bits (0 or 1) as rows of block values, each of ``width`` bits, 32 at most."""
+    rows = len(bits)
+    padded = np.zeros((rows, bits.shape[1] // width, 32), np.uint8)
+    padded[:, :, :width] = bits.reshape(rows, -1, width)
+    return np.packbits(padded, axis=2, bitorder="little").view("<i4").reshape(rows, -1)
+
+
+def lane_octets(hashes: np.ndarray, lanes: int) -> np.ndarray:
+    """``lanes`` further 64-bit hashes of each hash, as rows of bytes."""
+    words = hashes[:, None] + STEP * np.arange(1, lanes + 1, dtype=np.uint64)
+    words = (words ^ (words >> np.uint64(30))) * MIX1
+    words = (words ^ (words >> np.uint64(27))) * MIX2
+    return (words ^ (words >> np.uint64(31))).astype("<u8").view(np.uint8)
 
 
 def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
-    """SimHash of ``WIDE_BITS`` bits, packed; every shingle counts once."""
+    """SimHash of ``BLOCKS * BLOCK_BITS`` bits, as block values; every shingle counts once."""
     hashes = np.unique(hashes)
     ones = np.zeros(WORDS * 64, np.int64)
-    for at in range(0, len(hashes), 255):  # as many as a byte can count
-        words = hashes[at: at + 255, None] + STEP * np.arange(1, WORDS + 1, dtype=np.uint64)
-        words = (words ^ (words >> np.uint64(30))) * MIX1
-        words = (words ^ (words >> np.uint64(27))) * MIX2
-        octets = (words ^ (words >> np.uint64(31))).astype("<u8").view(np.uint8)
-        ones += np.add.reduce(np.unpackbits(octets, axis=1, bitorder="little"), axis=0, dtype=np.uint8)
-    bits = (2 * ones > len(hashes)).astype(np.uint8)
-    bits[WIDE_BITS:] = 0
-    return np.packbits(bits, bitorder="little")
-
-
-def block_values(packed: np.ndarray) -> np.ndarray:
-    """The value of each block of a packed fingerprint."""
-    octets = packed[: BLOCKS * BLOCK_BYTES].reshape(BLOCKS, BLOCK_BYTES).astype(np.int32)
-    return octets[:, 0] | (octets[:, 1] << 8) | (octets[:, 2] << 16)
+    for at in range(0, len(hashes), COUNTED):
+        spread = SPREAD[lane_octets(hashes[at: at + COUNTED], WORDS)]
+        ones += np.add.reduce(spread, axis=0).view(np.uint8)
+    return in_blocks((2 * ones > len(hashes))[None, : BLOCKS * BLOCK_BITS])[0]
 
 
 def _wide(docs: DataFrame, keep: list[str], shingle: int) -> DataFrame:
     def of_batch(texts: list[bytes]):
         for data in texts:
-            packed = wide_fingerprint(shingle_hashes(data, shingle))
-            yield packed.view("<i8").tolist(), block_values(packed).tolist()
+            yield (wide_fingerprint(shingle_hashes(data, shingle)).tolist(),)
 
-    return map_texts(docs, keep, "bits array<long>, blocks array<int>", of_batch)
+    return map_texts(docs, keep, "blocks array<int>", of_batch)
 
 
-def _bucket_pairs(members: DataFrame, key: list[str], hot: bool) -> tuple[DataFrame, DataFrame]:
-    """Pairs of classes in one bucket, and the members of buckets that are too large to pair.
+def _bucket_pairs(members: DataFrame, key: list[str], last: bool) -> tuple[DataFrame, DataFrame]:
+    """Pairs of nodes in one bucket, and the members of buckets that are too large to pair.
 
-    With ``hot`` nothing is left over: members of large buckets are paired with the smallest one.
+    On the ``last`` level nothing is left over: members of large buckets are paired with the
+    smallest one.
     """
     buckets = staged(members.groupBy(*key).agg(
         F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"),
     ).where("n > 1"), "buckets")
+    # Most shared buckets hold one pair, which the aggregate already names.
     pairs = buckets.where("n = 2").select(F.col("low").alias("u"), F.col("high").alias("v"))
-    shared = staged(
-        members.join(buckets.where("n > 2").select(*key, "n", "low"), key), "shared")
+    # Few buckets have more members; their table is sent along if it is measured to be small.
+    crowded = broadcast_if_small(buckets.where("n > 2").select(*key, "n", "low"))
+    shared = staged(members.join(crowded, key), "shared")
     small = shared.where(F.col("n") <= PAIRED_BUCKET)
     pairs = pairs.union(
         small.select(*key, F.col("node").alias("u")).join(
             small.select(*key, F.col("node").alias("v")), key).where("u < v").select("u", "v"))
     large = shared.where(F.col("n") > PAIRED_BUCKET)
-    if hot:
-        pairs = pairs.union(large.where("node != low").select(F.col("low").alias("u"), F.col("node").alias("v")))
+    if last:
+        pairs = pairs.union(large.where("node != low").select(
+            F.col("low").alias("u"), F.col("node").alias("v")))
     return pairs, large
 
 
-def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``_doc``, ``_digest``, ``node`` and ``root``: documents and the group of their fingerprint.
+def block_links(
+    classes: DataFrame, blocks: int, distance: int,
+) -> tuple[DataFrame, DataFrame]:
+    """``u`` < ``v``: nodes that share a block and differ in at most ``distance`` bits.
 
-    Linked are documents whose wide fingerprints share a block and differ in no more bits than
-    texts of the given similarity do. Up to 41 differing bits two of them always share a block; near
-    a similarity of 0.9 they do in nineteen of twenty cases, near 0.8 in more than half. Members of a
-    large bucket are split by each of their other blocks; if that leaves a large one, its members
-    are compared with the smallest. Two documents without words have the same fingerprint.
+    ``classes`` has one row per ``node`` with its ``blocks``; also returned are the rows of all
+    nodes that share any block. Nodes of a bucket with few members are paired; those of a
+    large one are split by each of their other blocks, and if that leaves a large bucket again,
+    its members are compared with the smallest of them.
     """
-    marked = staged(
-        _wide(with_key(docs), ["_doc", "_digest"], shingle)
-        .withColumn("node", F.xxhash64("bits")), "wide")
-    classes = staged(
-        marked.groupBy("node").agg(F.first("bits").alias("bits"), F.first("blocks").alias("blocks")), "classes")
     keyed = classes.select("node", F.posexplode("blocks").alias("block", "value"))
-    pairs, large = _bucket_pairs(keyed, ["block", "value"], hot=False)
+    pairs, large = _bucket_pairs(keyed, ["block", "value"], last=False)
     split = large.select("node", "block", "value").join(
         classes.select("node", "blocks"), "node").select(
-        "node", "block", "value", F.posexplode("blocks").alias("block2", "value2")).where("block2 != block")
+        "node", "block", "value", F.posexplode("blocks").alias("block2", "value2"))
     # The same two blocks meet from either side.
-    pair_key = split.select(
+    first = F.col("block") < F.col("block2")
+    by_two = split.where("block2 != block").select(
         "node", F.least("block", "block2").alias("b1"), F.greatest("block", "block2").alias("b2"),
-        F.when(F.col("block") < F.col("block2"), F.col("value")).otherwise(F.col("value2")).alias("v1"),
-        F.when(F.col("block") < F.col("block2"), F.col("value2")).otherwise(F.col("value")).alias("v2")).distinct()
-    more, _ = _bucket_pairs(pair_key, ["b1", "b2", "v1", "v2"], hot=True)
-    candidates = pairs.union(more).distinct()
-    left = classes.select(F.col("node").alias("u"), F.col("bits").alias("a"))
-    right = classes.select(F.col("node").alias("v"), F.col("bits").alias("b"))
-    apart = sum((F.bit_count(F.col("a")[n].bitwiseXOR(F.col("b")[n])) for n in range(WORDS)), F.lit(0))
-    links = candidates.join(left, "u").join(right, "v").where(apart <= most_distance(similarity))
-    roots = connected(links.select("u", "v"))
+        F.when(first, F.col("value")).otherwise(F.col("value2")).alias("v1"),
+        F.when(first, F.col("value2")).otherwise(F.col("value")).alias("v2")).distinct()
+    more, _ = _bucket_pairs(by_two, ["b1", "b2", "v1", "v2"], last=True)
+    candidates = staged(pairs.union(more).distinct(), "candidates")
+    # All classes are shuffled once; the joins that follow see only those that may be linked.
+    involved = candidates.select(F.col("u").alias("node")).union(
+        candidates.select(F.col("v").alias("node"))).distinct()
+    held = staged(classes.join(involved, "node"), "held")
+    apart = sum((F.bit_count(F.col("a")[n].bitwiseXOR(F.col("b")[n])) for n in range(blocks)), F.lit(0))
+    links = (
+        candidates.join(held.select(F.col("node").alias("u"), F.col("blocks").alias("a")), "u")
+        .join(held.select(F.col("node").alias("v"), F.col("blocks").alias("b")), "v")
+        .where(apart <= distance).select("u", "v"))
+    return links, held
+
+
+def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``_doc``, ``_digest``, ``node`` and ``root``: documents and the group of their fingerprint.
+
+    Linked are documents whose wide fingerprints share a block and differ in no more bits than
+    texts of the given similarity do. With up to 41 differing bits two of them always share a block;
+    near a similarity of 0.9 they do in nineteen of twenty cases, near 0.8 in more than half.
+    Documents without words have one fingerprint.
+    """
+    marked = staged(
+        _wide(with_key(docs), ["_doc", "_digest"], shingle)
+        .withColumn("node", F.xxhash64("blocks")), "wide")
+    classes = staged(marked.groupBy("node").agg(F.first("blocks").alias("blocks")), "classes")
+    roots = connected(block_links(classes, BLOCKS, most_distance(similarity))[0])
     return marked.select("_doc", "_digest", "node").join(roots, "node", "left").select(
         "_doc", "_digest", "node", F.coalesce("root", "node").alias("root"))
 

@@ -104,41 +104,39 @@ def test_components_of_a_long_chain_and_none(spark):
 
 # ---- line dedup ----
 
-def kept_lines(docs, least=0.8, distance=2):
-    """Text per row with the groups of comparable lines cut down to their earliest line."""
-    seen: dict[bytes, list] = {}
+def test_edit_distance_by_table():
+    rng = np.random.default_rng(2)
+    for _ in range(1500):
+        a, b = (list(rng.integers(0, 3, rng.integers(0, 14))) for _ in range(2))
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        for most in (2, 5, 20):
+            found = edit.distance(a, b, most)
+            assert found == row[-1] if row[-1] <= most else found > most
+    assert edit.similar("", "", 0.8) and edit.similar("abcde", "abcdx", 0.8) and not edit.similar("abcd", "abcx", 0.8)
+
+
+def kept_lines(docs, least=0.8, distance=lines.DISTANCE):
+    """Comparable lines with their places, and the group of each by comparing all pairs."""
     places = []
     for doc_id, text in docs:
-        digest_order = text or ""
         for number, line in enumerate((text or "").encode().split(b"\n")):
             if normal := lines.normalised(line):
-                seen.setdefault(normal, [])
-                places.append((doc_id, digest_order, number, normal))
-    normals = sorted(seen)
-    hashes = {n: np.array([__import__("xxhash").xxh3_64_intdigest(n)], np.uint64).view(np.int64)[0] for n in normals}
-    fps = dict(zip(normals, lines.fingerprints(normals).tolist())) if normals else {}
-    by_fp: dict[int, list] = {}
-    for normal in sorted(normals, key=hashes.get):
-        by_fp.setdefault(fps[normal], []).append(normal)
-    links, leaders = [], []
-    for members in by_fp.values():
-        own = []
-        for normal in members:
-            lead = next((l for l in own if edit.similar(normal.decode(), l.decode(), least)), None)
-            if lead is None:
-                own.append(normal)
-            else:
-                links.append((normal, lead))
-        leaders += own
-    for a in range(len(leaders)):
-        for b in range(a):
-            x, y = leaders[a], leaders[b]
-            apart = bin((fps[x] ^ fps[y]) & (2**64 - 1)).count("1")
-            if 0 < apart <= distance and edit.similar(x.decode(), y.decode(), least):
-                links.append((x, y))
-    index = {n: k for k, n in enumerate(normals)}
-    joined = {(index[a], index[b]) for a, b in links} | {(index[b], index[a]) for a, b in links}
-    return places, brute.components(list(range(len(normals))), lambda a, b: (a, b) in joined), index
+                places.append((doc_id, text, number, normal))
+    normals = sorted({normal for *_, normal in places})
+    blocks = lines.fingerprints(normals)
+
+    def linked(a, b):
+        return (blocks[a] == blocks[b]).any() and int(
+            np.bitwise_count(blocks[a] ^ blocks[b]).sum()) <= distance and edit.similar(
+            normals[a].split(), normals[b].split(), least)
+
+    group = brute.components(list(range(len(normals))), linked)
+    return places, group, {normal: k for k, normal in enumerate(normals)}
 
 
 NEAR = "this line tells about a river that flows slowly through the wide green valley in spring and summer"

@@ -17,13 +17,12 @@ from test_dealt import kept_lines, mixed, overlapping
 
 def near_groups(texts, shingle=5, similarity=0.8):
     """Group number per text: share a block, differ in few enough bits."""
-    packed = [simhash.wide_fingerprint(simhash.shingle_hashes((t or "").encode(), shingle)) for t in texts]
-    blocks = [simhash.block_values(p) for p in packed]
+    blocks = [simhash.wide_fingerprint(simhash.shingle_hashes((t or "").encode(), shingle)) for t in texts]
     most = simhash.most_distance(similarity)
 
     def linked(a, b):
         return (blocks[a] == blocks[b]).any() and \
-            int(np.bitwise_count(packed[a] ^ packed[b]).sum()) <= most
+            int(np.bitwise_count(blocks[a] ^ blocks[b]).sum()) <= most
 
     return brute.components(list(range(len(texts))), linked)
 
@@ -177,3 +176,19 @@ def test_contradicting_and_odd_labels(spark):
     docs = spark.createDataFrame([(1, "x " * 20), (2, None), (None, "y " * 20)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (None, 0), (3, None), (9, 0)], "doc_id long, quality int")
     assert quality.learn(docs, labels) == []
+
+
+def test_fingerprints_count_every_bit():
+    """Long and short lines, and documents beyond a byte's count, against counting bit by bit."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(n)).encode() for n in (5, 6, 255, 256, 257, 2000, 7)]
+    got = lines.fingerprints(texts)
+    for text, blocks in zip(texts, got):
+        words = [__import__("xxhash").xxh3_64_intdigest(w) for w in text.split()]
+        pairs = np.array([(a * int(simhash.STEP) + b) % 2**64 for a, b in zip(words, words[1:])], np.uint64)
+        bits = np.unpackbits(simhash.lane_octets(pairs, lines.LANES), axis=1, bitorder="little")[:, :280]
+        assert (simhash.in_blocks((2 * bits.sum(axis=0, dtype=int) > len(pairs))[None], 28)[0] == blocks).all()
+    hashes = np.unique(simhash.shingle_hashes(texts[5], 2))
+    bits = np.unpackbits(simhash.lane_octets(hashes, simhash.WORDS), axis=1, bitorder="little")[:, :1008]
+    assert (simhash.in_blocks((2 * bits.sum(axis=0, dtype=int) > len(hashes))[None])[0]
+            == simhash.wide_fingerprint(hashes)).all()
