@@ -1,9 +1,9 @@
 """Line dedup across documents: fuzzy lines keep one occurrence per connected group.
 
-Lines are normalised and fingerprinted by SimHash over their pairs of neighbouring words. Equal
-normalised lines are one class. Fingerprints are cut into blocks; classes that share a block and whose
-fingerprints are close are compared by edit similarity in words, similar ones are linked, and
-connected groups keep their earliest line.
+Equal normalised lines are one class. An edit touches at most as many runs of q words as q, so two
+lines within the bound share a known number of their runs, and hence at least one of the first few
+in any fixed order (a prefix). Classes that share such a run are compared by edit similarity in words,
+similar ones are linked, and connected groups keep their earliest line. No similar pair is missed.
 
 Only the kept lines go back to their documents, one row per group. A line that a third of all
 documents share is one buffer per task of an aggregate and is never joined.
@@ -11,27 +11,33 @@ documents share is one buffer per task of an aggregate and is never joined.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from meterflow.llm.components import connected
+from meterflow.llm.buckets import grouped
 from meterflow.llm.edit import similar
 from meterflow.llm.shared import explode_texts, staged, text_bytes, with_key
 from meterflow.llm.simhash import (
-    COUNTED, SPREAD, STEP, block_links, in_blocks, lane_octets,
+    COUNTED, MIX1, MIX2, SPREAD, STEP, in_blocks, lane_octets,
 )
 from meterflow.operators.skew import broadcast_if_small
 
 MIN_WORDS = 5
 SIMILARITY = 0.8
-# Ten blocks of 28 bits: with up to nine differing bits two lines always share one; with one word in
-# a hundred changed nine of ten pairs do, with one in fifty half of them. Unlike lines differ in about
-# half of their bits, and by chance share a block only among hundreds of millions of lines.
+# Runs of so many words, the longest first that the edit bound leaves any of.
+RUNS = (3, 2, 1)
+# How common runs are is counted on one in so many documents, in so many cells. Rare runs come first in
+# the order; any order gives the same result.
+SAMPLED, RANK_BITS, RANKED = 64, 20, 4
+SIGN_BITS = 256
+# Shape of the fingerprints that ``fingerprints`` gives; they take no part in the dedup.
 BLOCKS, WIDTH, DISTANCE = 10, 28, 70
 PAIRS = 1 << 15
 LANES = 5
@@ -40,12 +46,127 @@ OCTETS = BLOCKS * WIDTH // 8
 NORMAL = bytes(
     c + 32 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c if 97 <= c <= 122 or c > 127 else 32
     for c in range(256))
+# Characters of scripts without blanks count as words: kana and ideographs, Thai and Lao.
+UNSPACED = re.compile(rb"[\xe3-\xe9][\x80-\xbf]{2}|\xf0[\xa0-\xbf][\x80-\xbf]{2}|\xe0[\xb8-\xbb][\x80-\xbf]")
 
 
 def normalised(line: bytes) -> bytes:
-    """A line as it is compared; empty if it has too few words to be compared at all."""
-    words = line.translate(NORMAL).split()
-    return b" ".join(words) if len(words) >= MIN_WORDS else b""
+    """A line as it is compared: one with too few words only as it stands, without blanks around it."""
+    spaced = line if line.isascii() else UNSPACED.sub(rb" \g<0> ", line)
+    words = spaced.translate(NORMAL).split()
+    return b" ".join(words) if len(words) >= MIN_WORDS else line.strip()
+
+
+def most_edits(length: int, least: float) -> int:
+    return int(length * (1 - least) + 1e-9)
+
+
+@lru_cache(maxsize=1 << 16)
+def prefixes(length: int, least: float) -> tuple[tuple[int, int], ...]:
+    """``(q, count)``: how many of its first runs of q words a line of ``length`` words needs.
+
+    Over all lengths ``n`` of a longer partner: k edits leave ``n - q + 1 - q * k`` runs in common.
+    """
+    needed: dict[int, int] = {}
+    n = length
+    while n - length <= most_edits(n, least):
+        k = most_edits(n, least)
+        q = next(q for q in RUNS if n - q + 1 - q * k >= 1)
+        runs = length - q + 1
+        needed[q] = max(needed.get(q, 0), min(runs, runs - (n - q + 1 - q * k) + 1))
+        n += 1
+    return tuple((q, count) for q, count in needed.items() if count > 0)
+
+
+def word_runs(words: np.ndarray, q: int) -> np.ndarray:
+    """Hash of the ``q`` words from each place on."""
+    mixed = np.full(len(words), q, np.uint64)
+    for ahead in range(q):
+        mixed = (mixed ^ np.roll(words, -ahead)) * MIX1
+        mixed ^= mixed >> np.uint64(29)
+    mixed *= MIX2
+    return mixed ^ (mixed >> np.uint64(32))
+
+
+def _in_parts(lines: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First line, word hashes and lengths of parts of the lines that fit into memory."""
+    begin = 0
+    while begin < len(lines):
+        end, words, lengths = begin, [], []
+        while end < len(lines) and (len(words) < PAIRS or end == begin):
+            own = lines[end].split()
+            words += own
+            lengths.append(len(own))
+            end += 1
+        codes, distinct = pd.factorize(np.array(words, dtype=object))
+        hashes = np.array([xxhash.xxh3_64_intdigest(word) for word in distinct], np.uint64)
+        yield begin, hashes[codes], np.array(lengths)
+        begin = end
+
+
+def keys_and_signs(
+    lines: list[bytes], least: float, rank: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of all lines behind each other, their number per line, and the lines' signs.
+
+    A sign has one bit per word hash: an edit changes at most two bits. Lines too short to be like
+    any other have no key.
+    """
+    keys, counts = [np.empty(0, np.uint64)], np.zeros(len(lines), np.int64)
+    signs = np.zeros((len(lines), SIGN_BITS // 8), np.uint8)
+    for begin, words, lengths in _in_parts(lines):
+        size = len(lengths)
+        owner = np.repeat(np.arange(size), lengths)
+        bits = np.zeros((size, SIGN_BITS), np.uint8)
+        bits[owner, (words % np.uint64(SIGN_BITS)).astype(np.int64)] = 1
+        signs[begin:begin + size] = np.packbits(bits, axis=1, bitorder="little")
+        within = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        made, owners = [], []
+        for q in RUNS:
+            wanted = np.array([
+                dict(prefixes(n, least)).get(q, 0) if n >= MIN_WORDS else 0 for n in lengths.tolist()])
+            held = (within + q <= lengths[owner]) & (wanted[owner] > 0)
+            if not held.any():
+                continue
+            of, codes = owner[held], word_runs(words, q)[held]
+            order = np.lexsort((codes, rank[codes >> np.uint64(64 - RANK_BITS)], of))
+            of, codes = of[order], codes[order]
+            per_line = np.bincount(of, minlength=size)
+            place = np.arange(len(of)) - (np.cumsum(per_line) - per_line)[of]
+            again = np.zeros(len(of), bool)
+            again[1:] = (of[1:] == of[:-1]) & (codes[1:] == codes[:-1])
+            stays = (place < wanted[of]) & ~again
+            made.append(codes[stays])
+            owners.append(of[stays])
+        if made:
+            owner = np.concatenate(owners)
+            keys.append(np.concatenate(made)[np.argsort(owner, kind="stable")])
+            counts[begin:begin + size] = np.bincount(owner, minlength=size)
+    return np.concatenate(keys), counts, signs
+
+
+def ranks(keyed: DataFrame) -> np.ndarray:
+    """By leading bits of a run's hash, the binary logarithm of its count in a sample of documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << RANK_BITS, np.int64)
+        for batch in batches:
+            lines = [normal for data in batch.column("_text").to_pylist()
+                     for line in set(data.split(b"\n")) if (normal := normalised(line))]
+            for _, words, _ in _in_parts(lines):
+                cells = word_runs(words, RUNS[0]) >> np.uint64(64 - RANK_BITS)
+                total += np.bincount(cells.astype(np.int64), minlength=len(total))
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(total[cells])], ["cell", "n"])
+
+    counted = (
+        keyed.where(F.pmod(F.xxhash64("_digest"), F.lit(SAMPLED)) == 0).select(text_bytes().alias("_text"))
+        .mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= RANKED).collect())
+    rank = np.zeros(1 << RANK_BITS, np.uint8)
+    for row in counted:
+        rank[row.cell] = int(row.n).bit_length()
+    return rank
 
 
 def fingerprints(lines: list[bytes]) -> np.ndarray:
@@ -75,8 +196,8 @@ def fingerprints(lines: list[bytes]) -> np.ndarray:
     return out
 
 
-def _lines_of_batch(texts: list[bytes]) -> tuple:
-    """Per comparable line: its text's place, hash, fingerprint and number in the text."""
+def _lines_of_batch(texts: list[bytes], least: float, rank: np.ndarray) -> tuple:
+    """Per comparable line: its text's place, hash, keys, sign and number in the text."""
     owners, numbers, lines = [], [], []
     for place, data in enumerate(texts):
         for number, line in enumerate(data.split(b"\n")):
@@ -85,10 +206,18 @@ def _lines_of_batch(texts: list[bytes]) -> tuple:
                 numbers.append(number)
                 lines.append(normal)
     hashes = np.array([xxhash.xxh3_64_intdigest(line) for line in lines], np.uint64).view(np.int64)
-    blocks = pa.ListArray.from_arrays(
-        pa.array(np.arange(len(lines) + 1, dtype=np.int32) * BLOCKS),
-        pa.array(fingerprints(lines).ravel()))
-    return np.array(owners, np.int64), hashes, blocks, np.array(numbers, np.int32)
+    # Lines that come again in the batch are the same class and need their keys once.
+    _, firsts, same = np.unique(hashes, return_index=True, return_inverse=True)
+    keys, counts, signs = keys_and_signs([lines[n] for n in firsts], least, rank)
+    ends = np.concatenate(([0], np.cumsum(counts)))
+    at = pa.array(same, pa.int64())
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.view(np.int64))).take(at)
+    longs = signs.view("<i8").reshape(len(firsts), SIGN_BITS // 64)
+    lengths = np.array([len(lines[n].split()) for n in firsts], np.int32)
+    sign = pa.StructArray.from_arrays(
+        [pa.array(lengths, pa.int32()), *[pa.array(np.ascontiguousarray(longs[:, n])) for n in range(SIGN_BITS // 64)]],
+        ["n", *[f"s{n}" for n in range(SIGN_BITS // 64)]]).take(at)
+    return np.array(owners, np.int64), hashes, lists, sign, np.array(numbers, np.int32)
 
 
 def _candidate_texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -131,7 +260,7 @@ def _alike(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return beside.mapInArrow(run, "u long, v long")
 
 
-def groups(docs: DataFrame, least: float = SIMILARITY, distance: int = DISTANCE) -> DataFrame:
+def groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The kept line of each group of comparable lines: ``_doc``, ``_digest``, ``_line``.
 
     Also ``size``, the number of its occurrences. Earliest is the smallest doc_id (null
@@ -139,21 +268,40 @@ def groups(docs: DataFrame, least: float = SIMILARITY, distance: int = DISTANCE)
     """
     keyed = with_key(docs)
     place = F.struct("_doc", "_digest", "_line")
+    rank = ranks(keyed)
+    signed = ", ".join(f"s{n}: long" for n in range(SIGN_BITS // 64))
     lines = explode_texts(
-        keyed, ["_doc", "_digest"], "_hash long, blocks array<int>, _line int", _lines_of_batch)
+        keyed, ["_doc", "_digest"],
+        f"_hash long, keys array<long>, sign struct<n: int, {signed}>, _line int",
+        lambda texts: _lines_of_batch(texts, least, rank))
     classes = staged(
         lines.groupBy("_hash").agg(
-            F.min(place).alias("first"), F.count("*").alias("n"), F.first("blocks").alias("blocks")),
+            F.min(place).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys"),
+            F.first("sign").alias("sign")),
         "classes")
-    links, held = block_links(
-        classes.select(F.col("_hash").alias("node"), "blocks", "first"), BLOCKS, distance)
-    near = staged(links, "near")
-    fuzzy = near.select(F.col("u").alias("node")).union(
-        near.select(F.col("v").alias("node"))).distinct()
-    wanted = held.select("first", "node").join(fuzzy, "node").select(
-        "first.*", F.col("node").alias("_hash"))
-    texts = staged(_candidate_texts(keyed, wanted), "texts")
-    roots = connected(_alike(near, texts, least))
+
+    def may(a: Column, b: Column) -> Column:
+        most = F.floor(F.greatest(a["n"], b["n"]) * (1 - least) + 1e-9)
+        apart = sum((F.bit_count(a[f"s{n}"].bitwiseXOR(b[f"s{n}"])) for n in range(SIGN_BITS // 64)), F.lit(0))
+        return (F.abs(a["n"] - b["n"]) <= most) & (apart <= 2 * most)
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        # Classes are shuffled once; what follows sees only those that may be linked.
+        involved = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+        held = staged(classes.select(F.col("_hash").alias("node"), "first", "sign").join(
+            involved, "node"), "held")
+        near = staged(
+            pairs.join(held.select(F.col("node").alias("u"), F.col("sign").alias("a")), "u")
+            .join(held.select(F.col("node").alias("v"), F.col("sign").alias("b")), "v")
+            .where(may(F.col("a"), F.col("b"))).select("u", "v"), "near")
+        fuzzy = near.select(F.col("u").alias("node")).union(
+            near.select(F.col("v").alias("node"))).distinct()
+        wanted = held.select("first", "node").join(fuzzy, "node").select(
+            "first.*", F.col("node").alias("_hash"))
+        return _alike(near, staged(_candidate_texts(keyed, wanted), "texts"), least)
+
+    roots = grouped(classes.select(
+        F.col("_hash").alias("node"), "sign", F.explode("keys").alias("key")), may, alike)
     return (
         classes.select("_hash", "first", "n").join(roots, classes["_hash"] == roots["node"], "left")
         .groupBy(F.coalesce("root", "_hash").alias("_root"))
@@ -161,16 +309,16 @@ def groups(docs: DataFrame, least: float = SIMILARITY, distance: int = DISTANCE)
         .select("first.*", "size"))
 
 
-def dedup(docs: DataFrame, least: float = SIMILARITY, distance: int = DISTANCE) -> DataFrame:
+def dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The columns of the documents with repeated lines taken out, ``n_lines`` and ``n_removed``.
 
-    A line is comparable if it has at least five words; others always stay, as does the order of
-    lines. Texts that lose nothing are unchanged, null stays null. Repeated rows (same id, same
+    Lines of at least five words are compared with edits allowed, shorter ones are repeated if
+    they are equal but for blanks around them; blank lines always stay, as does the order of lines. Texts that lose nothing are unchanged, null stays null. Repeated rows (same id, same
     text) are one document and keep the same lines. Input columns named ``n_lines`` or ``n_removed``
     are replaced. No input rows, no result rows.
     """
     kept_columns = [name for name in docs.columns if name not in ("n_lines", "n_removed")]
-    lists = groups(docs, least, distance).groupBy("_doc", "_digest").agg(
+    lists = groups(docs, least).groupBy("_doc", "_digest").agg(
         F.collect_list("_line").alias("_stays"))
     joined = with_key(docs.select(*kept_columns)).join(lists, ["_doc", "_digest"], "left")
 
