@@ -8,10 +8,15 @@ each other.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from meterflow.llm.buckets import grouped
 from meterflow.llm.components import connected
 from meterflow.llm.pigeonhole import close_pairs
 from meterflow.llm.shared import map_texts, staged, with_key
@@ -75,7 +80,7 @@ def components(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFram
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-# ---- wide fingerprints, for copies with many small changes ----
+# ---- wide fingerprints; and shingle sets, for copies with many small changes ----
 
 BLOCK_BITS = 24
 WORDS, BLOCKS = 16, 42
@@ -120,14 +125,6 @@ def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
     return in_blocks((2 * ones > len(hashes))[None, : BLOCKS * BLOCK_BITS])[0]
 
 
-def _wide(docs: DataFrame, keep: list[str], shingle: int) -> DataFrame:
-    def of_batch(texts: list[bytes]):
-        for data in texts:
-            yield (wide_fingerprint(shingle_hashes(data, shingle)).tolist(),)
-
-    return map_texts(docs, keep, "blocks array<int>", of_batch)
-
-
 def _bucket_pairs(members: DataFrame, key: list[str], last: bool) -> tuple[DataFrame, DataFrame]:
     """Pairs of nodes in one bucket, and the members of buckets that are too large to pair.
 
@@ -188,19 +185,80 @@ def block_links(
     return links, held
 
 
+def shingle_set(data: bytes, shingle: int) -> np.ndarray:
+    """The distinct shingle hashes of a text in rising order."""
+    return np.unique(shingle_hashes(data, shingle))
+
+
+def prefix_length(size: int, similarity: float) -> int:
+    """How many of its smallest shingle hashes a set needs so that every similar set shares one."""
+    return size - math.ceil(size * similarity - 1e-9) + 1 if size else 0
+
+
+def jaccard(left: np.ndarray, right: np.ndarray) -> float:
+    """Similarity of two sets of distinct values; two empty ones are alike."""
+    both = len(np.intersect1d(left, right, assume_unique=True))
+    union = len(left) + len(right) - both
+    return both / union if union else 1.0
+
+
+def _sets(keyed: DataFrame, held: DataFrame, shingle: int) -> DataFrame:
+    """``node`` and ``shingles`` of each held class, from the document that holds it first."""
+    docs = keyed.select("_doc", "_digest", "text").join(
+        broadcast_if_small(held.select("first.*", "node")), ["_doc", "_digest"])
+
+    def of_batch(texts: list[bytes]):
+        for data in texts:
+            yield (shingle_set(data, shingle).view(np.int64),)
+
+    return map_texts(docs, ["node"], "shingles array<bigint>", of_batch).dropDuplicates(["node"])
+
+
 def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``_doc``, ``_digest``, ``node`` and ``root``: documents and the group of their fingerprint.
+    """``_doc``, ``_digest``, ``node`` and ``root``: documents and the group of their shingle set.
 
-    Linked are documents whose wide fingerprints share a block and differ in no more bits than
-    texts of the given similarity do. With up to 41 differing bits two of them always share a block;
-    near a similarity of 0.9 they do in nineteen of twenty cases, near 0.8 in more than half.
-    Documents without words have one fingerprint.
+    Linked are documents whose sets of shingles have at least the given Jaccard similarity. Sets
+    that similar share one of the smallest hashes that each lists, so none is missed; the similarity
+    is computed from the whole sets. Documents without words have one set.
     """
-    marked = staged(
-        _wide(with_key(docs), ["_doc", "_digest"], shingle)
-        .withColumn("node", F.xxhash64("blocks")), "wide")
-    classes = staged(marked.groupBy("node").agg(F.first("blocks").alias("blocks")), "classes")
-    roots = connected(block_links(classes, BLOCKS, most_distance(similarity))[0])
+    keyed = with_key(docs)
+
+    def of_batch(texts: list[bytes]):
+        for data in texts:
+            own = shingle_set(data, shingle)
+            keys = own[: prefix_length(len(own), similarity)].view(np.int64)
+            yield xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63), keys, len(own)
+
+    marked = staged(map_texts(
+        keyed, ["_doc", "_digest"], "node long, keys array<bigint>, sign long", of_batch), "sets")
+    classes = staged(marked.groupBy("node").agg(
+        F.min(F.struct("_doc", "_digest")).alias("first"), F.first("keys").alias("keys"),
+        F.first("sign").alias("sign")), "classes")
+
+    def may(a: Column, b: Column) -> Column:
+        return F.least(a, b) >= F.greatest(a, b) * similarity - 1e-9
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        involved = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+        held = staged(classes.select("node", "first", "sign").join(involved, "node"), "held")
+        sets = staged(_sets(keyed, held, shingle), "shingles")
+        near = pairs
+        for side, name in (("u", "_left"), ("v", "_right")):
+            near = near.join(held.select(F.col("node").alias(side), F.col("sign").alias(name)), side)
+        near = staged(near.where(may(F.col("_left"), F.col("_right"))).select("u", "v"), "near")
+        for side, name in (("u", "_left"), ("v", "_right")):
+            near = near.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(name)), side)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                left, right = batch.column("_left"), batch.column("_right")
+                keep = [jaccard(left[n].values.to_numpy(), right[n].values.to_numpy()) >= similarity - 1e-9
+                        for n in range(batch.num_rows)]
+                yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+        return near.select("u", "v", "_left", "_right").mapInArrow(run, "u long, v long")
+
+    roots = grouped(classes.select("node", "sign", F.explode("keys").alias("key")), may, alike)
     return marked.select("_doc", "_digest", "node").join(roots, "node", "left").select(
         "_doc", "_digest", "node", F.coalesce("root", "node").alias("root"))
 
