@@ -84,7 +84,6 @@ def components(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFram
 
 BLOCK_BITS = 24
 WORDS, BLOCKS = 16, 42
-PAIRED_BUCKET = 32
 # By byte value, its eight bits as the eight bytes of a word: adding such words counts all bits at
 # once, and a byte can count 255 rows.
 SPREAD = np.unpackbits(
@@ -125,66 +124,6 @@ def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
     return in_blocks((2 * ones > len(hashes))[None, : BLOCKS * BLOCK_BITS])[0]
 
 
-def _bucket_pairs(members: DataFrame, key: list[str], last: bool) -> tuple[DataFrame, DataFrame]:
-    """Pairs of nodes in one bucket, and the members of buckets that are too large to pair.
-
-    On the ``last`` level nothing is left over: members of large buckets are paired with the
-    smallest one.
-    """
-    buckets = staged(members.groupBy(*key).agg(
-        F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"),
-    ).where("n > 1"), "buckets")
-    # Most shared buckets hold one pair, which the aggregate already names.
-    pairs = buckets.where("n = 2").select(F.col("low").alias("u"), F.col("high").alias("v"))
-    # Few buckets have more members; their table is sent along if it is measured to be small.
-    crowded = broadcast_if_small(buckets.where("n > 2").select(*key, "n", "low"))
-    shared = staged(members.join(crowded, key), "shared")
-    small = shared.where(F.col("n") <= PAIRED_BUCKET)
-    pairs = pairs.union(
-        small.select(*key, F.col("node").alias("u")).join(
-            small.select(*key, F.col("node").alias("v")), key).where("u < v").select("u", "v"))
-    large = shared.where(F.col("n") > PAIRED_BUCKET)
-    if last:
-        pairs = pairs.union(large.where("node != low").select(
-            F.col("low").alias("u"), F.col("node").alias("v")))
-    return pairs, large
-
-
-def block_links(
-    classes: DataFrame, blocks: int, distance: int,
-) -> tuple[DataFrame, DataFrame]:
-    """``u`` < ``v``: nodes that share a block and differ in at most ``distance`` bits.
-
-    ``classes`` has one row per ``node`` with its ``blocks``; also returned are the rows of all
-    nodes that share any block. Nodes of a bucket with few members are paired; those of a
-    large one are split by each of their other blocks, and if that leaves a large bucket again,
-    its members are compared with the smallest of them.
-    """
-    keyed = classes.select("node", F.posexplode("blocks").alias("block", "value"))
-    pairs, large = _bucket_pairs(keyed, ["block", "value"], last=False)
-    split = large.select("node", "block", "value").join(
-        classes.select("node", "blocks"), "node").select(
-        "node", "block", "value", F.posexplode("blocks").alias("block2", "value2"))
-    # The same two blocks meet from either side.
-    first = F.col("block") < F.col("block2")
-    by_two = split.where("block2 != block").select(
-        "node", F.least("block", "block2").alias("b1"), F.greatest("block", "block2").alias("b2"),
-        F.when(first, F.col("value")).otherwise(F.col("value2")).alias("v1"),
-        F.when(first, F.col("value2")).otherwise(F.col("value")).alias("v2")).distinct()
-    more, _ = _bucket_pairs(by_two, ["b1", "b2", "v1", "v2"], last=True)
-    candidates = staged(pairs.union(more).distinct(), "candidates")
-    # All classes are shuffled once; the joins that follow see only those that may be linked.
-    involved = candidates.select(F.col("u").alias("node")).union(
-        candidates.select(F.col("v").alias("node"))).distinct()
-    held = staged(classes.join(involved, "node"), "held")
-    apart = sum((F.bit_count(F.col("a")[n].bitwiseXOR(F.col("b")[n])) for n in range(blocks)), F.lit(0))
-    links = (
-        candidates.join(held.select(F.col("node").alias("u"), F.col("blocks").alias("a")), "u")
-        .join(held.select(F.col("node").alias("v"), F.col("blocks").alias("b")), "v")
-        .where(apart <= distance).select("u", "v"))
-    return links, held
-
-
 def shingle_set(data: bytes, shingle: int) -> np.ndarray:
     """The distinct shingle hashes of a text in rising order."""
     return np.unique(shingle_hashes(data, shingle))
