@@ -3,8 +3,9 @@
 The evidence outlives a micro-batch as a table in shared storage, partitioned by hour and batch,
 instead of as one list in one task. Each batch adds its known outages and then scores its unknown
 outages with the batch operator over the hours that hold unknown outages and the hours before
-them. Evidence counts once it has arrived, in the same or an earlier batch. Hours that lie far
-behind the typical event of a batch are removed, and so are unknown outages already scored.
+them. Evidence counts once it has arrived, in the same or an earlier batch. After scoring, hours that lie far
+behind the typical event of a batch are removed, and so are unknown outages already scored; hours that
+the batch's own unknown outages need stay until the next batch.
 """
 
 from __future__ import annotations
@@ -44,12 +45,15 @@ class TopologyBatches:
                 return None
             raise
 
-    def _expire(self, spark: SparkSession, oldest_hour: int, batch_id: int) -> None:
-        """Remove evidence before an hour, and unknown outages of earlier batches."""
+    def _expire(
+        self, spark: SparkSession, oldest_hour: int, batch_id: int, needed: set[int],
+    ) -> None:
+        """Remove evidence before an hour, except needed hours, and unknown outages of earlier batches."""
         path = spark._jvm.org.apache.hadoop.fs.Path
         files = path(self.occurrences).getFileSystem(spark._jsc.hadoopConfiguration())
         for folder in files.globStatus(path(f"{self.occurrences}/known=true/hour=*")) or ():
-            if int(folder.getPath().getName().partition("=")[2]) < oldest_hour:
+            hour = int(folder.getPath().getName().partition("=")[2])
+            if hour < oldest_hour and hour not in needed:
                 files.delete(folder.getPath(), True)
         for folder in files.globStatus(path(f"{self.occurrences}/known=false/hour=*/batch_id=*")) or ():
             if int(folder.getPath().getName().partition("=")[2]) < batch_id:
@@ -65,19 +69,25 @@ class TopologyBatches:
         (occurred.repartition("known", "hour", F.pmod(F.xxhash64("msn"), F.lit(16)))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("known", "hour", "batch_id").parquet(self.occurrences))
+        hours = self._score(spark, batch_id)
         known = self._stored(spark, f"known=true/hour=*/batch_id={batch_id}")
         if known is not None:
             # The median, so that a few wrong clocks do not decide what is old.
             typical = known.agg(F.percentile_approx("hour", 0.5)).first()[0]
             if typical is not None:
-                self._expire(spark, typical - self.keep_hours, batch_id)
+                needed = {row.hour for row in hours.collect()} if hours is not None else set()
+                self._expire(spark, typical - self.keep_hours, batch_id, needed)
+
+    def _score(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """Write the results of a batch; the hours of its unknown outages and those before them."""
         unknown = self._stored(spark, f"known=false/hour=*/batch_id={batch_id}")
         evidence = self._stored(spark, "known=true/hour=*/batch_id=*")
         if unknown is None or evidence is None:
-            return
+            return None
         # One small row per hour; joined on the partition column, so other hours are not read.
         hours = unknown.select(F.explode(F.array("hour", F.col("hour") - 1)).alias("hour")).distinct()
         recent = evidence.where(F.col("batch_id") <= batch_id).join(hours, "hour", "left_semi")
         write_batch(
             topology.topology_results(recent.select(unknown.columns).unionByName(unknown)), TABLE,
             self.root, batch_id, self.output)
+        return hours
