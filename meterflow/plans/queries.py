@@ -166,7 +166,8 @@ def _hierarchy_file(spark, sf_dir, header):
     path = scratch_path(spark, "hierarchy")
     rows = derive.network_hierarchy(spark, sf_dir)
     columns = column_names(NETWORK_HIERARCHY)
-    rows.coalesce(1).sortWithinPartitions("ordinal").select(*columns).write.option(
+    # Files are read in the order of their names, which follow the ranges.
+    rows.repartitionByRange("ordinal").sortWithinPartitions("ordinal").select(*columns).write.option(
         "header", header).csv(path)
     return lookups.network_hierarchy(spark, path, header)
 
