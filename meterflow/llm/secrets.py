@@ -3,8 +3,9 @@
 Fixed forms are assignments to a telling name, access keys and long hex runs. Beside them a window
 slides over every candidate string; the Shannon entropy of the window is kept up to date by
 counts of the characters that enter and leave, and is held against the threshold of the window's
-character class (hex, or letters and digits of both cases). Candidates on the allow-list, or
-without the mix of characters of their class, are not secrets.
+character class: hex, letters and digits of both cases, letters of one case and digits, or letters
+alone. The class is taken of the whole candidate and of its parts between signs without those that
+look like words or numbers. Candidates on the allow-list are not secrets.
 """
 
 from __future__ import annotations
@@ -29,19 +30,39 @@ KINDS = ("assign", "access", "hex", "entropy")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 NAMES = re.compile(r"password|passwd|secret|token|api", re.ASCII | re.IGNORECASE)
 UUID = r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
-# Never secrets: identifiers that only look random, words joined by signs, repeated fillers.
-ALLOWED = (UUID, r"[A-Za-z]+(?:[-_/+=][A-Za-z]*)*", r"[0-9]+(?:[-_/+=][0-9]*)*", r"(.)\1*")
+# Never secrets: identifiers that only look random, numbers joined by signs, repeated fillers.
+ALLOWED = (UUID, r"[0-9]+(?:[-_/+=][0-9]*)*", r"(.)\1*")
+SIGNS = re.compile(r"[-_/+=]+")
+SHORTEST = 20
+# Words in one case, with a capital, or joined by capitals.
+CASED = re.compile(r"[a-z]+|[A-Z]+|(?:[A-Z]?[a-z]{2,}|[A-Z]+[a-z]{2,})+[A-Z]*")
+CONSONANTS = re.compile(r"[bcdfghjklmnpqrstvwxz]{5}", re.IGNORECASE)
+SWITCH = re.compile(r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])")
+
+
+def like_word(part: str) -> bool:
+    """Letters alone, cased as words are; long ones also without long runs of consonants."""
+    return bool(CASED.fullmatch(part)) and (len(part) < SHORTEST or not CONSONANTS.search(part))
+
+
+def core(text: str) -> str:
+    """The parts of a candidate that are neither words nor numbers nor identifiers, put together."""
+    return "".join(part for part in SIGNS.split(re.sub(UUID, "-", text))
+                   if not part.isdigit() and not like_word(part))
 
 
 def class_of(text: str) -> str | None:
-    """``hex``, ``mixed`` or none: the character class whose threshold holds for a string."""
+    """``hex``, ``mixed``, ``alnum``, ``letters`` or none: the class whose threshold holds."""
     digits = any("0" <= c <= "9" for c in text)
     if not digits:
-        return None
+        return "letters" if text.isalpha() else None
     if all(c in "0123456789abcdef" for c in text) or all(c in "0123456789ABCDEF" for c in text):
         return "hex" if any(c > "9" for c in text) else None
     lower, upper = any("a" <= c <= "z" for c in text), any("A" <= c <= "Z" for c in text)
-    return "mixed" if lower and upper else None
+    if lower and upper:
+        return "mixed"
+    # Words with a number at an end or between them change seldom.
+    return "alnum" if (lower or upper) and len(SWITCH.findall(text)) >= 3 else None
 
 
 def peak_entropy(text: str, window: int) -> float:
@@ -84,15 +105,24 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 def entropy_spans(
     text: str, window: int = 20, hex_bits: float = 3.0, mixed_bits: float = 3.5,
+    alnum_bits: float = 3.5, letters_bits: float = 3.75,
     allowed: Iterable[str] = ALLOWED,
 ) -> list[tuple[int, int]]:
     """Candidate strings one of whose windows reaches the threshold of its class."""
     fine = re.compile("|".join(f"(?:{p})" for p in allowed)) if allowed else None
-    limits = {"hex": hex_bits, "mixed": mixed_bits}
-    return [
-        m.span() for m in CANDIDATE.finditer(text)
-        if (kind := class_of(m.group().strip("+/_=-"))) and not (fine and fine.fullmatch(m.group()))
-        and peak_entropy(m.group(), window) >= limits[kind]]
+    limits = {"hex": hex_bits, "mixed": mixed_bits, "alnum": alnum_bits, "letters": letters_bits}
+
+    def random(string: str) -> bool:
+        kind = class_of(string.strip("+/_=-"))
+        # A whole candidate is judged as it stands where its class allows for signs.
+        if kind in ("hex", "mixed") and peak_entropy(string, window) >= limits[kind]:
+            return True
+        rest = core(string)
+        kind = class_of(rest) if len(rest) >= SHORTEST else None
+        return kind is not None and peak_entropy(rest, window) >= limits[kind]
+
+    return [m.span() for m in CANDIDATE.finditer(text)
+            if not (fine and fine.fullmatch(m.group())) and random(m.group())]
 
 
 def listed(found: dict[str, list[tuple[int, int]]]) -> str:
