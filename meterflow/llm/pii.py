@@ -109,10 +109,46 @@ def card(feistel: Feistel, text: str, back: bool) -> str | None:
     return _into(text, body + luhn_digit(body))
 
 
+# Length of an IBAN by country.
+IBAN_LENGTHS = {code: int(length) for length, codes in (
+    part.split(":") for part in (
+        "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,CR,HR,LI,LV "
+        "22:BG,BH,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG "
+        "25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV "
+        "29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU").split())
+    for code in codes.split(",")}
+
+
+def _iban_valid(plain: str) -> bool:
+    return 15 <= len(plain) <= 34 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
+def _iban_start(text: str) -> str | None:
+    """The beginning that is an IBAN by its country's length, if a blank or the end follows it."""
+    left = IBAN_LENGTHS.get(text[:2], 0)
+    for at, char in enumerate(text):
+        left -= char != " "
+        if left == 0:
+            start = text[: at + 1]
+            return start if text[at + 1: at + 2] in ("", " ") and _iban_valid(start.replace(" ", "")) else None
+    return None
+
+
 def iban(feistel: Feistel, text: str, back: bool) -> str | None:
+    """The country's length of the text if that is an IBAN, or else the whole text if it is one."""
+    if start := _iban_start(text):
+        return _iban(feistel, start, back)
+    text_or_none = _iban(feistel, text, back)
+    # An image that would be cut on the way back is walked past.
+    while text_or_none is not None and _iban_start(text_or_none):
+        text_or_none = _iban(feistel, text_or_none, back)
+    return text_or_none
+
+
+def _iban(feistel: Feistel, text: str, back: bool) -> str | None:
     """Country, two check digits by modulus 97, and an account whose digits are permuted."""
     plain = text.replace(" ", "")
-    if not 15 <= len(plain) <= 34 or int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 != 1:
+    if not _iban_valid(plain):
         return None
     account = plain[4:]
     digits = _digits(account)
@@ -141,8 +177,18 @@ def social(feistel: Feistel, text: str, back: bool) -> str | None:
 
 
 def phone(feistel: Feistel, text: str, back: bool) -> str | None:
-    """``+``, country code and 7 to 12 more digits; the country code stays."""
+    """``+``, country code and 7 to 12 more digits; the country code stays.
+
+    Groups behind a blank that make the number too long are not part of it; after ``+1`` ten digits
+    are enough. Only the form decides, so the way back cuts alike.
+    """
     head = re.match(r"\+\d{1,3}", text).group()
+    most = 10 if head == "+1" else min(12, 15 - (len(head) - 1))
+    while len(_digits(text[len(head):])) > most and " " in text[len(head):]:
+        shorter = text[: text.rindex(" ")]
+        if len(_digits(shorter[len(head):])) < (10 if head == "+1" else 7):
+            break
+        text = shorter
     rest = _digits(text[len(head):])
     if not 7 <= len(rest) <= 12 or len(rest) + len(head) - 1 > 15:
         return None
@@ -158,8 +204,11 @@ def address(feistel: Feistel, text: str, back: bool) -> str | None:
     return ".".join(map(str, value.to_bytes(4, "big")))
 
 
-def _dated(order: str) -> Permute:
-    """Calendar dates from 1900 to 2099 with year, month and day in the given order."""
+def _dated(order: str, least_day: int = 1) -> Permute:
+    """Calendar dates from 1900 to 2099 with year, month and day in the given order.
+
+    Dates before ``least_day`` of their month are left, and none of them comes out.
+    """
 
     def permute(feistel: Feistel, text: str, back: bool) -> str | None:
         numbers = dict(zip(order, map(int, re.findall(r"\d+", text))))
@@ -167,16 +216,25 @@ def _dated(order: str) -> Permute:
             day = date(numbers["y"], numbers["m"], numbers["d"]).toordinal()
         except ValueError:
             return None
-        if not FIRST_DAY <= day <= LAST_DAY:
+        if not FIRST_DAY <= day <= LAST_DAY or numbers["d"] < least_day:
             return None
-        moved = date.fromordinal(FIRST_DAY + feistel.number(
-            "date", day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, back))
+        while True:
+            day = FIRST_DAY + feistel.number("date", day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, back)
+            moved = date.fromordinal(day)
+            if moved.day >= least_day:
+                break
         parts = {"y": f"{moved.year:04d}", "m": f"{moved.month:02d}", "d": f"{moved.day:02d}"}
         return _into(text, "".join(parts[name] for name in order))
 
     return permute
 
 
+def _day_or_month_first(feistel: Feistel, text: str, back: bool) -> str | None:
+    """Day, month, year; or with slashes month, day, year where that alone is a date."""
+    value = _dated("dmy")(feistel, text, back)
+    return value if value is not None or "/" not in text else _dated("mdy", 13)(feistel, text, back)
+
+
 def mail(feistel: Feistel, text: str, back: bool) -> str | None:
     """Letters and digits before the ``@`` are permuted among their like; the domain stays."""
     local, _, domain = text.rpartition("@")
@@ -196,13 +254,15 @@ KINDS: dict[str, tuple[re.Pattern, Permute]] = {
     "mail": (re.compile(r"(?<![\w.+-])[\w.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"), mail),
     "iban": (re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?!\w)", re.ASCII), iban),
     "date": (re.compile(r"(?<![\d./-])\d{4}-\d{2}-\d{2}(?![\d./-]*\d)", re.ASCII), _dated("ymd")),
-    "date_dotted": (re.compile(r"(?<![\d./-])\d{2}([./])\d{2}\1\d{4}(?![\d./-]*\d)", re.ASCII), _dated("dmy")),
+    "date_dotted": (re.compile(r"(?<![\d./-])\d{2}([./])\d{2}\1\d{4}(?![\d./-]*\d)", re.ASCII), _day_or_month_first),
     "social": (re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]*\d)", re.ASCII), social),
     "phone": (re.compile(r"(?<![\d+])\+\d{1,3}(?:[ .-]?\(\d+\))?(?:[ .-]?\d+)+(?!\d)", re.ASCII), phone),
     "card": (re.compile(r"(?<![\d.-])\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}(?![\d-]*\d)"
                         r"|(?<![\d.-])\d{4}([ -]?)\d{6}\2\d{5}(?![\d-]*\d)", re.ASCII), card),
     "ipv4": (re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", re.ASCII), address),
 }
+# Kinds that may end before their match does; what follows is searched again.
+CUT = ("iban", "phone")
 ANY = re.compile(r"[0-9@]")
 
 
@@ -216,12 +276,21 @@ def pseudonymised(text: str, feistel: Feistel, back: bool = False) -> tuple[str,
     for kind, (pattern, permute) in KINDS.items():
         if kind == "mail" and "@" not in text:
             continue
-        for match in pattern.finditer(text):
-            start, end = match.span()
-            if any(taken[start:end]):
+        at = 0
+        while match := pattern.search(text, at):
+            start, at = match.span()
+            # Of a match that runs into an earlier kind's part, the text before that is left.
+            given = match.group()
+            if kind in CUT and (met := taken.find(1, start, at)) >= 0:
+                given = given[: met - start].rstrip(" .-")
+                if not pattern.fullmatch(given):
+                    continue
+            elif any(taken[start:at]):
                 continue
-            value = permute(feistel, match.group(), back)
+            value = permute(feistel, given, back)
             if value is not None:
+                end = start + len(value) if kind in CUT else at
+                at = end
                 taken[start:end] = b"\1" * (end - start)
                 found.append((start, end, value))
                 counts[kind] += 1
