@@ -22,6 +22,8 @@ from meterflow.llm.shared import map_texts, staged, text_bytes
 from meterflow.llm.url_rules import host_of
 
 CELLS = 1 << 14
+# Languages whose counts are brought to the driver at once.
+FETCHED = 64
 # A text counts as at most this many triples of evidence, as neighbouring triples overlap.
 EVIDENCE = 200.0
 SMOOTHING = 0.5
@@ -30,7 +32,9 @@ UNDETERMINED = "und"
 
 HIDDEN = re.compile(r"<(script|style|template)\b.*?</\1\s*>|<!--.*?-->|<!doctype[^>]*>", re.S | re.I)
 TAG = re.compile(r"<[^<>]*>")
-DECLARED = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?\s*([A-Za-z]{2,3})\b""", re.I)
+# Tags do not overlap, so a page is read once whatever stands in it.
+ROOT = re.compile(r"<html\b[^>]*", re.I)
+DECLARED = re.compile(r"""\blang\s*=\s*["']?\s*([A-Za-z]{2,3})\b""", re.I)
 NO_LETTERS = bytes(c if 97 <= c <= 122 or c > 127 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
 
@@ -40,8 +44,11 @@ def visible(page: str) -> str:
 
 
 def declared(page: str) -> str | None:
-    match = DECLARED.search(page, 0, 4096)
-    return match.group(1).lower() if match else None
+    """The language that the page's markup names, wherever in the page it stands."""
+    for tag in ROOT.finditer(page):
+        if match := DECLARED.search(tag.group(), len("<html")):
+            return match.group(1).lower()
+    return None
 
 
 def triples(text: str) -> np.ndarray:
@@ -85,14 +92,16 @@ class TextModel:
         self.log = np.log(smoothed / smoothed.sum(axis=1, keepdims=True)) if langs else counts
 
     @classmethod
-    def fit(cls, docs: DataFrame, most_langs: int = 64) -> TextModel:
-        """Counts over all documents; of more languages than ``most_langs`` the largest are kept."""
+    def fit(cls, docs: DataFrame) -> TextModel:
+        """Counts over all documents and all their languages, fetched some languages at a time."""
         counted = staged(count_triples(docs), "triples")
-        sizes = counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang")
-        langs = sorted(row.lang for row in sizes.limit(most_langs).collect())
+        langs = sorted(row.lang for row in counted.select("lang").distinct().collect())
         counts = np.zeros((len(langs), CELLS))
-        for row in counted.where(F.col("lang").isin(langs)).collect() if langs else []:
-            counts[langs.index(row.lang), row.cell] = row.n
+        for at in range(0, len(langs), FETCHED):
+            part = counted.where(F.col("lang").isin(langs[at: at + FETCHED]))
+            places = {lang: at + n for n, lang in enumerate(langs[at: at + FETCHED])}
+            for row in part.collect():
+                counts[places[row.lang], row.cell] = row.n
         return cls(langs, counts)
 
     def posterior(self, text: str) -> list[float]:
@@ -100,7 +109,8 @@ class TextModel:
         cells = triples(text)
         if not len(cells):
             return [1.0 / len(self.langs)] * len(self.langs)
-        score = self.log[:, cells].mean(axis=1) * min(len(cells), EVIDENCE)
+        met, times = np.unique(cells, return_counts=True)
+        score = self.log[:, met] @ times / len(cells) * min(len(cells), EVIDENCE)
         weight = np.exp(score - score.max())
         return (weight / weight.sum()).tolist()
 
