@@ -1,10 +1,10 @@
 """Connected groups of items that share a key and pass a check, complete for buckets of any size.
 
-Small buckets are paired. Members of crowded ones are first compared with their smallest member;
-then, in buckets that more than one group reaches, members of different groups are paired in
-slices spread over tasks. Members of one group need no pair: they are connected already. So each pair
-that shares a key is compared or known to be connected, and a large group of copies costs one
-comparison per member, not one per pair.
+Small buckets are paired. Members of crowded ones are first compared with one of them, the one
+with the earliest place; then, in buckets that more than one group reaches, members of different
+groups are paired in slices spread over tasks. Members of one group need no pair: they are
+connected already. So each pair that shares a key is compared or known to be connected, and a large group
+of copies costs one comparison per member, not one per pair.
 """
 
 from __future__ import annotations
@@ -23,28 +23,34 @@ SLICE = 64
 
 def grouped(
     members: DataFrame, may: Callable[[Column, Column], Column],
-    alike: Callable[[DataFrame], DataFrame],
+    alike: Callable[[DataFrame], DataFrame], known: DataFrame | None = None,
+    paired: int = PAIRED_BUCKET,
 ) -> DataFrame:
     """``node`` and ``root`` of all nodes with a link.
 
-    ``members`` has ``node``, ``key`` and ``sign``, one row per node and key. ``may`` tells from two
+    ``members`` has ``node``, ``key`` and ``sign``, one row per node and key, and may have ``place``: the
+    member of a bucket with the smallest is the one the others are compared with first. ``may`` tells from two
     signs whether two nodes can be alike at all; ``alike`` keeps of the pairs ``u`` < ``v`` those that are.
+    ``known`` are links found otherwise.
     """
-    buckets = staged(members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"),
-    ).where("n > 1"), "buckets")
-    # Most shared buckets hold one pair, which the aggregate already names.
-    pairs = buckets.where("n = 2").select(F.col("low").alias("u"), F.col("high").alias("v"))
-    crowded = broadcast_if_small(buckets.where("n > 2").select("key", "n", "low"))
-    shared = staged(members.join(crowded, "key"), "shared")
-    small = shared.where(F.col("n") <= PAIRED_BUCKET)
+    if "place" not in members.columns:
+        members = members.withColumn("place", F.lit(0).cast("long"))
+    buckets = staged(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    shared = staged(members.join(broadcast_if_small(buckets), "key"), "shared")
+    small = shared.where(F.col("n") <= paired)
     left = small.select("key", F.col("node").alias("u"), F.col("sign").alias("a"))
     right = small.select("key", F.col("node").alias("v"), F.col("sign").alias("b"))
-    pairs = pairs.union(left.join(right, "key").where(
-        (F.col("u") < F.col("v")) & may(F.col("a"), F.col("b"))).select("u", "v"))
-    large = shared.where(F.col("n") > PAIRED_BUCKET)
-    stars = large.where("node != low").select(F.col("low").alias("u"), F.col("node").alias("v"))
+    pairs = left.join(right, "key").where(
+        (F.col("u") < F.col("v")) & may(F.col("a"), F.col("b"))).select("u", "v")
+    large = shared.where(F.col("n") > paired)
+    centres = staged(large.groupBy("key").agg(
+        F.min(F.struct("place", "node", "sign")).alias("centre")), "centres")
+    stars = large.join(broadcast_if_small(centres), "key").where(
+        (F.col("node") != F.col("centre.node")) & may(F.col("sign"), F.col("centre.sign"))).select(
+        F.least("node", "centre.node").alias("u"), F.greatest("node", "centre.node").alias("v"))
     links = staged(alike(staged(pairs.union(stars).distinct(), "pairs")), "links")
+    if known is not None:
+        links = links.union(known)
     roots = staged(connected(links), "roots")
     more = staged(_across(large, roots, may), "across")
     if more.isEmpty():

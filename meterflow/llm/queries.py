@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meterflow.llm import (
-    decontaminate, language, lines, mixing, pii, quality, secrets, simhash, substring, url_rules,
+    decontaminate, language, lexical, lines, mixing, ngram_join, pii, prefix_trie, quality, secrets,
+    simhash, substring, url_rules,
 )
 from meterflow.llm.shared import table
 
@@ -84,6 +85,18 @@ def op10_quality_rules(spark, sf_dir):
         "base_failed", "kept", "rule")
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.nodes(table(spark, sf_dir, "conversations"))
+
+
+def op12_lexical_search(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_ngram_join(spark, sf_dir):
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
 def _sql_weight(name: str, weights: dict[str, int]) -> str:
     cases = " ".join(f"WHEN {name} = '{value}' THEN {weight}" for value, weight in weights.items())
     return f"CASE {cases} ELSE 1 END" if cases else "1"
@@ -129,7 +142,8 @@ def _mixing_sql() -> str:
         WITH counted AS (
             SELECT doc_id, CASE {names} ELSE 'other' END AS domain, coalesce(lang, '') AS lang,
                 coalesce(source, '') AS source,
-                len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS n_tokens
+                len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS n_tokens
             FROM documents),
         leaves AS (
             SELECT {keys}, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM counted
@@ -158,7 +172,8 @@ def _mixing_sql() -> str:
 QUERIES = {
     query.__name__: query for query in (
         op1_decontaminate, op2_line_dedup, op3_language_id, op4_url_rules, op5_pii_pseudonyms,
-        op6_substring_dedup, op7_secrets, op8_simhash, op9_mixing, op10_quality_rules)
+        op6_substring_dedup, op7_secrets, op8_simhash, op9_mixing, op10_quality_rules,
+        op11_prefix_trie, op12_lexical_search, op13_ngram_join)
 }
 
 ORACLES = {
@@ -213,4 +228,98 @@ ORACLES = {
         SELECT doc_id, item_id, CAST(max(n) AS INTEGER) AS n_equal
         FROM windows WHERE n >= 10 GROUP BY doc_id, item_id""",
     "op9_mixing": _mixing_sql(),
+    # Turns that differ in nothing but their place cannot be told apart, so equal ones need no order.
+    "op11_prefix_trie": """
+        WITH own AS (
+            SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+                ORDER BY turn NULLS FIRST, role, text) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        -- CRC-32, bit by bit.
+        hashed AS (
+            SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(
+                    range(1, len(conv_id::VARCHAR) + 1), lambda i: ascii((conv_id::VARCHAR)[i])::BIGINT)),
+                lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda x, y:
+                    CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)),
+                4294967295::BIGINT) % 4 AS h
+            FROM own),
+        rebuilt AS (
+            SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1 : c.h], c.turns[c.h + 1 :]) AS turns
+            FROM hashed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20),
+        prefixes AS (
+            SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS depth FROM rebuilt),
+        grouped AS (
+            SELECT turns[1 : depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(turns) = depth) AS ends
+            FROM prefixes GROUP BY ALL),
+        children AS (
+            SELECT path[1 : depth - 1] AS path, count(*) AS n FROM grouped WHERE depth > 0 GROUP BY ALL),
+        valued AS (
+            SELECT g.*, coalesce(c.n, 0) AS n_children, CASE WHEN depth > 0 THEN (n_convs - 1)
+                * len(regexp_extract_all(g.path[depth].t, '[^\\x20\\x09-\\x0D]+')) ELSE 0 END AS saved
+            FROM grouped g LEFT JOIN children c ON c.path = g.path),
+        summed AS (
+            SELECT path[1 : up] AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+                sum(saved) AS saved_tokens
+            FROM (SELECT *, unnest(range(depth + 1)) AS up FROM valued) x GROUP BY ALL)
+        SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children,
+            CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens,
+            sha256(coalesce(v.ends, '')) AS ends_sha256
+        FROM valued v JOIN summed s ON s.path = v.path
+        LEFT JOIN valued p ON v.depth > 0 AND p.path = v.path[1 : v.depth - 1]""",
+    "op12_lexical_search": """
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+            FROM documents),
+        items AS (
+            SELECT item_id, unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))) AS term
+            FROM benchmark),
+        totals AS (
+            SELECT count(*) FILTER (len(terms) > 0) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms
+            FROM docs),
+        counted AS (
+            SELECT row, doc_id, term, count(*) AS tf, 50 + ((50 * any_value(n) * any_value(n_docs))
+                // any_value(n_terms)) AS m
+            FROM (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs), totals
+            GROUP BY row, doc_id, term),
+        weighted AS (
+            SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(n_docs) + 2) / (2 * count(*) + 1)))
+                AS BIGINT) AS w
+            FROM counted, totals GROUP BY term),
+        scored AS (
+            SELECT item_id, row, any_value(doc_id) AS doc_id, CAST(sum(
+                w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+            FROM items JOIN weighted USING (term) JOIN counted USING (term) GROUP BY item_id, row),
+        ranked AS (
+            SELECT item_id, CAST(row_number() OVER (
+                PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+            FROM scored WHERE score > 0)
+        SELECT * FROM ranked WHERE rank <= 50""",
+    "op13_ngram_join": """
+        WITH RECURSIVE docs AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w] ELSE list_distinct(
+                list_transform(range(1, len(w) - 1), lambda i: w[i : i + 2])) END AS s
+            FROM docs),
+        sized AS (SELECT doc_id, len(s) AS n, s FROM sets),
+        places AS (SELECT doc_id, n, unnest(s) AS g FROM sized),
+        links AS (
+            SELECT a.doc_id AS u, b.doc_id AS v
+            FROM places a JOIN places b ON a.g = b.g AND a.doc_id <> b.doc_id
+                AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+            GROUP BY a.doc_id, b.doc_id
+            HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+        reached AS (
+            SELECT u AS doc_id, v AS other FROM links
+            UNION
+            SELECT r.doc_id, l.v FROM reached r JOIN links l ON l.u = r.other)
+        SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles,
+            least(s.doc_id, coalesce(min(r.other), s.doc_id)) AS component_id
+        FROM sized s LEFT JOIN reached r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.n""",
 }
