@@ -21,8 +21,10 @@ def derived_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
         derive.network_hierarchy(spark, sf_dir))
 
 
-def derived_enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same as a stream, with static lookups."""
+def derived_enriched_stream(
+    spark: SparkSession, sf_dir: str, parts: int | None = None,
+) -> DataFrame:
+    """The same as a stream, with static lookups; ``parts`` files come one per micro-batch."""
     return enriched_events(
-        derive.raw_message_stream(spark, sf_dir), derive.event_catalogue(spark),
+        derive.raw_message_stream(spark, sf_dir, parts), derive.event_catalogue(spark),
         derive.network_hierarchy(spark, sf_dir))

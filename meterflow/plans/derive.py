@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterflow.session import prepare
+from meterflow.session import prepare, scratch_path
 
 EPOCH_US = 1704067200000000  # 2024-01-01; the 30 days of events are squeezed into one day.
 
@@ -159,12 +159,28 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_messages(_typed_columns(spark.read.parquet(f"{sf_dir}/events.parquet")))
 
 
-def raw_message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same messages as a file stream over the events table."""
+def event_files(spark: SparkSession, sf_dir: str, parts: int) -> str:
+    """The events as files that arrive one after the other, in order of their number."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
+    path = scratch_path(spark, "event-files")
+    width = ((last or 0) - (first or 0)) // parts + 1
+    for part in range(parts):
+        begin = (first or 0) + part * width
+        events.where(F.col("event_id").between(begin, begin + width - 1)).coalesce(1).write.mode(
+            "append").parquet(path)
+    return path
+
+
+def raw_message_stream(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """The same messages as a file stream: the events table, or that in ``parts`` files, a batch each."""
     prepare(spark)
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-              .parquet(sf_dir))
+    reader = spark.readStream.schema(schema)
+    if parts is None:
+        stream = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    else:
+        stream = reader.option("maxFilesPerTrigger", 1).parquet(event_files(spark, sf_dir, parts))
     return as_messages(_typed_columns(stream))
 
 

@@ -460,11 +460,17 @@ def iforest_train_summary(spark, sf_dir):
 
 # ---- streams, drained into result tables -----------------------------------------------------
 
-def _drained(spark, sf_dir, start, table, folder=None):
+# Files, each a micro-batch, that the stream queries with state across batches read.
+STREAM_FILES = 3
+
+
+def _drained(spark, sf_dir, start, table, folder=None, parts=None, finish=None):
     """Run a job over the events as a stream until nothing is left, and read its table."""
     root = scratch_path(spark, table)
     target = jobs.Target(f"{root}/tables", f"{root}/checkpoints", available_now=True)
-    start(batch.derived_enriched_stream(spark, sf_dir), target).awaitTermination()
+    start(batch.derived_enriched_stream(spark, sf_dir, parts), target).awaitTermination()
+    if finish is not None:
+        finish(spark, target)
     return read_table(spark, table, target.root, folder)
 
 
@@ -510,7 +516,8 @@ def stream_anomalies(spark, sf_dir):
 
 
 def _stream_incidents(spark, sf_dir):
-    return _drained(spark, sf_dir, jobs.start_outages, "outage_incident_events")
+    return _drained(spark, sf_dir, jobs.start_outages, "outage_incident_events",
+                    parts=STREAM_FILES, finish=jobs.finish_outages)
 
 
 def stream_outages(spark, sf_dir):
@@ -520,19 +527,20 @@ def stream_outages(spark, sf_dir):
 
 
 def stream_unresolved(spark, sf_dir):
-    """Alerts of the drained stream: by event time, once the watermark has passed them."""
+    """Alerts of the drained stream, those of outages still open at its end included."""
     rows = _stream_incidents(spark, sf_dir).where("incident_status = 'UNRESOLVED'")
     return rows.drop("received_at")
 
 
 def stream_service_outages(spark, sf_dir):
     rows = _drained(spark, sf_dir, jobs.start_service_outages, "outage_incident_events",
-                    "service_outages")
+                    "service_outages", STREAM_FILES)
     return rows.drop("received_at")
 
 
 def stream_topology(spark, sf_dir):
-    rows = _drained(spark, sf_dir, jobs.start_topology, "topology_inference_results")
+    rows = _drained(spark, sf_dir, jobs.start_topology, "topology_inference_results",
+                    parts=STREAM_FILES)
     return rows.drop("generated_at", "received_at")
 
 

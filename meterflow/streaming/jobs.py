@@ -18,11 +18,13 @@ from meterflow.schemas import RESULT_TABLES
 from meterflow.sinks.kafka import start_kafka
 from meterflow.sinks.tables import start_batches, start_table, write_batch
 from meterflow.sources.messages import MAX_FILES
-from meterflow.streaming.outage_state import outage_stream, service_stream
+from meterflow.streaming.outage_state import finish, outage_stream, service_stream
 from meterflow.streaming.topology_state import TopologyBatches
 
 
 ENRICHED = "enriched_events"
+# Batch number of the records a finished run owes; batches of a query count from 0.
+OWED = -2
 
 
 @dataclass(frozen=True)
@@ -126,11 +128,30 @@ def start_features_and_anomalies(
 
 def start_outages(
     enriched: DataFrame, target: Target, output: str = "outage_incident_events",
+    wall_clock: bool = False,
 ) -> StreamingQuery:
-    """Incident records; a run that ends once drained alerts by event time."""
+    """Incident records; alerts by the stream's clock, or by wall clock.
+
+    What the run before had finished with is taken back: its rows go on from the state.
+    """
+    _write_owed(enriched.sparkSession.createDataFrame([], RESULT_TABLES["outage_incident_events"][0]), target, output)
     return start_table(
-        outage_stream(enriched, event_time=target.available_now), "outage_incident_events",
-        target.root, target.checkpoint, target.available_now, output)
+        outage_stream(enriched, wall_clock=wall_clock), "outage_incident_events", target.root,
+        target.checkpoint, target.available_now, output)
+
+
+def _write_owed(records: DataFrame, target: Target, output: str) -> None:
+    write_batch(records, "outage_incident_events", target.root, OWED, output)
+
+
+def finish_outages(
+    spark: SparkSession, target: Target, output: str = "outage_incident_events",
+) -> None:
+    """After a drained run: write what waiting rows and open outages still give, as a batch of its own.
+
+    The next run replaces that batch, so running and finishing again counts nothing twice.
+    """
+    _write_owed(finish(spark, f"{target.checkpoint}/{output}"), target, output)
 
 
 def start_service_outages(enriched: DataFrame, target: Target) -> StreamingQuery:

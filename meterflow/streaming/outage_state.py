@@ -1,10 +1,20 @@
-"""The outage state machine on a stream, with a timer for unresolved outages."""
+"""The outage state machine on a stream: a reorder buffer per key, alerts by the stream's clock.
+
+The clock is the largest event time any row has shown. A row waits in its key's buffer until the
+clock has passed its event time by ``HOLD``, so that rows whose files came in another order are applied
+in order of arrival number. No row is late: the watermark is set so far back that it filters
+nothing, and rows that come behind the clock are applied when they come. A drained run ends with what
+still waits; ``finish`` applies that to the open outages and writes it beside the table's batches.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import namedtuple
+from collections.abc import Iterable, Iterator
+from typing import Any
 
-from pyspark.sql import DataFrame, Row, functions as F
+import pandas as pd
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from meterflow.functions import minutes_between, seconds_text
@@ -12,102 +22,175 @@ from meterflow.operators.outage import (
     CONTEXT, INCIDENT_COLUMNS, UNRESOLVED_AFTER_US, outage_rows, service_records, service_rows,
 )
 
-LATENESS = "15 minutes"
+HOLD_MS = 15 * 60 * 1000
+# Event times are moved ahead and the watermark back by four thousand years: it equals the largest
+# event time, and no row is behind it. The clock stops at the year 3000, so that a wrong one keeps to this.
+FAR_DAYS = 4000 * 365
+FAR = f"{FAR_DAYS} days"
+LAST_CLOCK_US = 1030 * 365 * 86_400_000_000
 
 _CONTEXT_TYPES = ", ".join(f"{name} string" for name in CONTEXT)
-_STATE = f"start_us bigint, {_CONTEXT_TYPES}, alert_ms bigint"
-_EMITTED = (
-    "msn string, event_tblrefid int, incident_status string, start_us bigint, end_us bigint, "
-    f"{_CONTEXT_TYPES}")
+_WAITING = f"seq bigint, occurs boolean, event_us bigint, {_CONTEXT_TYPES}, ready_ms bigint"
+_OPEN = f"start_us bigint, {_CONTEXT_TYPES}, alert_ms bigint"
+_KEYS = "msn string, event_tblrefid int"
+_EMITTED = f"{_KEYS}, incident_status string, start_us bigint, end_us bigint, {_CONTEXT_TYPES}"
 _Emitted = Row(*[part.split()[0] for part in _EMITTED.split(", ")])
+_Waiting = namedtuple("_Waiting", [part.split()[0] for part in _WAITING.split(", ")])
 
 
-class OutageProcessor(StatefulProcessor):
-    """One open outage per (meter, event pair), kept until a restoration closes it.
+class Machine:
+    """Open, alert, close: the transitions of one key, on a stream and when a run is finished.
 
-    The alert counts wall-clock time from the processing of the occurrence, or event time behind the
-    watermark. By event time a restoration that comes too late raises the alert before it closes.
-    ``guard`` and ``whole_seconds`` are those of the batch form.
+    The open outage is a tuple ``(start_us, *context, alert_ms)``; ``alert_ms`` is when its alert is due on
+    the clock in use, None once it has been given or if there are no alerts. ``guard`` and ``whole_seconds``
+    are those of the batch form.
     """
 
-    def __init__(
-        self, alert_after_ms: int | None, event_time: bool = False, guard: bool = True,
-        whole_seconds: bool = True,
-    ) -> None:
-        self.alert_after_ms, self.event_time = alert_after_ms, event_time
-        self.guard, self.whole_seconds = guard, whole_seconds
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open_outage = handle.getValueState("open_outage", _STATE)
+    def __init__(self, alert_after_ms: int | None, guard: bool = True, whole_seconds: bool = True) -> None:
+        self.alert_after_ms, self.guard, self.whole_seconds = alert_after_ms, guard, whole_seconds
 
-    def _emit(self, key: tuple, status: str, state: tuple, end_us: int | None = None) -> Row:
+    @staticmethod
+    def emit(key: tuple, status: str, state: tuple, end_us: int | None = None) -> Row:
         return _Emitted(*key, status, state[0], end_us, *state[1:-1])
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        state = self.open_outage.get() if self.open_outage.exists() else None
-        # Only the rows of one key in one micro-batch; sources are rate limited by default.
-        for row in sorted(rows, key=lambda r: r["seq"]):
-            if row["occurs"]:
+    def apply(
+        self, key: tuple, state: tuple | None, rows: Iterable[Any], wall_ms: int | None = None,
+    ) -> tuple[tuple | None, list[Row]]:
+        """The state after the rows, and the records they give. ``wall_ms`` starts alerts by wall clock."""
+        out = []
+        for row in rows:
+            if row.occurs:
                 if state is None:
-                    start, alert = row["event_us"], None
+                    start, alert = row.event_us, None
                     if self.whole_seconds:
                         start = start // 1_000_000 * 1_000_000
                     if self.alert_after_ms is not None:
-                        since = start // 1000 if self.event_time \
-                            else timerValues.getCurrentProcessingTimeInMs()
-                        alert = since + self.alert_after_ms
-                        self.handle.registerTimer(alert)
-                    state = (start, *[row[name] for name in CONTEXT], alert)
-                    yield self._emit(key, "OPEN", state)
-            elif state is not None and (not self.guard or row["event_us"] >= state[0]):
-                if state[-1] is not None:
-                    self.handle.deleteTimer(state[-1])
-                    if self.event_time and row["event_us"] > state[0] + self.alert_after_ms * 1000:
-                        yield self._emit(key, "UNRESOLVED", state)
-                yield self._emit(key, "CLOSED", state, row["event_us"])
+                        alert = (start // 1000 if wall_ms is None else wall_ms) + self.alert_after_ms
+                    state = (start, *[getattr(row, name) for name in CONTEXT], alert)
+                    out.append(self.emit(key, "OPEN", state))
+            elif state is not None and (not self.guard or row.event_us >= state[0]):
+                if wall_ms is None and state[-1] is not None and (
+                        row.event_us > state[0] + self.alert_after_ms * 1000):
+                    out.append(self.emit(key, "UNRESOLVED", state))
+                out.append(self.emit(key, "CLOSED", state, row.event_us))
                 state = None
+        return state, out
+
+
+def in_order(row: Any) -> tuple:
+    """Arrival order; rows without a number come behind the others, by event time."""
+    return row.seq is None, row.seq or 0, row.event_us
+
+
+class ClockedOutages(StatefulProcessor):
+    """One open outage and the rows that wait, per (meter, event pair).
+
+    Only the rows of one key within ``hold_ms`` and the rows of one micro-batch are held at once.
+    """
+
+    def __init__(self, machine: Machine, hold_ms: int) -> None:
+        self.machine, self.hold_ms = machine, hold_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open_outage = handle.getValueState("open_outage", _OPEN)
+        self.waiting = handle.getListState("waiting", _WAITING)
+        self.timer = handle.getValueState("timer", "at_ms bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        clock = timerValues.getCurrentWatermarkInMs()
+        held = list(map(_Waiting._make, self.waiting.get())) if self.waiting.exists() else []
+        for row in rows:
+            # A clock that runs ahead of the stream's holds its key up for twice the time at most.
+            at = row["event_us"] // 1000
+            ready = (min(at, clock + self.hold_ms) if clock > 0 else at) + self.hold_ms
+            held.append(_Waiting(
+                row["seq"], row["occurs"], row["event_us"], *[row[name] for name in CONTEXT], ready))
+        yield from self._advance(key, held, clock)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = list(map(_Waiting._make, self.waiting.get())) if self.waiting.exists() else []
+        if self.timer.exists() and self.timer.get()[0] == expiredTimerInfo.getExpiryTimeInMs():
+            self.timer.clear()
+        yield from self._advance(key, held, timerValues.getCurrentWatermarkInMs())
+
+    def _advance(self, key: tuple, held: list, clock: int) -> Iterator[Row]:
+        """Apply the rows that have waited long enough, give the alert if it is due, set the next timer."""
+        held.sort(key=in_order)
+        done = next((n for n, row in enumerate(held) if row.ready_ms > clock), len(held))
+        state = tuple(self.open_outage.get()) if self.open_outage.exists() else None
+        state, out = self.machine.apply(key, state, held[:done])
+        yield from out
+        if state is not None and state[-1] is not None and state[-1] + self.hold_ms <= clock:
+            yield Machine.emit(key, "UNRESOLVED", state)
+            state = (*state[:-1], None)
         if state is None:
             self.open_outage.clear()
         else:
-            self.open_outage.update(tuple(state))
+            self.open_outage.update(state)
+        if held[done:]:
+            self.waiting.put([tuple(row) for row in held[done:]])
+        else:
+            self.waiting.clear()
+        due = [row.ready_ms for row in held[done: done + 1]]
+        if state is not None and state[-1] is not None:
+            due.append(state[-1] + self.hold_ms)
+        self._set_timer(min(due, default=None))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.open_outage.exists():
-            state = self.open_outage.get()
-            if state[-1] == expiredTimerInfo.getExpiryTimeInMs():
-                self.open_outage.update((*state[:-1], None))
-                yield self._emit(key, "UNRESOLVED", state)
+    def _set_timer(self, at: int | None) -> None:
+        now = self.timer.get()[0] if self.timer.exists() else None
+        if now == at:
+            return
+        if now is not None:
+            self.handle.deleteTimer(now)
+        if at is None:
+            self.timer.clear()
+        else:
+            self.handle.registerTimer(at)
+            self.timer.update((at,))
 
     def close(self) -> None:
         pass
 
 
-def _emitted(rows: DataFrame, processor: OutageProcessor, delay: str) -> DataFrame:
-    mode = "None" if processor.alert_after_ms is None else "ProcessingTime"
-    if processor.event_time:
-        mode = "EventTime"
-        rows = rows.withColumn("event_time", F.timestamp_micros("event_us")).withWatermark(
-            "event_time", delay)
-    return rows.groupBy("msn", "event_tblrefid").transformWithState(
-        processor, _EMITTED, "Append", mode)
+class WallClockOutages(StatefulProcessor):
+    """One open outage per (meter, event pair); the alert counts wall-clock time from the processing
+    of the occurrence. Rows are applied as they arrive, those of a micro-batch in order of their number."""
 
+    def __init__(self, machine: Machine) -> None:
+        self.machine = machine
 
-def outage_stream(
-    enriched: DataFrame, alert_after_us: int | None = UNRESOLVED_AFTER_US,
-    event_time: bool = False, delay: str = LATENESS,
-) -> DataFrame:
-    """Enriched stream to incident records, emitted as they happen.
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open_outage = handle.getValueState("open_outage", _OPEN)
 
-    The alert counts wall-clock time from the moment the occurrence is processed. A query with such
-    timers never ends by itself, since it waits for them; one that is to end when drained takes
-    ``event_time`` alerts: they fire once the watermark, ``delay`` behind the latest event, has passed
-    the alert, and rows later than that are dropped. None keeps no alerts.
-    """
-    processor = OutageProcessor(
-        None if alert_after_us is None else alert_after_us // 1000,
-        event_time and alert_after_us is not None)
-    emitted = _emitted(outage_rows(enriched).drop("arrival_us"), processor, delay)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before = tuple(self.open_outage.get()) if self.open_outage.exists() else None
+        wall = timerValues.getCurrentProcessingTimeInMs() if self.machine.alert_after_ms is not None else None
+        state, out = self.machine.apply(key, before, sorted(rows, key=in_order), wall)
+        yield from out
+        was, now = (s[-1] if s is not None else None for s in (before, state))
+        if was != now:
+            if was is not None:
+                self.handle.deleteTimer(was)
+            if now is not None:
+                self.handle.registerTimer(now)
+        if state is None:
+            self.open_outage.clear()
+        else:
+            self.open_outage.update(state)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        state = tuple(self.open_outage.get()) if self.open_outage.exists() else None
+        if state is not None and state[-1] == expiredTimerInfo.getExpiryTimeInMs():
+            self.open_outage.update((*state[:-1], None))
+            yield Machine.emit(key, "UNRESOLVED", state)
+
+    def close(self) -> None:
+        pass
+
+
+def _records(emitted: DataFrame, alert_after_us: int | None) -> DataFrame:
     status = F.col("incident_status")
     incident_id = F.concat_ws(
         ":", "msn", F.col("event_tblrefid").cast("string"),
@@ -121,9 +204,72 @@ def outage_stream(
     }).select(*INCIDENT_COLUMNS)
 
 
+def outage_stream(
+    enriched: DataFrame, alert_after_us: int | None = UNRESOLVED_AFTER_US,
+    wall_clock: bool = False, hold_ms: int = HOLD_MS,
+) -> DataFrame:
+    """Enriched stream to incident records, emitted as they happen.
+
+    By the stream's clock, rows wait ``hold_ms`` to be put in order, and an outage whose restoration has
+    not come ``hold_ms`` after its alert was due is UNRESOLVED. By ``wall_clock`` rows are applied as
+    they arrive, and alerts count wall-clock time from the processing of the occurrence; a query
+    with such timers never ends by itself, since it waits for them. None keeps no alerts.
+    """
+    machine = Machine(None if alert_after_us is None else alert_after_us // 1000)
+    rows = outage_rows(enriched).drop("arrival_us")
+    if wall_clock:
+        mode = "None" if alert_after_us is None else "ProcessingTime"
+        emitted = rows.groupBy("msn", "event_tblrefid").transformWithState(
+            WallClockOutages(machine), _EMITTED, "Append", mode)
+    else:
+        emitted = rows.withColumn(
+            "event_time", F.timestamp_micros(
+                F.least("event_us", F.lit(LAST_CLOCK_US)) + FAR_DAYS * 86_400_000_000)
+        ).withWatermark("event_time", FAR).groupBy("msn", "event_tblrefid").transformWithState(
+            ClockedOutages(machine, hold_ms), _EMITTED, "Append", "EventTime")
+    return _records(emitted, alert_after_us)
+
+
+def finish(
+    spark: SparkSession, checkpoint: str, alert_after_us: int | None = UNRESOLVED_AFTER_US,
+) -> DataFrame:
+    """The records that a drained run's state still owes, as if no row were to follow.
+
+    Rows that wait are applied to the open outages; what is open then has its alert, as in the batch
+    form. The state is only read: the next run goes on from it.
+    """
+    state = lambda name: spark.read.format("statestore").option("path", checkpoint).option(
+        "stateVarName", name).load()
+    names = [part.split()[0] for part in _WAITING.split(", ")]
+    opened = state("open_outage").select("key.*", F.lit(True).alias("is_open"), F.struct(
+        F.lit(None).cast("bigint").alias("seq"), F.lit(True).alias("occurs"),
+        F.col("value.start_us").alias("event_us"), *[F.col(f"value.{c}").alias(c) for c in CONTEXT],
+        F.col("value.alert_ms").alias("ready_ms")).alias("row"))
+    waiting = state("waiting").select(
+        "key.*", F.lit(False).alias("is_open"), F.struct(*[F.col(f"list_element.{c}").alias(c) for c in names]).alias("row"))
+    machine = Machine(None if alert_after_us is None else alert_after_us // 1000)
+
+    def owed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        key = (key[0], int(key[1]))
+        open_, held = None, []
+        for is_open, given in zip(rows["is_open"], rows["row"]):
+            row = _Waiting(**{name: given[name] for name in names})
+            if is_open:
+                open_ = (row.event_us, *row[3:-1], row.ready_ms)
+            else:
+                held.append(row)
+        last, out = machine.apply(key, open_, sorted(held, key=in_order))
+        if last is not None and last[-1] is not None:
+            out.append(Machine.emit(key, "UNRESOLVED", last))
+        return pd.DataFrame([tuple(r) for r in out], columns=list(_Emitted))
+
+    emitted = opened.unionByName(waiting).groupBy("msn", "event_tblrefid").applyInPandas(owed, _EMITTED)
+    return _records(emitted, alert_after_us)
+
+
 def service_stream(enriched: DataFrame) -> DataFrame:
-    """The service variant: no guard, no alerts, fractions of seconds kept."""
-    emitted = _emitted(
-        service_rows(enriched).drop("arrival_us"),
-        OutageProcessor(None, guard=False, whole_seconds=False), LATENESS)
+    """The service variant: no guard, no alerts, fractions of seconds kept; rows as they arrive."""
+    machine = Machine(None, guard=False, whole_seconds=False)
+    emitted = service_rows(enriched).drop("arrival_us").groupBy("msn", "event_tblrefid").transformWithState(
+        WallClockOutages(machine), _EMITTED, "Append", "None")
     return service_records(emitted).select(*INCIDENT_COLUMNS)
