@@ -10,8 +10,9 @@ rate, so the known side is first folded into one step function of time per feede
   until it expires itself, so at any time a meter counts once, with its earliest coordinates;
 * entering and leaving are +1 / -1 changes; their running sums per feeder give the number of
   meters and the coordinate sums between two changes;
-* an unknown outage is laid once into the steps of every feeder that has evidence in its bucket
-  and takes the step in force there, so the work is outages times feeders plus steps.
+* an unknown outage is laid once into the steps of each feeder asked for it and takes the step in
+  force there. For the three best, only feeders near it or leading by support are asked, so the
+  work per outage does not grow with the number of feeders.
 
 Time is cut into buckets so that all this is keyed by (feeder, bucket) or (bucket) and runs in
 parallel; within a bucket, changes before its start collapse into one row. Evidence is ordered by
@@ -20,17 +21,26 @@ event time, arrival order deciding among equal times.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterflow.functions import haversine_km, is_blank, iso_local, linear_decay, round_half_up
 from meterflow.functions import event_us, same_text
+from meterflow.functions.numbers import EARTH_RADIUS_KM
 from meterflow.operators.outage import OCCURRENCE, POWER_FAILURE
+from meterflow.operators.skew import materialise
 
 LOOKBACK_US = 300 * 1_000_000
 COOCCURRENCE_WEIGHT, PROXIMITY_WEIGHT = 0.70, 0.30
 PROXIMITY_ZERO_KM = 20.0
 TOP = 3
 BUCKET_US = 60 * 1_000_000
+# Leaves of the tree of moments in a bucket, 2 ** LEVELS of them.
+LEVELS = 12
+FEW_FEEDERS = 32
+# Chord of the proximity radius on the unit sphere, a little more for rounding.
+CELL_EDGE = 2 * math.sin(PROXIMITY_ZERO_KM / (2 * EARTH_RADIUS_KM)) * 1.001
 
 USE_CASE = "topology-inference"
 BEST_REASON = "Highest combined outage co-occurrence and geographic proximity score."
@@ -126,18 +136,110 @@ def evidence_steps(known: DataFrame, bucket_us: int = BUCKET_US) -> DataFrame:
             F.col("to.us").alias("to_us"), F.col("to.seq").alias("to_seq")))
 
 
-def asked_feeders(unknown: DataFrame, steps: DataFrame, bucket_us: int = BUCKET_US) -> DataFrame:
-    """One row per unknown outage and feeder with evidence in its bucket."""
+def _leaf(us: Column, bucket_us: int) -> Column:
+    """Leaf of its bucket that a time of column ``bucket`` falls into."""
+    return F.floor((us - F.col("bucket") * bucket_us) * F.lit(1 << LEVELS) / F.lit(bucket_us)).cast("bigint")
+
+
+def _spatial_cell(latitude: Column, longitude: Column) -> list[Column]:
+    """Cube of space, its edge the chord of the proximity radius, that a point of the unit sphere lies in.
+
+    Points within the radius lie in the same or adjoining cubes, at the poles and across the date line too.
+    """
+    lat, lon = F.radians(latitude), F.radians(longitude)
+    return [F.floor(axis / F.lit(CELL_EDGE)).cast("bigint") for axis in (
+        F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat))]
+
+
+def _stretches(steps: DataFrame, bucket_us: int) -> DataFrame:
+    """Each step's stretch of leaves it covers whole: ``a`` to ``b``, empty if ``a`` > ``b``."""
+    opens = F.col("bucket") * bucket_us
+    from_start = (F.col("from_us") == opens) & (F.col("from_seq") == _FIRST)
+    return steps.withColumns({
+        "leaf_from": F.when(~from_start, _leaf(F.col("from_us"), bucket_us)),
+        "leaf_to": F.when(F.col("to_us") < opens + bucket_us, _leaf(F.col("to_us"), bucket_us)),
+    }).withColumns({
+        "a": F.coalesce(F.col("leaf_from") + 1, F.lit(0)),
+        "b": F.coalesce(F.col("leaf_to") - 1, F.lit((1 << LEVELS) - 1))})
+
+
+def _leading_by_support(steps: DataFrame, bucket_us: int) -> DataFrame:
+    """``bucket``, ``level``, ``node`` and the ``TOP`` feeders by support among the steps cut into that node.
+
+    A bucket's leaves form a binary tree; a stretch is cut into the fewest nodes, two a level at most, and
+    each moment lies in one node a level. So the leading feeders of a moment are among the leading
+    ones of its nodes, and no node keeps more than ``TOP``.
+    """
+    pieces = []
+    for level in range(LEVELS + 1):
+        first = lambda n: F.shiftright(F.col("a") + ((1 << n) - 1), n)
+        last = lambda n: F.shiftright(F.col("b") + 1, n) - 1
+        for node, other in ((first(level), None), (last(level), first(level))):
+            above = F.shiftright(node, 1)
+            kept = (first(level) <= last(level)) & ~above.between(first(level + 1), last(level + 1))
+            if other is not None:
+                kept = kept & (node != other)
+            pieces.append(F.when(kept, F.struct(F.lit(level).alias("level"), node.alias("node"))))
+    cut = _stretches(steps, bucket_us).where("a <= b").select(
+        "bucket", "feeder_name", "n", "first_us", "first_seq",
+        F.explode(F.array_compact(F.array(*pieces))).alias("at")).select(
+        "bucket", "at.level", "at.node", "feeder_name", "n", "first_us", "first_seq")
+    order = Window.partitionBy("bucket", "level", "node").orderBy(
+        F.col("n").desc(), "first_us", "first_seq", "feeder_name")
+    return cut.withColumn("place", F.row_number().over(order)).where(F.col("place") <= TOP).select(
+        "bucket", "level", "node", "feeder_name")
+
+
+def asked_feeders(
+    unknown: DataFrame, steps: DataFrame, bucket_us: int = BUCKET_US, every: bool = True,
+) -> DataFrame:
+    """One row per unknown outage and feeder to score.
+
+    ``every`` asks each feeder with evidence in the outage's bucket. Otherwise only those that can be among the
+    ``TOP`` best, and with them the one of largest support: beyond the proximity radius the score is the
+    support share alone, so it takes the feeders near the outage, by cells of space, and the
+    leading ones by support, by nodes of time. Feeders whose evidence changes in the very
+    leaf of the outage are asked too; whether they count then is decided like for the others.
+    """
     outages = unknown.select(
         "msn", "ts", "us", "seq", "latitude", "longitude",
         _bucket(F.col("us"), bucket_us).alias("bucket"))
-    return outages.join(steps.select("bucket", "feeder_name").distinct(), "bucket")
+    if every:
+        return outages.join(steps.select("bucket", "feeder_name").distinct(), "bucket")
+    names = outages.columns
+    axes = ["cell_x", "cell_y", "cell_z"]
+    around = outages.withColumns(dict(zip(axes, _spatial_cell(F.col("latitude"), F.col("longitude")))))
+    for axis in axes:
+        around = around.withColumn(axis, F.explode(F.array(*[F.col(axis) + F.lit(n) for n in (-1, 0, 1)])))
+    near = steps.select("bucket", "feeder_name", *[
+        cell.alias(axis) for axis, cell in zip(axes, _spatial_cell(F.col("centroid_lat"), F.col("centroid_lon")))
+    ]).distinct()
+    leaf = outages.withColumn("leaf", _leaf(F.col("us"), bucket_us))
+    nodes = leaf.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS)))).withColumn(
+        "node", F.expr("shiftright(leaf, level)"))
+    changing = _stretches(steps, bucket_us).select("bucket", "feeder_name", F.explode(
+        F.array_compact(F.array("leaf_from", "leaf_to"))).alias("leaf")).distinct()
+    columns = [*names, "feeder_name"]
+    return (
+        around.join(near, ["bucket", *axes]).select(*columns)
+        .union(nodes.join(_leading_by_support(steps, bucket_us), ["bucket", "level", "node"]).select(*columns))
+        .union(leaf.join(changing, ["bucket", "leaf"]).select(*columns)).distinct())
 
 
-def candidates(occurrences: DataFrame, bucket_us: int = BUCKET_US) -> DataFrame:
-    """One row per unknown outage and feeder with evidence, scored and ranked."""
-    steps = evidence_steps(known_evidence(occurrences), bucket_us)
-    asked = asked_feeders(unknown_outages(occurrences), steps, bucket_us)
+def candidates(
+    occurrences: DataFrame, bucket_us: int = BUCKET_US, every: bool = True,
+) -> DataFrame:
+    """Unknown outages and the feeders asked for each (see ``asked_feeders``), scored and ranked.
+
+    Ranks and support shares are those among all feeders with evidence, as far as the ``TOP`` best go.
+    """
+    # Read several times, and far smaller than the events they come from.
+    occurrences = materialise(occurrences)
+    steps = materialise(evidence_steps(known_evidence(occurrences), bucket_us))
+    if not every:
+        # Few feeders: fewer than the search for the best would ask about.
+        every = steps.select(F.count_distinct("feeder_name")).first()[0] <= FEW_FEEDERS
+    asked = asked_feeders(unknown_outages(occurrences), steps, bucket_us, every)
     values = ["substation_name", "n", "centroid_lat", "centroid_lon", "first_us", "first_seq",
               "to_us", "to_seq"]
     # A step holds after its position, so an outage at that very position comes before it.
@@ -156,7 +258,7 @@ def candidates(occurrences: DataFrame, bucket_us: int = BUCKET_US) -> DataFrame:
         .select("msn", "ts", "us", "seq", "latitude", "longitude", "feeder_name", "step.*"))
     # The rank is keyed by the outage, not the bucket: adaptive execution may then split a bucket
     # that holds many unknown outages, since no later step relies on its partitioning.
-    per_outage = Window.partitionBy("seq")
+    per_outage = Window.partitionBy("msn", "us", "seq")
     distance = haversine_km(
         F.col("latitude"), F.col("longitude"), F.col("centroid_lat"), F.col("centroid_lon"))
     scored = (
@@ -174,7 +276,7 @@ def topology_results(occurrences: DataFrame, bucket_us: int = BUCKET_US) -> Data
     """The three best feeders of each unknown outage as result records."""
     best = F.col("candidate_rank") == 1
     score = round_half_up(F.col("score"))
-    return candidates(occurrences, bucket_us).where(F.col("candidate_rank") <= TOP).select(
+    return candidates(occurrences, bucket_us, every=False).where(F.col("candidate_rank") <= TOP).select(
         F.concat(F.col("msn"), F.lit(":"), iso_local(F.col("us"))).alias("inference_id"),
         F.lit(USE_CASE).alias("use_case"), F.col("msn").alias("unknown_msn"),
         F.col("ts").alias("event_ts"), "candidate_rank",

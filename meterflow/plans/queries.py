@@ -539,8 +539,7 @@ def stream_service_outages(spark, sf_dir):
 
 
 def stream_topology(spark, sf_dir):
-    rows = _drained(spark, sf_dir, jobs.start_topology, "topology_inference_results",
-                    parts=STREAM_FILES)
+    rows = _drained(spark, sf_dir, jobs.start_topology, "topology_inference_results", parts=2)
     return rows.drop("generated_at", "received_at")
 
 

@@ -122,3 +122,47 @@ def test_work_grows_with_outages_times_feeders(spark):
         steps = topology.evidence_steps(topology.known_evidence(events))
         return topology.asked_feeders(topology.unknown_outages(events), steps).count()
     assert asked(1) == 40 * 4 and asked(10) == 400 * 4
+
+
+def test_outages_of_one_number_are_ranked_apart(spark):
+    """Arrival numbers taken from the payload may repeat from meter to meter."""
+    rows = [(f"k{i}", START, i, True, f"F{i}", None, 28.0 + i, 77.0) for i in range(3)]
+    rows += [(m, START + SECOND, 9, False, None, None, 28.0 + at, 77.0) for m, at in (("u", 0), ("v", 2))]
+    got = {(r["unknown_msn"], r["candidate_rank"]): r["candidate_feeder"]
+           for r in topology.topology_results(frame(spark, rows)).collect()}
+    assert got == {("u", 1): "F0", ("u", 2): "F1", ("u", 3): "F2",
+                   ("v", 1): "F2", ("v", 2): "F0", ("v", 3): "F1"}
+
+
+@pytest.mark.parametrize("seed, bucket_s, place", [
+    (1, 60, (28.0, 77.0, 0.6)), (2, 7, (-89.7, 0.0, 0.5)), (3, 300, (0.0, 179.9, 0.4)), (4, 60, (51.0, 0.0, 20.0))])
+def test_three_best_of_few_asked_are_those_of_all(spark, monkeypatch, seed, bucket_s, place):
+    """Also around a pole and the date line, and where support decides."""
+    monkeypatch.setattr(topology, "FEW_FEEDERS", 0)
+    rng = random.Random(seed)
+    lat, lon, spread = place
+    rows = []
+    for seq in range(900):
+        known = rng.random() < 0.8
+        meter = rng.randrange(400)
+        feeder = int(rng.random() ** 2 * 60)
+        at = (lat + spread * (feeder % 8) / 8 + rng.random() * 0.02, lon + spread * (feeder // 8) / 8 + rng.random() * 0.02)
+        us = START + int(rng.random() * 420 * SECOND)
+        rows.append((f"k{meter}" if known else f"u{seq}", us, seq, known, f"F{feeder}" if known else None, None,
+                     at[0], at[1] if at[1] <= 180 else at[1] - 360))
+    three = lambda every: {
+        (r["msn"], r["seq"], r["candidate_rank"]): (r["feeder_name"], r["n"], round(r["score"], 9), round(r["cooccurrence"], 9))
+        for r in topology.candidates(frame(spark, rows), bucket_s * SECOND, every).where("candidate_rank <= 3").collect()}
+    want = three(True)
+    assert len(want) > 300 and three(False) == want
+
+
+def test_feeders_asked_do_not_grow_with_feeders(spark):
+    def asked(feeders):
+        rows = [(f"k{n}", START + n * 240 * SECOND // feeders, n, True, f"F{n}", None,
+                 -60 + 120 * (n % 30) / 30, -170 + 340 * (n // 30) / (feeders / 30)) for n in range(feeders)]
+        rows += [(f"u{n}", START + 241 * SECOND + n, feeders + n, False, None, None, 28.0, 77.0) for n in range(40)]
+        events = frame(spark, rows)
+        steps = topology.evidence_steps(topology.known_evidence(events))
+        return topology.asked_feeders(topology.unknown_outages(events), steps, every=False).count() / 40
+    assert asked(1800) <= 1.2 * asked(300) <= 50
