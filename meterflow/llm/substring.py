@@ -18,16 +18,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F
 
+from meterflow.llm.word_hash import grouped_words
 
 WINDOW = 20
 BASE = 10
-GROUP_WORDS = 400_000
 # Odd multipliers of the mixing step.
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 OTHER = np.uint64(0xA5A5A5A5A5A5A5A5)
@@ -41,11 +38,6 @@ def join_hashes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(32))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    codes, distinct = pd.factorize(np.array(words, dtype=object))
-    return np.array([xxhash.xxh3_64_intdigest(word) for word in distinct], np.uint64)[codes]
-
-
 def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     """Hashes of all windows of ``length`` words."""
     if len(hashes) < length:
@@ -60,11 +52,20 @@ def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
 
 
 def anchors(hashes: np.ndarray, base: int) -> np.ndarray:
-    """For each run of ``2 * base`` words, the place of its anchor."""
+    """For each run of ``2 * base`` words, the place of its anchor: the leftmost smallest window hash."""
     if len(hashes) < 2 * base:
         return np.empty(0, np.int64)
-    runs = sliding_window_view(window_hashes(hashes, base), base + 1)
-    return runs.argmin(axis=1) + np.arange(len(runs))
+    values = window_hashes(hashes, base)
+    places, width = np.arange(len(values)), 1
+    while width <= base:
+        # Two overlapping stretches make one of up to twice the width.
+        step = min(width, base + 1 - width)
+        left, right = values[:-step], values[step:]
+        take = left <= right
+        places = np.where(take, places[:-step], places[step:])
+        values = np.minimum(left, right)
+        width += step
+    return places
 
 
 def alive_windows(
@@ -74,14 +75,20 @@ def alive_windows(
     at = anchors(hashes, base)
     if not len(at):
         return at
-    alive = ~np.isin(window_hashes(hashes, base)[at], ended[base])
+    # Neighbouring runs share their anchor: each is looked up once.
+    open_ = np.zeros(len(hashes), bool)
+    open_[at] = True
+    spots = np.flatnonzero(open_)
+    open_[spots] = ~np.isin(window_hashes(hashes, base)[spots], ended[base])
+    alive = open_[at]
     level = 2 * base
-    while level < length:
+    while level < length and alive.any():
         places = np.flatnonzero(alive)
         alive[places] = ~np.isin(window_hashes(hashes, level)[places], ended[level])
         count = max(0, len(hashes) - 2 * level + 1)
         alive = alive[:count] & alive[level: level + count]
         level *= 2
+    # All ended at a lower level: no window is left.
     return np.flatnonzero(alive)
 
 
@@ -101,27 +108,11 @@ def removed_words(
     return np.cumsum(out[:-1]) > 0
 
 
-def grouped(texts: list[bytes]) -> Iterator[list[tuple[int, list[bytes]]]]:
-    """Texts as words, with their places, in groups of bounded size."""
-    group, size = [], 0
-    for place, data in enumerate(texts):
-        words = data.split()
-        group.append((place, words))
-        size += len(words)
-        if size >= GROUP_WORDS:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
-def _hashed(texts: list[bytes]) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    for group in grouped(texts):
-        hashes = word_hashes([word for _, words in group for word in words])
-        at = 0
-        for place, words in group:
-            yield place, words, hashes[at: at + len(words)]
-            at += len(words)
+def _hashed(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+    """Place of each text and the hashes of its words."""
+    for first, _, _, hashes, _, _, begins in grouped_words(texts):
+        for place, (a, b) in enumerate(zip(begins[:-1].tolist(), begins[1:].tolist()), first):
+            yield place, hashes[a:b]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -162,8 +153,10 @@ def _first_level(keyed: DataFrame, base: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for place, _, hashes in _hashed(batch.column("_text").to_pylist()):
-                spots = np.unique(anchors(hashes, base))
+            for place, hashes in _hashed(batch.column("_text").to_pylist()):
+                held = np.zeros(len(hashes), bool)
+                held[anchors(hashes, base)] = True
+                spots = np.flatnonzero(held)
                 if len(spots):
                     found.append((
                         place, window_hashes(hashes, base)[spots], np.zeros(len(spots), np.int32)))
@@ -187,7 +180,7 @@ def _next_level(listed: DataFrame, base: int, length: int, lists: dict[int, str]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ended, found = _ended(batch, lists), []
-            for place, _, hashes in _hashed(batch.column("_text").to_pylist()):
+            for place, hashes in _hashed(batch.column("_text").to_pylist()):
                 spots = alive_windows(hashes, base, ended[place], length)
                 if len(spots):
                     other = window_hashes(join_hashes(hashes, hashes ^ OTHER), length)[spots]
@@ -221,8 +214,9 @@ def _strip(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ended, found = _ended(batch, lists), [()] * batch.num_rows
-            for place, words, hashes in _hashed(batch.column("_text").to_pylist()):
-                out = removed_words(hashes, base, window, ended[place])
+            texts = batch.column("_text").to_pylist()
+            for place, hashes in _hashed(texts):
+                out, words = removed_words(hashes, base, window, ended[place]), texts[place].split()
                 kept = [word for word, dead in zip(words, out.tolist()) if not dead] \
                     if out.any() else words
                 joined = b" ".join(kept)

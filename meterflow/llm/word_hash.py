@@ -1,7 +1,7 @@
 """Hashes of words and of word runs straight from UTF-8 bytes, without an object per word.
 
 Words are the maximal runs of bytes other than blank and 0x09 to 0x0D. Texts are taken in groups of
-a few megabytes, a longer text in slices cut between words, so memory is bounded by the group and
+about a megabyte, a longer text in slices cut between words, so memory is bounded by the group and
 by the longest word, not by the longest text (of which only the hashes are held, 8 bytes a word).
 """
 
@@ -11,12 +11,11 @@ from collections.abc import Iterator
 
 import numpy as np
 
-GROUP_BYTES = 1 << 21
+GROUP_BYTES = 1 << 20
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
-# One random number per byte value; words that differ in case alone agree in the second table.
-BYTE = np.random.default_rng(0x5EED).integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
-LOWER_BYTE = BYTE[[value + 32 if 65 <= value <= 90 else value for value in range(256)]]
+# The first n bytes of eight, as a little-endian number.
+FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -39,28 +38,29 @@ def _slices(data: bytes) -> Iterator[tuple[int, int]]:
 
 def word_hashes(data: bytes, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, start and end (in bytes) of every word; ``lower`` takes A-Z as a-z."""
-    found = [_hashed(np.frombuffer(data, np.uint8, end - start, start), start, lower)
+    found = [_hashed(data[start:end].lower() if lower else data[start:end], start)
              for start, end in _slices(data)]
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return tuple(np.concatenate(part) for part in zip(*found))
 
 
-def _hashed(octets: np.ndarray, offset: int, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    inside = np.zeros(len(octets) + 2, np.int8)
-    inside[1:-1] = ~BLANK[octets]
+def _hashed(data: bytes, offset: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    inside = np.zeros(len(data) + 2, np.int8)
+    inside[1:-1] = ~BLANK[np.frombuffer(data, np.uint8)]
     edge = np.diff(inside)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    if not len(starts):
-        return np.zeros(0, np.uint64), starts, ends
-    lengths = ends - starts
-    # Place of every byte in its word: powers of one odd number tell the places apart.
-    power = np.cumprod(np.full(lengths.max(), K1))
-    firsts = np.cumsum(lengths) - lengths
-    place = np.arange(lengths.sum()) - np.repeat(firsts, lengths)
-    terms = (LOWER_BYTE if lower else BYTE)[octets[inside[1:-1].astype(bool)]] * power[place]
-    sums = np.add.reduceat(terms, firsts) + lengths.astype(np.uint64) * K3
-    return mixed(sums), starts + offset, ends + offset
+    # Eight bytes from every place on.
+    eights = np.ndarray(len(data) + 1, "<u8", data + bytes(8), strides=1)
+    hashes = (ends - starts).astype(np.uint64) * K3
+    at, left, open_ = starts, ends - starts, slice(None)
+    while len(at):
+        now = (hashes[open_] ^ (eights[at] & FIRST[np.minimum(left, 8)])) * K1
+        hashes[open_] = now ^ (now >> np.uint64(29))
+        more = np.flatnonzero(left > 8)
+        open_ = more if isinstance(open_, slice) else open_[more]
+        at, left = at[more] + 8, left[more] - 8
+    return mixed(hashes), starts + offset, ends + offset
 
 
 def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
