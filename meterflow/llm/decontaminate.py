@@ -13,7 +13,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from meterflow.llm.shared import document_number, staged
+from meterflow.llm.shared import document_number, named, staged
 
 MASKS = ((0, 1, 2, 5, 7), (0, 3, 5, 6, 7))
 WINDOW = 12
@@ -112,4 +112,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, **overlap) -> DataFrame:
         overlaps(docs, benchmark, **overlap).select("_doc", "_digest").distinct(), "contaminated")
     keyed = docs.withColumns({
         "_doc": document_number(), "_digest": F.xxhash64(F.coalesce("text", F.lit("")))})
-    return keyed.join(hit, ["_doc", "_digest"], "left_anti").select(*docs.columns)
+    return keyed.join(hit, ["_doc", "_digest"], "left_anti").select(*named(docs.columns))

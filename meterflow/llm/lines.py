@@ -16,17 +16,14 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meterflow.llm.buckets import grouped
 from meterflow.llm.edit import similar
-from meterflow.llm.shared import explode_texts, staged, text_bytes, with_key
-from meterflow.llm.simhash import (
-    COUNTED, MIX1, MIX2, SPREAD, STEP, in_blocks, lane_octets,
-)
+from meterflow.llm.shared import explode_texts, named, staged, text_bytes, with_key
+from meterflow.llm.word_hash import K2 as MIX1, K3 as MIX2, grouped_words
 from meterflow.operators.skew import broadcast_if_small
 
 MIN_WORDS = 5
@@ -37,11 +34,6 @@ RUNS = (3, 2, 1)
 # the order; any order gives the same result.
 SAMPLED, RANK_BITS, RANKED = 64, 20, 4
 SIGN_BITS = 256
-# Shape of the fingerprints that ``fingerprints`` gives; they take no part in the dedup.
-BLOCKS, WIDTH, DISTANCE = 10, 28, 70
-PAIRS = 1 << 15
-LANES = 5
-OCTETS = BLOCKS * WIDTH // 8
 # Letters in one case, digits alike, ASCII punctuation as blanks; other bytes stay.
 NORMAL = bytes(
     c + 32 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c if 97 <= c <= 122 or c > 127 else 32
@@ -90,18 +82,8 @@ def word_runs(words: np.ndarray, q: int) -> np.ndarray:
 
 def _in_parts(lines: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First line, word hashes and lengths of parts of the lines that fit into memory."""
-    begin = 0
-    while begin < len(lines):
-        end, words, lengths = begin, [], []
-        while end < len(lines) and (len(words) < PAIRS or end == begin):
-            own = lines[end].split()
-            words += own
-            lengths.append(len(own))
-            end += 1
-        codes, distinct = pd.factorize(np.array(words, dtype=object))
-        hashes = np.array([xxhash.xxh3_64_intdigest(word) for word in distinct], np.uint64)
-        yield begin, hashes[codes], np.array(lengths)
-        begin = end
+    for begin, _, _, hashes, _, _, begins in grouped_words(lines):
+        yield begin, hashes, np.diff(begins)
 
 
 def keys_and_signs(
@@ -169,33 +151,6 @@ def ranks(keyed: DataFrame) -> np.ndarray:
     return rank
 
 
-def fingerprints(lines: list[bytes]) -> np.ndarray:
-    """SimHash of each line over its pairs of neighbouring words, as rows of block values."""
-    out = np.empty((len(lines), BLOCKS), np.int32)
-    begin = 0
-    while begin < len(lines):
-        end, words, starts = begin, [], []
-        while end < len(lines) and (len(words) < PAIRS or end == begin):
-            starts.append(len(words))
-            words += lines[end].split()
-            end += 1
-        codes, distinct = pd.factorize(np.array(words, dtype=object))
-        hashes = np.array([xxhash.xxh3_64_intdigest(word) for word in distinct], np.uint64)[codes]
-        pairs = hashes * STEP + np.roll(hashes, -1)
-        spread = SPREAD[lane_octets(pairs, LANES)[:, :OCTETS]]
-        lengths = np.diff([*starts, len(words)])
-        spread[np.cumsum(lengths) - 1] = 0  # the last word of a line has no neighbour
-        # Parts of lines that a byte can count, then whole lines.
-        parts = -(-lengths // COUNTED)
-        first = np.cumsum(parts) - parts
-        at = np.repeat(starts, parts) + COUNTED * (np.arange(parts.sum()) - np.repeat(first, parts))
-        ones = np.add.reduceat(spread, at, axis=0).view(np.uint8).astype(np.int32)
-        ones = np.add.reduceat(ones, first, axis=0)
-        out[begin:end] = in_blocks(2 * ones > (lengths - 1)[:, None], WIDTH)
-        begin = end
-    return out
-
-
 def _lines_of_batch(texts: list[bytes], least: float, rank: np.ndarray) -> tuple:
     """Per comparable line: its text's place, hash, keys, sign and number in the text."""
     owners, numbers, lines = [], [], []
@@ -280,10 +235,15 @@ def groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
             F.first("sign").alias("sign")),
         "classes")
 
-    def may(a: Column, b: Column) -> Column:
-        most = F.floor(F.greatest(a["n"], b["n"]) * (1 - least) + 1e-9)
+    def most(n: Column, m: Column) -> Column:
+        return F.floor(F.greatest(n, m) * (1 - least) + 1e-9)
+
+    def may(n: Column, m: Column) -> Column:
+        return F.abs(n - m) <= most(n, m)
+
+    def close(a: Column, b: Column) -> Column:
         apart = sum((F.bit_count(a[f"s{n}"].bitwiseXOR(b[f"s{n}"])) for n in range(SIGN_BITS // 64)), F.lit(0))
-        return (F.abs(a["n"] - b["n"]) <= most) & (apart <= 2 * most)
+        return apart <= 2 * most(a["n"], b["n"])
 
     def alike(pairs: DataFrame) -> DataFrame:
         # Classes are shuffled once; what follows sees only those that may be linked.
@@ -293,7 +253,7 @@ def groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         near = staged(
             pairs.join(held.select(F.col("node").alias("u"), F.col("sign").alias("a")), "u")
             .join(held.select(F.col("node").alias("v"), F.col("sign").alias("b")), "v")
-            .where(may(F.col("a"), F.col("b"))).select("u", "v"), "near")
+            .where(close(F.col("a"), F.col("b"))).select("u", "v"), "near")
         fuzzy = near.select(F.col("u").alias("node")).union(
             near.select(F.col("v").alias("node"))).distinct()
         wanted = held.select("first", "node").join(fuzzy, "node").select(
@@ -301,7 +261,7 @@ def groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         return _alike(near, staged(_candidate_texts(keyed, wanted), "texts"), least)
 
     roots = grouped(classes.select(
-        F.col("_hash").alias("node"), "sign", F.explode("keys").alias("key")), may, alike)
+        F.col("_hash").alias("node"), F.col("sign.n").alias("sign"), F.explode("keys").alias("key")), may, alike)
     return (
         classes.select("_hash", "first", "n").join(roots, classes["_hash"] == roots["node"], "left")
         .groupBy(F.coalesce("root", "_hash").alias("_root"))
@@ -320,7 +280,7 @@ def dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     kept_columns = [name for name in docs.columns if name not in ("n_lines", "n_removed")]
     lists = groups(docs, least).groupBy("_doc", "_digest").agg(
         F.collect_list("_line").alias("_stays"))
-    joined = with_key(docs.select(*kept_columns)).join(lists, ["_doc", "_digest"], "left")
+    joined = with_key(docs.select(*named(kept_columns))).join(lists, ["_doc", "_digest"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -341,7 +301,7 @@ def dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
                 [*kept_columns, "n_lines", "n_removed"])
 
     given = joined.select(
-        *[name for name in kept_columns if name != "text"],
+        *named(name for name in kept_columns if name != "text"),
         F.col("text").cast("binary").alias("_text"), "_stays")
-    schema = docs.select(*kept_columns).schema.add("n_lines", "long").add("n_removed", "long")
+    schema = docs.select(*named(kept_columns)).schema.add("n_lines", "long").add("n_removed", "long")
     return given.mapInArrow(run, schema)

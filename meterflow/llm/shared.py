@@ -35,6 +35,11 @@ def text_bytes(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+def named(names: Iterable[str]) -> list[Column]:
+    """Columns by their very names, which may hold dots."""
+    return [F.col(f"`{name}`") for name in names]
+
+
 def document_number(column: str = "doc_id") -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))
 

@@ -120,20 +120,19 @@ def test_edit_distance_by_table():
     assert edit.similar("", "", 0.8) and edit.similar("abcde", "abcdx", 0.8) and not edit.similar("abcd", "abcx", 0.8)
 
 
-def kept_lines(docs, least=0.8, distance=lines.DISTANCE):
-    """Comparable lines with their places, and the group of each by comparing all pairs."""
+def kept_lines(docs, least=0.8):
+    """Comparable lines with their places, and the group of each by the edit similarity of all pairs alone."""
     places = []
     for doc_id, text in docs:
         for number, line in enumerate((text or "").encode().split(b"\n")):
             if normal := lines.normalised(line):
                 places.append((doc_id, text, number, normal))
     normals = sorted({normal for *_, normal in places})
-    blocks = lines.fingerprints(normals)
+    words = [normal.split() for normal in normals]
 
     def linked(a, b):
-        return (blocks[a] == blocks[b]).any() and int(
-            np.bitwise_count(blocks[a] ^ blocks[b]).sum()) <= distance and edit.similar(
-            normals[a].split(), normals[b].split(), least)
+        return len(words[a]) >= lines.MIN_WORDS and len(words[b]) >= lines.MIN_WORDS and edit.similar(
+            words[a], words[b], least)
 
     group = brute.components(list(range(len(normals))), linked)
     return places, group, {normal: k for k, normal in enumerate(normals)}

@@ -15,16 +15,14 @@ from meterflow.llm import lines, quality, queries, simhash
 from test_dealt import kept_lines, mixed, overlapping
 
 
-def near_groups(texts, shingle=5, similarity=0.8):
-    """Group number per text: share a block, differ in few enough bits."""
-    blocks = [simhash.wide_fingerprint(simhash.shingle_hashes((t or "").encode(), shingle)) for t in texts]
-    most = simhash.most_distance(similarity)
-
-    def linked(a, b):
-        return (blocks[a] == blocks[b]).any() and \
-            int(np.bitwise_count(blocks[a] ^ blocks[b]).sum()) <= most
-
-    return brute.components(list(range(len(texts))), linked)
+def near_groups(texts, length=5, percent=80):
+    """Group number per text by the Jaccard similarity of all pairs alone."""
+    sets = []
+    for text in texts:
+        words = brute.words_of((text or "").translate(brute.ASCII_LOWER))
+        sets.append({tuple(words[n: n + length]) for n in range(max(1, len(words) - length + 1))} if words else set())
+    return brute.components(
+        list(range(len(texts))), lambda a, b: 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]))
 
 
 def first_of_groups(docs):
@@ -179,16 +177,24 @@ def test_contradicting_and_odd_labels(spark):
 
 
 def test_fingerprints_count_every_bit():
-    """Long and short lines, and documents beyond a byte's count, against counting bit by bit."""
-    rng = random.Random(8)
-    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(n)).encode() for n in (5, 6, 255, 256, 257, 2000, 7)]
-    got = lines.fingerprints(texts)
-    for text, blocks in zip(texts, got):
-        words = [__import__("xxhash").xxh3_64_intdigest(w) for w in text.split()]
-        pairs = np.array([(a * int(simhash.STEP) + b) % 2**64 for a, b in zip(words, words[1:])], np.uint64)
-        bits = np.unpackbits(simhash.lane_octets(pairs, lines.LANES), axis=1, bitorder="little")[:, :280]
-        assert (simhash.in_blocks((2 * bits.sum(axis=0, dtype=int) > len(pairs))[None], 28)[0] == blocks).all()
-    hashes = np.unique(simhash.shingle_hashes(texts[5], 2))
-    bits = np.unpackbits(simhash.lane_octets(hashes, simhash.WORDS), axis=1, bitorder="little")[:, :1008]
-    assert (simhash.in_blocks((2 * bits.sum(axis=0, dtype=int) > len(hashes))[None])[0]
-            == simhash.wide_fingerprint(hashes)).all()
+    rng = np.random.default_rng(4)
+    for size in (1, 2, 255, 256, 700):
+        hashes = rng.integers(0, 1 << 63, size, np.uint64)
+        lanes = simhash.lane_words(hashes)
+        bits = np.unpackbits(np.ascontiguousarray(lanes).view(np.uint8).reshape(size, -1), axis=1, bitorder="little")
+        words, least = simhash.wide_fingerprint(hashes)
+        assert (np.unpackbits(words.view(np.uint8), bitorder="little") == (2 * bits.sum(axis=0, dtype=int) > size)).all()
+        assert (least == lanes.min(axis=0)).all()
+        assert len(set(simhash.block_keys(words, least).tolist())) == simhash.KEYED_LANES * simhash.LANE_BLOCKS
+
+
+def test_block_recall_at_the_bound():
+    """Of random pairs of sets around the similarity bound nearly all share a block and pass the distance."""
+    rng, found = np.random.default_rng(6), []
+    for _ in range(300):
+        common = rng.integers(0, 1 << 63, 400, np.uint64)
+        prints = [simhash.wide_fingerprint(np.concatenate((common, rng.integers(0, 1 << 63, 50, np.uint64)))) for _ in "ab"]
+        keys = [set(simhash.block_keys(*p).tolist()) for p in prints]
+        distance = int(np.bitwise_count(prints[0][0] ^ prints[1][0]).sum())
+        found.append(bool(keys[0] & keys[1]) and distance <= simhash.most_distance(0.8))
+    assert np.mean(found) > 0.98

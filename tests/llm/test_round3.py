@@ -14,7 +14,8 @@ import numpy as np
 import pytest
 from conftest import ODD_TEXTS, SF_DIR, ordered
 
-from meterflow.llm import lexical, ngram_join, prefix_trie, queries, word_hash
+from meterflow.llm import decontaminate, lexical, lines, ngram_join, prefix_trie, queries, simhash, word_hash
+from pyspark.sql import functions as F
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -278,3 +279,13 @@ def test_shingle_sets_are_those_of_words():
     texts = [(t or "").encode() for _, t in ODD_TEXTS]
     for (_, text), own in zip(ODD_TEXTS, word_hash.shingle_sets(texts, 3)):
         assert len(own) == len(grams(text))
+
+
+# ---- column names ----------------------------------------------------------------------------
+
+def test_column_names_with_dots(spark, odd_docs):
+    docs = odd_docs.withColumn("my.col", F.lit(1))
+    items = spark.createDataFrame([(1, "nothing of this is in any of the documents at all " * 3)], "item_id long, text string")
+    assert lines.dedup(docs).columns == [*docs.columns, "n_lines", "n_removed"]
+    for kept in (simhash.keep_one(docs), decontaminate.clean(docs, items)):
+        assert kept.columns == docs.columns and kept.count() > 0
