@@ -295,13 +295,15 @@ def dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
                 removed.append(len(lines) - len(left))
                 texts.append(data if len(left) == len(lines) else b"\n".join(left))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(name) if name != "text" else
+                [batch.column(given_as[name]) if name != "text" else
                  pa.array([None if t is None else t.decode("utf-8", "replace") for t in texts], pa.string())
                  for name in kept_columns] + [pa.array(counts, pa.int64()), pa.array(removed, pa.int64())],
                 [*kept_columns, "n_lines", "n_removed"])
 
+    # Functions over batches take plain names only.
+    given_as = {name: f"_kept{n}" for n, name in enumerate(kept_columns) if name != "text"}
     given = joined.select(
-        *named(name for name in kept_columns if name != "text"),
+        *[column.alias(alias) for column, alias in zip(named(given_as), given_as.values())],
         F.col("text").cast("binary").alias("_text"), "_stays")
     schema = docs.select(*named(kept_columns)).schema.add("n_lines", "long").add("n_removed", "long")
     return given.mapInArrow(run, schema)
