@@ -18,7 +18,7 @@ Equal sets are one class throughout.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +26,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meterflow.llm.buckets import grouped
-from meterflow.llm.shared import map_texts, staged, text_bytes, with_key
+from meterflow.llm.shared import map_texts, parts, staged, text_bytes, with_key
 from meterflow.llm.word_hash import mixed, shingle_sets
-from meterflow.operators.skew import broadcast_if_small
+from meterflow.llm.word_sets import may_overlap, similar_pairs
 
 PERCENT = 90
 # Sets up to this size may be light: beyond it the subsets of one set run into the tens of thousands.
@@ -70,7 +70,7 @@ def frequencies(docs: DataFrame, shingle: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, np.uint32)
-        for batch in batches:
+        for batch in chain.from_iterable(map(parts, batches)):
             for own in shingle_sets(batch.column("_text").to_pylist(), shingle):
                 np.add.at(cells, own & np.uint64(CELLS - 1), np.uint32(1))
         for block in range(CELLS // BLOCK):
@@ -178,55 +178,27 @@ def _light_links(light: DataFrame, percent: int) -> DataFrame:
 
 # ---- heavy sets ------------------------------------------------------------------------------
 
-def _whole_sets(keyed: DataFrame, held: DataFrame, shingle: int) -> DataFrame:
-    """``node`` and ``shingles`` of the held classes, from the document that has each first."""
-    docs = keyed.select("_doc", "_digest", "text").join(
-        broadcast_if_small(held.select("first.*", "node")), ["_doc", "_digest"])
-
-    def of_batch(texts: list[bytes]):
-        for own in shingle_sets(texts, shingle):
-            yield (own.tobytes(),)
-
-    return map_texts(docs, ["node"], "shingles binary", of_batch).dropDuplicates(["node"])
-
-
 def _heavy_groups(
-    keyed: DataFrame, classes: DataFrame, light_links: DataFrame, bound: int, shingle: int, percent: int,
+    keyed: DataFrame, classes: DataFrame, lists: DataFrame, light_links: DataFrame, bound: int,
+    shingle: int, percent: int,
 ) -> DataFrame:
     """``node`` and ``root`` of all classes with a link."""
-    # A list entry's sign: the size, and the elements from the shared one on.
-    reach = classes.where(F.col("n") * 100 >= (bound + 1) * percent).select(
-        "node", "n", F.posexplode("keys").alias("place", "key"))
-    members = reach.select(
-        "node", "key", F.struct("n", (F.col("n") - F.col("place")).alias("rest")).alias("sign"),
-        F.col("place").cast("long").alias("place"))
+    # A list entry's sign is one number: the size, and the elements from the shared one on.
+    low = (1 << 32) - 1
+    size, rest = lambda sign: F.shiftright(sign, 32), lambda sign: sign.bitwiseAND(F.lit(low))
+    members = classes.where(F.col("n") * 100 >= (bound + 1) * percent).select(
+        "node", "n", F.posexplode("keys").alias("place", "key")).select(
+        "node", "key", F.shiftleft("n", 32).bitwiseOR(F.col("n") - F.col("place")).alias("sign"))
 
     def may(a: Column, b: Column) -> Column:
-        overlap = (100 + percent) * F.least(a["rest"], b["rest"])
-        return (F.greatest(a["n"], b["n"]) > bound) & (overlap >= percent * (a["n"] + b["n"])) & (
-            F.least(a["n"], b["n"]) * 100 >= F.greatest(a["n"], b["n"]) * percent)
+        n, m = size(a), size(b)
+        return (F.greatest(n, m) > bound) & may_overlap(n, m, percent) & (
+            (100 + percent) * F.least(rest(a), rest(b)) >= percent * (n + m))
 
     def alike(pairs: DataFrame) -> DataFrame:
-        involved = pairs.select(F.col("u").alias("node")).union(
-            pairs.select(F.col("v").alias("node"))).distinct()
-        held = staged(classes.select("node", "first").join(involved, "node"), "held")
-        sets = staged(_whole_sets(keyed, held, shingle), "shingles")
-        near = pairs
-        for side, name in (("u", "_left"), ("v", "_right")):
-            near = near.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(name)), side)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep = []
-                for left, right in zip(batch.column("_left"), batch.column("_right")):
-                    left, right = (np.frombuffer(x.as_buffer(), np.uint64) for x in (left, right))
-                    both = len(np.intersect1d(left, right, assume_unique=True))
-                    keep.append(100 * both >= percent * (len(left) + len(right) - both))
-                yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-        return near.select("u", "v", "_left", "_right").mapInArrow(run, "u long, v long")
+        return similar_pairs(pairs, classes, keyed, shingle, percent)
 
-    return grouped(members, may, alike, light_links)
+    return grouped(members, may, alike, light_links, lists, lambda sign: size(sign) - rest(sign))
 
 
 def components(docs: DataFrame, shingle: int = 3, percent: int = PERCENT) -> DataFrame:
@@ -247,7 +219,7 @@ def components(docs: DataFrame, shingle: int = 3, percent: int = PERCENT) -> Dat
         F.count("*").alias("n")).where("n > 1"), "lists")
     bound = _light_bound(classes, lists, percent)
     light = staged(_light_links(classes.where(F.col("n") <= bound), percent), "light")
-    roots = _heavy_groups(keyed, classes, light, bound, shingle, percent)
+    roots = _heavy_groups(keyed, classes, lists, light, bound, shingle, percent)
     rooted = classes.select("node", "first_id").join(roots, "node", "left").select(
         "node", "first_id", F.coalesce("root", "node").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))

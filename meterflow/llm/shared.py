@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -54,6 +56,21 @@ def with_key(docs: DataFrame) -> DataFrame:
         "_digest": F.xxhash64(F.coalesce(F.col("text"), F.lit("")))})
 
 
+# Texts of a batch that are worked on at once: what a function makes of them is handed on before the next.
+PART_BYTES = 4 << 20
+
+
+def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in stretches of rows of bounded text size, one row at least."""
+    begin = size = 0
+    for row, length in enumerate(pc.binary_length(batch.column("_text")).to_pylist()):
+        if row > begin and size + length > PART_BYTES:
+            yield batch.slice(begin, row - begin)
+            begin, size = row, 0
+        size += length
+    yield batch.slice(begin)
+
+
 def map_texts(
     rows: DataFrame, keep: list[str], schema: str,
     of_batch: Callable[[list[bytes]], Iterable[tuple]], text: str = "text",
@@ -69,7 +86,7 @@ def map_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(made)
-        for batch in batches:
+        for batch in chain.from_iterable(map(parts, batches)):
             columns = list(zip(*of_batch(batch.column("_text").to_pylist())))
             arrays = [pa.array(values, field.type) for values, field in zip(columns, arrow)] \
                 if columns else [pa.array([], field.type) for field in arrow]
