@@ -100,60 +100,75 @@ def exact_percentile(
 ) -> DataFrame:
     """Exact percentile with linear interpolation, one row per group.
 
-    The built-in ``percentile`` keeps every distinct value of a group in one buffer. Here equal
-    values are counted, a histogram of ``bin_width`` wide bins locates the bin of each of the two
-    order statistics, those bins are cut into ``PARTS`` finer ones and located again, and only what
-    is left in the two finer bins is ordered. The counted values are materialised, so the
-    input runs once. Group columns must not be null.
+    The built-in ``percentile`` keeps every distinct value of a group in one buffer. Here no value
+    is shuffled: a histogram of ``bin_width`` wide bins, combined map-side, locates the bin of the
+    wanted place; the rows of that bin alone are kept, in its range ``PARTS`` finer bins are counted,
+    and so on until a bin holds one value. That takes about ``log(rows) / log(PARTS)`` passes, of
+    which the first two see all rows. Each bin knows the smallest value behind it, the other
+    end of the interpolation. NaN is the largest value. Null values are left out, a group without
+    others has no row. Group columns must not be null.
     """
-    values = materialise(
-        rows.where(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-        .withColumn("_bin", F.floor(F.col("_v") / bin_width)))
-    total = values.groupBy(*group).agg(F.sum("_n").alias("_total")).select(
-        *group, ((F.col("_total") - 1) * F.lit(float(fraction))).alias("_pos"))
-    if not group:
-        total = total.where(F.col("_pos").isNotNull())
-    wide = _located(values, total.withColumn("_base", F.lit(0).cast("bigint")), group, ["_bin"])
-    part = F.floor((F.col("_v") / bin_width - F.col("_bin")) * PARTS)
-    inside = values.join(wide.withColumnRenamed("_before", "_base"), [*group, "_bin"]).withColumn(
-        "_part", part)
-    narrow = _located(inside.drop("_base", "_pos"), wide.select(
-        *group, "_bin", "_pos", F.col("_before").alias("_base")), [*group, "_bin"], ["_part"])
-    in_part = (
-        Window.partitionBy(*group, "_bin", "_part").orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (
-        inside.drop("_base", "_pos").join(narrow, [*group, "_bin", "_part"])
-        .withColumn("_last", F.col("_before") + F.sum("_n").over(in_part))
-        .withColumn("_first", F.col("_last") - F.col("_n")))
-    low, high = F.floor("_pos"), F.ceil("_pos")
-
-    def holds(place: Column) -> Column:
-        return (F.col("_first") <= place) & (place < F.col("_last"))
-
-    picked = ranked.groupBy(*group).agg(
-        F.max(F.when(holds(low), F.col("_v"))).alias("_low"),
-        F.max(F.when(holds(high), F.col("_v"))).alias("_high"),
-        F.max(F.col("_pos") - F.floor("_pos")).alias("_share"))
-    return picked.select(
-        *group, (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")).alias(out))
-
-
-def _located(values: DataFrame, wanted: DataFrame, group: list[str], by: list[str]) -> DataFrame:
-    """The bins that hold the positions around ``_pos``, and ``_before``, the rows before each.
-
-    ``_base`` counts the rows before the group. One row per bin is ordered, no values.
+    keys = group or ["_all"]
+    left = materialise(rows.where(F.col(value).isNotNull()).select(
+        *(group or [F.lit(1).alias("_all")]), F.col(value).alias("_v")))
+    # Values beyond the whole numbers share the outermost bins; NaN belongs to the last.
+    last = F.lit((1 << 63) - 1)
+    counted = _bins(left.withColumn("_bin", F.when(F.isnan("_v"), last).otherwise(
+        F.floor(F.col("_v").cast("double") / bin_width))), keys)
+    places = (F.sum("_n").over(Window.partitionBy(*keys)) - 1) * F.lit(float(fraction))
+    found = materialise(_located(counted.select(
+        "*", places.alias("_pos"), F.lit(0).cast("bigint").alias("_base"),
+        F.lit(None).cast(left.schema["_v"].dataType).alias("_beyond")), keys))
+    while not (wide := found.where("_low < _high")).isEmpty():
+        target = wide.withColumnsRenamed({"_low": "_from", "_high": "_to"}).drop("_n")
+        inside = left.join(broadcast_if_small(target), keys).where("_v between _from and _to")
+        # What the next pass reads: one bin of each group that is still open.
+        left = materialise(inside.select(*keys, "_v"))
+        finer = _bins(
+            left.join(broadcast_if_small(target), keys).withColumn("_bin", _part()), keys,
+            "_pos", "_base", "_beyond")
+        found = materialise(found.where("not _low < _high").unionByName(_located(finer, keys)))
+    high = F.when(F.col("_base") + F.col("_n") > F.ceil("_pos"), F.col("_low")).otherwise(F.col("_beyond"))
+    share = F.col("_pos") - F.floor("_pos")
+    # Without a share there is nothing to add, even to an infinite value.
+    return found.select(*group, F.when(share > 0, F.col("_low") + (high - F.col("_low")) * share).otherwise(
+        F.col("_low").cast("double")).alias(out))
+
+
+def _bins(values: DataFrame, keys: list[str], *carried: str) -> DataFrame:
+    """Rows, smallest and largest value of each bin; ``carried`` are equal within a group."""
+    return values.groupBy(*keys, "_bin").agg(
+        F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"),
+        *[F.first(name).alias(name) for name in carried])
+
+
+def _part() -> Column:
+    """The bin of ``_v`` in ``PARTS`` equal ones from ``_from`` to ``_to``.
+
+    Both ends have a bin of their own, so every pass leaves fewer values, however they are spread.
     """
-    per_bin = values.groupBy(*group, *by).agg(F.sum("_n").alias("_bn"))
-    running = Window.partitionBy(*group).orderBy(*by).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    summed = per_bin.withColumn("_upto", F.sum("_bn").over(running))
-    joined = summed.join(wanted, group) if group else summed.join(
-        wanted.withColumn("_all", F.lit(1)), F.col("_all") == F.lit(1)).drop("_all")
+    v, low, high = (F.col(name).cast("double") for name in ("_v", "_from", "_to"))
+    endless = F.lit(float("inf"))
+    # Halves where the range itself is too large for a double; none where an end is infinite or NaN.
+    within = (
+        F.when(high - low < endless, (v - low) / F.nullif(high - low, F.lit(0.0)))
+        .when((low > -endless) & (high < endless), (v / 2 - low / 2) / (high / 2 - low / 2)))
+    middle = F.coalesce(F.least(F.floor(within * PARTS), F.lit(PARTS - 1)), F.lit(0)) + 1
     return (
-        joined.withColumns({
-            "_upto": F.col("_upto") + F.col("_base"),
-            "_before": F.col("_upto") + F.col("_base") - F.col("_bn")})
-        .where((F.col("_upto") > F.floor("_pos")) & (F.col("_before") <= F.ceil("_pos")))
-        .select(*group, *by, "_before", "_pos"))
+        F.when(F.col("_v") == F.col("_from"), 0).when(F.col("_v") == F.col("_to"), PARTS + 1)
+        .otherwise(middle).cast("bigint"))
+
+
+def _located(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group the bin that holds the place below ``_pos``, with ``_base`` the rows before it
+    and ``_beyond`` the smallest value behind it. One row per bin is ordered, no values.
+    """
+    in_order = Window.partitionBy(*keys).orderBy("_bin")
+    upto = F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (
+        counted.select(
+            *keys, "_n", "_low", "_high", "_pos", (F.col("_base") + upto).alias("_upto"),
+            F.coalesce(F.lead("_low").over(in_order), F.col("_beyond")).alias("_beyond"))
+        .withColumn("_base", F.col("_upto") - F.col("_n"))
+        .where((F.col("_upto") > F.floor("_pos")) & (F.col("_base") <= F.floor("_pos")))
+        .drop("_upto"))
