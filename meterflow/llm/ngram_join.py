@@ -9,7 +9,8 @@ Sets are light up to a size bound and heavy beyond it.
 * **Heavy.** Every set that can link to a heavy one is in the inverted lists of its first shingles
   in a common order, rarest first; two that link share one there, at places that leave room
   for the needed overlap. A list is scanned against its member with the earliest place, then members
-  that are still in different groups against each other; the overlap is computed on whole sets.
+  that are still in different groups against each other; pairs whose parity bits leave room for the overlap
+  are computed on whole sets.
 
 The bound is chosen by cost: per size the subsets to enumerate against the list entries to scan, both counted.
 Equal sets are one class throughout.
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from meterflow.llm.buckets import grouped
 from meterflow.llm.shared import map_texts, parts, staged, text_bytes, with_key
 from meterflow.llm.word_hash import mixed, shingle_sets
-from meterflow.llm.word_sets import may_overlap, similar_pairs
+from meterflow.llm.word_sets import may_overlap, may_share, parities, similar_pairs
 
 PERCENT = 90
 # Sets up to this size may be light: beyond it the subsets of one set run into the tens of thousands.
@@ -104,22 +105,22 @@ def frequencies(docs: DataFrame, shingle: int) -> np.ndarray:
 
 def _marked(keyed: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Per document its set's size ``n``, digest ``node`` (null without words), first shingles
-    ``keys`` in the common order, and the ``whole`` set if it may be light."""
+    ``keys`` in the common order, its ``odd`` cells and the ``whole`` set if it may be light."""
     order = frequencies(keyed, shingle)
 
     def of_batch(texts: list[bytes]):
         for own in shingle_sets(texts, shingle):
             if not len(own):
-                yield 0, None, None, None
+                yield 0, None, None, None, None
                 continue
             level = order[own & np.uint64(CELLS - 1)]
             first = own[np.argsort(level, kind="stable")[: spare(len(own), percent) + 1]]
             yield (len(own), xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63), first.view(np.int64),
-                   own.view(np.int64) if len(own) <= MOST_LIGHT else None)
+                   parities(own), own.view(np.int64) if len(own) <= MOST_LIGHT else None)
 
     return staged(map_texts(
         keyed, ["doc_id", "_doc", "_digest"],
-        "n long, node long, keys array<bigint>, whole array<bigint>", of_batch), "sets")
+        "n long, node long, keys array<bigint>, odd array<bigint>, whole array<bigint>", of_batch), "sets")
 
 
 def _light_bound(classes: DataFrame, lists: DataFrame, percent: int) -> int:
@@ -196,7 +197,13 @@ def _heavy_groups(
             (100 + percent) * F.least(rest(a), rest(b)) >= percent * (n + m))
 
     def alike(pairs: DataFrame) -> DataFrame:
-        return similar_pairs(pairs, classes, keyed, shingle, percent)
+        # A bit or two per element turn most other pairs away before any text is read again.
+        close = pairs
+        for side, n, odd in (("u", "_n", "_a"), ("v", "_m", "_b")):
+            close = close.join(classes.select(
+                F.col("node").alias(side), F.col("n").alias(n), F.col("odd").alias(odd)), side)
+        close = staged(close.where(may_share(*map(F.col, ("_a", "_b", "_n", "_m")), percent)).select("u", "v"), "close")
+        return similar_pairs(close, classes, keyed, shingle, percent)
 
     return grouped(members, may, alike, light_links, lists, lambda sign: size(sign) - rest(sign))
 
@@ -214,7 +221,8 @@ def components(docs: DataFrame, shingle: int = 3, percent: int = PERCENT) -> Dat
     marked = _marked(keyed, shingle, percent)
     classes = staged(marked.where("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.min(F.struct("_doc", "_digest")).alias("first"),
-        F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("whole").alias("whole")), "classes")
+        F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("odd").alias("odd"),
+        F.first("whole").alias("whole")), "classes")
     lists = staged(classes.select(F.explode("keys").alias("key")).groupBy("key").agg(
         F.count("*").alias("n")).where("n > 1"), "lists")
     bound = _light_bound(classes, lists, percent)

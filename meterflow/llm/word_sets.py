@@ -15,6 +15,34 @@ def may_overlap(n: Column, m: Column, percent: int) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
+def parities(own: np.ndarray) -> np.ndarray:
+    """For each of at least as many cells as there are elements, whether it holds an odd number of them.
+
+    One bit a cell, cells are the low bits of the hashes and a power of two: parities of half as many cells are
+    those of both halves xored.
+    """
+    cells = 1 << max(6, int(len(own) - 1).bit_length())
+    odd = np.bincount((own & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def may_share(a: Column, b: Column, n: Column, m: Column, percent: int) -> Column:
+    """Whether sets with parities ``a`` and ``b`` and sizes ``n`` and ``m`` can share ``percent`` of their union.
+
+    An element that is in one of two sets alone changes one cell, so the cells that differ are never more than such
+    elements: no pair that shares enough is turned away. Sizes are within a factor of two.
+    """
+    def folded(long: Column, short: Column) -> Column:
+        half = F.size(short)
+        return F.when(F.size(long) > half, F.zip_with(
+            F.slice(long, F.lit(1), half), F.slice(long, half + 1, half), lambda x, y: x.bitwiseXOR(y))).otherwise(long)
+
+    differing = F.aggregate(
+        F.zip_with(folded(a, b), folded(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("bigint")),
+        F.lit(0).cast("bigint"), lambda total, bits: total + bits)
+    return (100 + percent) * differing <= (100 - percent) * (n + m)
+
+
 def similar_pairs(
     pairs: DataFrame, classes: DataFrame, keyed: DataFrame, shingle: int, percent: int,
 ) -> DataFrame:
