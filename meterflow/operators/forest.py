@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from meterflow.functions import path_normaliser
-from meterflow.operators.skew import exact_percentile, global_rank, materialise, with_positions
+from meterflow.operators.skew import exact_percentile, global_rank, materialise
 from meterflow.schemas import MODEL, TREE
 
 ALL_FEATURES = [
@@ -26,6 +26,9 @@ ALL_FEATURES = [
 ROW_KEY = ["msn", "window_start"]
 N_TREES, CONTAMINATION, SEED, MAX_SAMPLES = 200, 0.10, 42, 256
 LEAF = -2
+# Draws are located in so many leading bits of a hash, then in so many more at a time, until a
+# drawn cell has at most so many rows.
+CELL_BITS, FINER_BITS, CELL_ROWS = 16, 4, 4096
 
 
 @dataclass
@@ -111,27 +114,89 @@ def _complete(rows: DataFrame, features: list[str]) -> DataFrame:
 
 def draw_samples(
     rows: DataFrame, features: list[str], n_trees: int, max_samples: int, seed: int = SEED,
+    cell_rows: int = CELL_ROWS,
 ) -> tuple[DataFrame, int]:
     """``tree_index`` and ``slot`` with the features: each tree's own draw from all complete rows.
 
     Rows are numbered in the order of a hash of their key, so a draw depends on the data and the
-    seed but not on the layout; the drawn numbers are joined to them. Also the sample size.
+    seed but not on the layout. No row is sorted to be numbered: rows are counted by the leading
+    bits of the hash, the counts tell in which cell a drawn number lies and how far in, and only
+    drawn cells are read again, in finer ones, until none holds more than ``cell_rows``. Equal rows
+    are one row with a count. Also the sample size.
     """
-    complete = _complete(rows, features).select(*ROW_KEY, *features)
-    hashed = F.xxhash64(F.lit(seed), *ROW_KEY)
-    numbered = with_positions(
-        materialise(complete.repartitionByRange(hashed, *ROW_KEY).sortWithinPartitions(
-            hashed, *ROW_KEY)), "slot")
-    available = numbered.count()
+    spark = rows.sparkSession
+    left = materialise(_complete(rows, features).select(
+        *ROW_KEY, *features, F.xxhash64(F.lit(seed), *ROW_KEY).alias("_hash")))
+    bits = CELL_BITS
+    counted = _cell_counts(left, bits)
+    available = int(counted["n"].sum())
     size = min(max_samples, available)
     rng = np.random.default_rng(seed)
+    # n_trees x max_samples numbers: bounded by the two parameters, as are the drawn cells.
     draws = pd.DataFrame({
         "tree_index": np.repeat(np.arange(n_trees), size),
         "slot": np.concatenate([_distinct_draw(rng, available, size) for _ in range(n_trees)]),
-    })
-    # n_trees x max_samples pairs of integers: bounded by the two parameters.
-    drawn = F.broadcast(rows.sparkSession.createDataFrame(draws, "tree_index int, slot bigint"))
-    return numbered.join(drawn, "slot"), size
+    }).astype("int64")
+    largest = _locate(draws, counted)
+    while largest > cell_rows and bits < 64:
+        left = materialise(_in_cells(left, draws, bits).drop("_cell"))
+        finer = min(64, bits + FINER_BITS)
+        largest = _locate(draws, _cell_counts(left, finer), finer - bits)
+        bits = finer
+    same = _in_cells(left, draws, bits).groupBy("_cell", "_hash", *ROW_KEY, *features).agg(
+        F.count("*").alias("_n"))
+    upto = F.sum("_n").over(
+        Window.partitionBy("_cell").orderBy("_hash", *ROW_KEY, *features)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    drawn = F.broadcast(spark.createDataFrame(
+        draws, "tree_index int, slot bigint, _drawn bigint, _rank bigint"))
+    numbered = same.withColumn("_upto", upto)
+    within = (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n"))
+    return numbered.join(drawn, (F.col("_cell") == F.col("_drawn")) & within).select(
+        "tree_index", "slot", *ROW_KEY, *features), size
+
+
+def _cell(bits: int) -> Column:
+    """The leading bits of the hash, in the order of the hash."""
+    return F.shiftright("_hash", 64 - bits)
+
+
+def _cell_counts(rows: DataFrame, bits: int) -> pd.DataFrame:
+    """Rows per cell in the order of the cells, combined map-side.
+
+    At most 2^CELL_BITS cells at first, later 2^FINER_BITS for each drawn one.
+    """
+    counts = rows.groupBy(_cell(bits).alias("cell")).agg(F.count("*").alias("n")).toArrow()
+    return pd.DataFrame({name: counts.column(name).to_numpy() for name in ("cell", "n")}).sort_values(
+        "cell", ignore_index=True)
+
+
+def _locate(draws: pd.DataFrame, counted: pd.DataFrame, split: int | None = None) -> int:
+    """Set the cell ``_drawn`` of each draw and its place ``_rank`` there; rows of the largest such cell.
+
+    ``split`` is the number of bits by which the cells counted are finer than those set before.
+    """
+    if not len(draws):
+        draws["_drawn"] = draws["_rank"] = pd.Series(dtype="int64")
+        return 0
+    cells, upto = counted["cell"].to_numpy(), np.cumsum(counted["n"].to_numpy())
+    base = np.concatenate(([0], upto))
+    if split is None:
+        places = draws["slot"].to_numpy()
+    else:
+        # Rows counted before the first finer cell of the draw's cell.
+        first = np.searchsorted(cells, draws["_drawn"].to_numpy() << split)
+        places = base[first] + draws["_rank"].to_numpy()
+    at = np.searchsorted(upto, places, side="right")
+    draws["_drawn"], draws["_rank"] = cells[at], places - base[at]
+    return int(counted["n"].to_numpy()[at].max())
+
+
+def _in_cells(rows: DataFrame, draws: pd.DataFrame, bits: int) -> DataFrame:
+    """The rows of the drawn cells, with ``_cell``."""
+    cells = rows.sparkSession.createDataFrame(
+        pd.DataFrame({"_cell": np.unique(draws["_drawn"].to_numpy())}), "_cell bigint")
+    return rows.withColumn("_cell", _cell(bits)).join(F.broadcast(cells), "_cell")
 
 
 def _distinct_draw(rng: np.random.Generator, available: int, size: int) -> np.ndarray:

@@ -146,3 +146,27 @@ def test_exact_percentile(spark, fraction):
            exact_percentile(rows, ["g"], "v", fraction, bin_width=0.5).collect()}
     want = np.percentile([v for g, v in values if g == "g"], fraction * 100)
     assert abs(got["g"] - want) < 1e-9 and got["h"] == 1.5
+
+
+@pytest.mark.parametrize("cell_rows", [4096, 1])
+def test_draws_are_ranks_by_hash(spark, windows, monkeypatch, cell_rows):
+    """The same rows as numbering all of them by hash and key; repeated rows each have a number."""
+    monkeypatch.setattr(forest, "CELL_BITS", 3)
+    rows = windows.union(windows.limit(40)).union(windows.limit(40))
+    samples, size = forest.draw_samples(rows, FEATURES[:3], 30, 64, cell_rows=cell_rows)
+    names = [*forest.ROW_KEY, *FEATURES[:3]]
+    ordered = sorted(
+        rows.na.drop(subset=FEATURES[:3]).select(F.xxhash64(F.lit(forest.SEED), *forest.ROW_KEY), *names).collect())
+    got = samples.collect()
+    assert size == 64 and len(got) == 30 * 64
+    assert len({(r.tree_index, r.slot) for r in got}) == len(got)
+    assert all(tuple(r[name] for name in names) == tuple(ordered[r.slot])[1:] for r in got)
+
+
+def test_draws_shuffle_no_whole_rows(spark, windows):
+    """Rows reach an exchange only after the join with the drawn cells; nothing is range sorted."""
+    samples, _ = forest.draw_samples(windows, FEATURES[:3], 2, 16)
+    plan = samples._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan
+    # Read from the bottom: rows, the join with the drawn cells, only then the aggregate that shuffles.
+    assert plan.index("Aggregate") < plan.index("Join Inner", plan.index("Aggregate"))
