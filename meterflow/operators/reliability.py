@@ -98,3 +98,57 @@ def network_rollup(log: DataFrame) -> DataFrame:
              _total_ms().alias("_ms"))
         .withColumns(_total_and_mean("outages"))
         .withColumn("depth", 3 - F.bit_count("_grouping")).drop("_grouping", "_ms"))
+
+
+# ---- the same aggregates in parts that add up ------------------------------------------------
+
+def level_counts(log: DataFrame) -> DataFrame:
+    """Per level and name what the reports are made of; parts of a log add up by ``merged_counts``."""
+    status = F.col("incident_status")
+    closed = status == "CLOSED"
+    return _per_level(log).groupBy("level", "name").agg(
+        F.count_if(status == "OPEN").alias("opened"),
+        F.count_if(status == "UNRESOLVED").alias("unresolved"),
+        F.count_if(closed).alias("closed"),
+        F.sum(F.when(closed, F.round(F.col("duration_minutes") * 60000).cast("bigint"))).alias("ms"),
+        F.max(F.when(closed, F.col("duration_minutes"))).alias("max_minutes"))
+
+
+def merged_counts(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("level", "name").agg(
+        *[F.sum(name).alias(name) for name in ("opened", "unresolved", "closed", "ms")],
+        F.max("max_minutes").alias("max_minutes"))
+
+
+def reports_of(counts: DataFrame) -> DataFrame:
+    """Frequency, restoration and duration of merged counts; the median needs the log itself."""
+    total = F.col("ms") / F.lit(60000.0)
+    return counts.select(
+        "level", "name", "opened", "unresolved", "closed",
+        (F.col("closed") / F.nullif(F.col("opened"), F.lit(0))).alias("share_closed"),
+        total.alias("total_minutes"), (total / F.nullif(F.col("closed"), F.lit(0))).alias("mean_minutes"),
+        "max_minutes")
+
+
+_NETWORK = ["substation_name", "feeder_name", "dtr_name"]
+
+
+def network_counts(log: DataFrame) -> DataFrame:
+    """Closed outages and their time per transformer; parts add up by ``merged_network``."""
+    return log.where(F.col("incident_status") == "CLOSED").groupBy(*_NETWORK).agg(
+        F.count("*").alias("outages"), _total_ms().alias("ms"))
+
+
+def merged_network(parts: DataFrame) -> DataFrame:
+    return parts.groupBy(*_NETWORK).agg(F.sum("outages").alias("outages"), F.sum("ms").alias("ms"))
+
+
+def rollup_of(counts: DataFrame) -> DataFrame:
+    """``network_rollup`` of merged counts."""
+    total = F.col("ms") / F.lit(60000.0)
+    return (
+        counts.rollup(*_NETWORK)
+        .agg(F.grouping_id().alias("_grouping"), F.sum("outages").alias("outages"), F.sum("ms").alias("ms"))
+        .select(*_NETWORK, "outages", total.alias("total_minutes"),
+                (total / F.col("outages")).alias("mean_minutes"),
+                (3 - F.bit_count("_grouping")).alias("depth")))

@@ -447,6 +447,9 @@ ORACLES |= {
     "stream_service_outages": ORACLES["outage_service_variant"],
     "stream_unresolved": _JOB_LOG + f"""
 select {_LOG_COLUMNS} from log where incident_status = 'UNRESOLVED'""",
+    "stream_reliability": ORACLES["reliability_rollup"],
+    "stream_restoration": ORACLES["restoration_activity"],
+    "stream_current_status": ORACLES["incident_latest"],
     "stream_topology": ORACLES["topology_top3"],
     "stored_features": ORACLES["meter_features_15m"],
 }

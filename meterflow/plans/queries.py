@@ -532,6 +532,34 @@ def stream_unresolved(spark, sf_dir):
     return rows.drop("received_at")
 
 
+def _stream_summary(spark, sf_dir, name):
+    """A reliability summary kept by the drained stream over several files."""
+    root = scratch_path(spark, name)
+    target = jobs.Target(f"{root}/tables", f"{root}/checkpoints", available_now=True)
+    # Two parts a level, so that a few batches reach several levels.
+    jobs.start_reliability(
+        batch.derived_enriched_stream(spark, sf_dir, STREAM_FILES), target, fan=2).awaitTermination()
+    jobs.finish_reliability(spark, target)
+    return jobs.reliability_summary(spark, target, name, fan=2)
+
+
+def stream_reliability(spark, sf_dir):
+    """Closed outages rolled up over the network, from the stream's counts."""
+    return reliability.rollup_of(_stream_summary(spark, sf_dir, "network"))
+
+
+def stream_restoration(spark, sf_dir):
+    """Counts and shares per level, from the stream's counts."""
+    reports = reliability.reports_of(_stream_summary(spark, sf_dir, "levels"))
+    return rounded(reports.select("level", "name", "opened", "unresolved", "closed", "share_closed"),
+                   "share_closed")
+
+
+def stream_current_status(spark, sf_dir):
+    """Last status of each incident, from the stream's status parts."""
+    return rounded(_stream_summary(spark, sf_dir, "status"), "duration_minutes")
+
+
 def stream_service_outages(spark, sf_dir):
     rows = _drained(spark, sf_dir, jobs.start_service_outages, "outage_incident_events",
                     "service_outages", STREAM_FILES)
@@ -569,6 +597,6 @@ QUERIES: dict[str, Query] = {
         anomaly_results, anomaly_rank, anomaly_top10, lowest_decisions, anomaly_count,
         feature_profile, score_quantile, scorer_parity, scorer_parity_trained, iforest_train_summary,
         stream_enriched, stream_quarantine, stream_processed_events, stream_meter_features, stream_anomalies, stream_outages,
-        stream_unresolved, stream_service_outages, stream_topology, stored_features,
+        stream_unresolved, stream_reliability, stream_restoration, stream_current_status, stream_service_outages, stream_topology, stored_features,
     )
 }

@@ -16,9 +16,10 @@ from meterflow.operators.parse import quarantine
 from meterflow.operators.project import processed_events
 from meterflow.schemas import RESULT_TABLES
 from meterflow.sinks.kafka import start_kafka
-from meterflow.sinks.tables import start_batches, start_table, write_batch
+from meterflow.sinks.tables import read_table, start_batches, start_table, write_batch
 from meterflow.sources.messages import MAX_FILES
 from meterflow.streaming.outage_state import finish, outage_stream, service_stream
+from meterflow.streaming.reliability_state import FAN, ReliabilityTables
 from meterflow.streaming.topology_state import TopologyBatches
 
 
@@ -154,6 +155,47 @@ def finish_outages(
     _write_owed(finish(spark, f"{target.checkpoint}/{output}"), target, output)
 
 
+def _reliability(target: Target, output: str, fan: int = FAN) -> ReliabilityTables:
+    return ReliabilityTables(f"{target.root}/{output}_reliability", fan)
+
+
+def start_reliability(
+    enriched: DataFrame, target: Target, output: str = "outage_incident_events", fan: int = FAN,
+) -> StreamingQuery:
+    """``start_outages`` that also keeps the reliability summaries, in the same micro-batch."""
+    spark, tables = enriched.sparkSession, _reliability(target, output, fan)
+    _write_owed(spark.createDataFrame([], RESULT_TABLES["outage_incident_events"][0]), target, output)
+    tables.prepare(spark)
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.persist()
+        try:
+            write_batch(rows, "outage_incident_events", target.root, batch_id, output)
+            tables.update(rows, batch_id)
+        finally:
+            rows.unpersist()
+
+    return start_batches(
+        outage_stream(enriched), write, output, target.checkpoint, target.available_now)
+
+
+def finish_reliability(
+    spark: SparkSession, target: Target, output: str = "outage_incident_events",
+) -> None:
+    """``finish_outages`` and its part of the summaries; the next run takes both back."""
+    finish_outages(spark, target, output)
+    _reliability(target, output).owe(
+        read_table(spark, "outage_incident_events", f"{target.root}/{output}", f"batch_id={OWED}"))
+
+
+def reliability_summary(
+    spark: SparkSession, target: Target, name: str, output: str = "outage_incident_events",
+    fan: int = FAN,
+) -> DataFrame:
+    """``levels``, ``network`` or ``status`` as of the last micro-batch, with the ``fan`` it was started with."""
+    return _reliability(target, output, fan).read(spark, name)
+
+
 def start_service_outages(enriched: DataFrame, target: Target) -> StreamingQuery:
     """Incident records of the service variant."""
     return start_table(
