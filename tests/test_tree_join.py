@@ -37,3 +37,19 @@ def test_parity_interprets_no_tree_per_row(spark):
     report = queries._parity(rows, model(), forest.score_rows(rows, model()))
     assert "lambda" not in report._jdf.queryExecution().optimizedPlan().toString()
     assert report.first()["verdict"] == "STRICT"
+
+
+def test_equal_rows_meet_the_trees_once(spark):
+    """Repeated feature rows were walked through every tree again."""
+    rows = spark.range(3000).selectExpr(
+        "cast(id as string) msn", "cast(0 as timestamp) window_start",
+        "case id % 4 when 3 then null when 2 then double('nan') else -0.0d end a", "id % 7 + 0.3d b", "id % 5 - 0.7d c")
+    known = forest.decisions_by_trees(rows, model())
+    order = [*forest.ROW_KEY, "decision"]
+    want = rows.where("a is not null and not isnan(a)").select(
+        *forest.ROW_KEY, forest.decision_sql(model()).alias("decision")).orderBy(*order).collect()
+    got = {r.msn: r.decision for r in known.collect()}
+    assert len(got) == 3000 and all(got[str(n)] is None for n in range(3, 3000, 4))
+    assert all(abs(got[r.msn] - r.decision) < 1e-14 for r in want) and len(want) == 1500
+    plan = known._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [_value0" in plan[plan.index("Join Cross"):]
