@@ -25,6 +25,7 @@ def grouped(
     members: DataFrame, may: Callable[[Column, Column], Column],
     alike: Callable[[DataFrame], DataFrame], known: DataFrame | None = None,
     buckets: DataFrame | None = None, place: Callable[[Column], Column] | None = None,
+    paired: DataFrame | None = None,
 ) -> DataFrame:
     """``node`` and ``root`` of all nodes with a link.
 
@@ -32,19 +33,22 @@ def grouped(
     signs whether two nodes can be alike at all; ``alike`` keeps of the pairs ``u`` < ``v`` those that are.
     ``known`` are links found otherwise. ``buckets`` are the keys with more than one member and their number
     ``n``, if counted before. The member of a crowded bucket whose sign has the smallest ``place`` is the one the others
-    are compared with first.
+    are compared with first. Where ``paired`` gives the pairs of small buckets, found otherwise, ``members`` are those of
+    crowded ones alone.
 
     All members are shuffled by key, at every size alike, so they should be narrow: a sign is best a number.
     """
-    if buckets is None:
-        buckets = staged(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-    shared = staged(members.join(buckets, "key"), "shared")
-    small = shared.where(F.col("n") <= PAIRED_BUCKET)
-    left = small.select("key", F.col("node").alias("u"), F.col("sign").alias("a"))
-    right = small.select("key", F.col("node").alias("v"), F.col("sign").alias("b"))
-    pairs = left.join(right, "key").where(
-        (F.col("u") < F.col("v")) & may(F.col("a"), F.col("b"))).select("u", "v")
-    large = shared.where(F.col("n") > PAIRED_BUCKET)
+    pairs, large = paired, members
+    if paired is None:
+        if buckets is None:
+            buckets = staged(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+        shared = staged(members.join(buckets, "key"), "shared")
+        small = shared.where(F.col("n") <= PAIRED_BUCKET)
+        left = small.select("key", F.col("node").alias("u"), F.col("sign").alias("a"))
+        right = small.select("key", F.col("node").alias("v"), F.col("sign").alias("b"))
+        pairs = left.join(right, "key").where(
+            (F.col("u") < F.col("v")) & may(F.col("a"), F.col("b"))).select("u", "v")
+        large = shared.where(F.col("n") > PAIRED_BUCKET)
     first = F.lit(0) if place is None else place(F.col("sign"))
     centres = staged(large.groupBy("key").agg(
         F.min(F.struct(first.alias("place"), "node", "sign")).alias("centre")), "centres")

@@ -5,8 +5,9 @@ lines within the bound share a known number of their runs, and hence at least on
 in any fixed order (a prefix). Classes that share such a run are compared by edit similarity in words,
 similar ones are linked, and connected groups keep their earliest line. No similar pair is missed.
 
-Only the kept lines go back to their documents, one row per group. A line that a third of all
-documents share is one buffer per task of an aggregate and is never joined.
+Keys are most of what is made, and most belong to one line alone. They travel packed, in slices that a
+task can sort, with the lines that they come from; only the pairs and crowded keys found there become rows.
+Only the lines that go return to their documents.
 """
 
 from __future__ import annotations
@@ -20,11 +21,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from meterflow.llm.buckets import grouped
+from meterflow.llm.buckets import PAIRED_BUCKET, grouped
 from meterflow.llm.edit import similar
-from meterflow.llm.shared import explode_texts, named, staged, text_bytes, with_key
+from meterflow.llm.shared import explode_texts, named, parts, staged, text_bytes, with_key
 from meterflow.llm.word_hash import K2 as MIX1, K3 as MIX2, grouped_words
-from meterflow.operators.skew import broadcast_if_small
+from meterflow.operators.skew import broadcast_if_small, fits_broadcast
 
 MIN_WORDS = 5
 SIMILARITY = 0.8
@@ -34,6 +35,13 @@ RUNS = (3, 2, 1)
 # the order; any order gives the same result.
 SAMPLED, RANK_BITS, RANKED = 64, 20, 4
 SIGN_BITS = 256
+LONGS = [f"s{n}" for n in range(SIGN_BITS // 64)]
+# Text whose keys share a slice, and the bytes of a key that tell it from the others there.
+SLICE_BYTES, KEY_BYTES = 32 << 20, 5
+# Keys of so common a rank (a million or more, by the sample) are not packed; their lines are spread instead.
+HOT_RANK, HOT_SLICES = 15, 1024
+# Lists of lines per document are narrow, so that more rows may be broadcast than of others.
+LISTS = 1_000_000
 # Letters in one case, digits alike, ASCII punctuation as blanks; other bytes stay.
 NORMAL = bytes(
     c + 32 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c if 97 <= c <= 122 or c > 127 else 32
@@ -86,18 +94,19 @@ def _in_parts(lines: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         yield begin, hashes, np.diff(begins)
 
 
-def keys_and_signs(
+def line_keys(
     lines: list[bytes], least: float, rank: np.ndarray,
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of all lines behind each other, their number per line, and the lines' signs.
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of all lines behind each other, their number per line, the words of each line and the lines' signs.
 
     A sign has one bit per word hash: an edit changes at most two bits. Lines too short to be like
     any other have no key.
     """
-    keys, counts = [np.empty(0, np.uint64)], np.zeros(len(lines), np.int64)
+    keys, counts, sizes = [np.empty(0, np.uint64)], np.zeros(len(lines), np.int64), np.zeros(len(lines), np.int32)
     signs = np.zeros((len(lines), SIGN_BITS // 8), np.uint8)
     for begin, words, lengths in _in_parts(lines):
         size = len(lengths)
+        sizes[begin:begin + size] = lengths
         owner = np.repeat(np.arange(size), lengths)
         bits = np.zeros((size, SIGN_BITS), np.uint8)
         bits[owner, (words % np.uint64(SIGN_BITS)).astype(np.int64)] = 1
@@ -124,7 +133,7 @@ def keys_and_signs(
             owner = np.concatenate(owners)
             keys.append(np.concatenate(made)[np.argsort(owner, kind="stable")])
             counts[begin:begin + size] = np.bincount(owner, minlength=size)
-    return np.concatenate(keys), counts, signs
+    return np.concatenate(keys), counts, sizes, signs
 
 
 def ranks(keyed: DataFrame) -> np.ndarray:
@@ -151,8 +160,12 @@ def ranks(keyed: DataFrame) -> np.ndarray:
     return rank
 
 
-def _lines_of_batch(texts: list[bytes], least: float, rank: np.ndarray) -> tuple:
-    """Per comparable line: its text's place, hash, keys, sign and number in the text."""
+def _line_hashes(lines: list[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(line) for line in lines], np.uint64).view(np.int64)
+
+
+def _lines_of_batch(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per comparable line: its text's place, hash and number in the text."""
     owners, numbers, lines = [], [], []
     for place, data in enumerate(texts):
         for number, line in enumerate(data.split(b"\n")):
@@ -160,34 +173,141 @@ def _lines_of_batch(texts: list[bytes], least: float, rank: np.ndarray) -> tuple
                 owners.append(place)
                 numbers.append(number)
                 lines.append(normal)
-    hashes = np.array([xxhash.xxh3_64_intdigest(line) for line in lines], np.uint64).view(np.int64)
-    # Lines that come again in the batch are the same class and need their keys once.
-    _, firsts, same = np.unique(hashes, return_index=True, return_inverse=True)
-    keys, counts, signs = keys_and_signs([lines[n] for n in firsts], least, rank)
-    ends = np.concatenate(([0], np.cumsum(counts)))
-    at = pa.array(same, pa.int64())
-    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.view(np.int64))).take(at)
-    longs = signs.view("<i8").reshape(len(firsts), SIGN_BITS // 64)
-    lengths = np.array([len(lines[n].split()) for n in firsts], np.int32)
-    sign = pa.StructArray.from_arrays(
-        [pa.array(lengths, pa.int32()), *[pa.array(np.ascontiguousarray(longs[:, n])) for n in range(SIGN_BITS // 64)]],
-        ["n", *[f"s{n}" for n in range(SIGN_BITS // 64)]]).take(at)
-    return np.array(owners, np.int64), hashes, lists, sign, np.array(numbers, np.int32)
+    return np.array(owners, np.int64), _line_hashes(lines), np.array(numbers, np.int32)
+
+
+def _with_list(keyed: DataFrame, listed: DataFrame, how: str) -> DataFrame:
+    """The texts of documents with the ``_list`` of their lines."""
+    if fits_broadcast(listed, LISTS):
+        listed = F.broadcast(listed)
+    return keyed.select("_doc", "_digest", text_bytes().alias("_text")).join(listed, ["_doc", "_digest"], how)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Small numbers as four runs of bytes, mostly zero."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+
+
+def _packed(keyed: DataFrame, again: DataFrame, least: float, rank: np.ndarray, slices: int) -> DataFrame:
+    """Keys of the first line of each class by ``slice``: its lines' hashes and words, the keys of each and their number.
+
+    Slices from ``slices`` on hold lines with common keys, those below zero the signs of the lines with any.
+    """
+
+    def packs(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lines = {}
+        for data, left_out in zip(batch.column("_text").to_pylist(), batch.column("_list").to_pylist()):
+            left_out = set(left_out or ())
+            for number, line in enumerate(data.split(b"\n")):
+                if number not in left_out and (normal := normalised(line)):
+                    lines[normal] = None
+        lines = list(lines)
+        hashes = _line_hashes(lines)
+        keys, counts, sizes, signs = line_keys(lines, least, rank)
+        owner = np.repeat(np.arange(len(lines)), counts)
+        of = ((keys >> np.uint64(8 * KEY_BYTES)) % np.uint64(slices)).astype(np.int64)
+        hot = rank[keys >> np.uint64(64 - RANK_BITS)] >= HOT_RANK
+        of[hot] = slices + hashes[owner[hot]] % HOT_SLICES
+        order = np.argsort(of, kind="stable")
+        of, owner = of[order], owner[order]
+        data = keys[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+        begins = np.concatenate((np.flatnonzero(np.diff(of, prepend=-1)), [len(of)])).tolist()
+        rows, signed = [], np.flatnonzero(counts)
+        if len(signed):
+            rows.append((-1 - int(hashes[signed[0]] % HOT_SLICES), hashes[signed].tobytes(), _planes(sizes[signed]), b"",
+                         signs[signed].tobytes()))
+        for a, b in zip(begins[:-1], begins[1:]):
+            here, held = np.unique(owner[a:b], return_counts=True)
+            rows.append((int(of[a]), hashes[here].tobytes(), _planes(sizes[here]), _planes(held), data[a:b].tobytes()))
+        columns = list(zip(*rows)) if rows else [[]] * 5
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
+            ["slice", "nodes", "sizes", "held", "keys"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in parts(batch):
+                yield packs(part)
+
+    return _with_list(keyed, again, "left").select("_text", "_list").mapInArrow(
+        run, "slice int, nodes binary, sizes binary, held binary, keys binary")
+
+
+def _met(packed: DataFrame, least: float, slices: int) -> DataFrame:
+    """Pairs ``u``, ``v`` of lines that share a key and may be alike; members ``u`` of crowded keys, with ``key`` and ``n``
+    words; lines ``u`` with ``n`` words and their sign."""
+
+    def meet(rows: pa.Table) -> pa.Table:
+        column = lambda name: rows.column(name).to_pylist()
+        node = np.concatenate([np.frombuffer(data, np.int64) for data in column("nodes")])
+        size = np.concatenate([_from_planes(data) for data in column("sizes")]).astype(np.int32)
+        spread = rows.column("slice")[0].as_py()
+        if spread < 0:
+            longs = np.frombuffer(b"".join(column("keys")), "<i8").reshape(len(node), -1)
+            return _met_rows([], [], node, None, size, longs)
+        held = np.concatenate([_from_planes(data) for data in column("held")])
+        node, size = np.repeat(node, held), np.repeat(size, held)
+        wide = np.zeros((len(node), 8), np.uint8)
+        wide[:, :KEY_BYTES] = np.frombuffer(b"".join(column("keys")), np.uint8).reshape(-1, KEY_BYTES)
+        key = wide.view("<i8").ravel()
+        if spread >= slices:
+            # Below zero, apart from the keys of any slice.
+            return _met_rows([], [], node, -1 - key, size)
+        order = np.argsort(key)
+        key = key[order]
+        begins = np.flatnonzero(np.diff(key, prepend=-1))
+        count = np.diff(np.concatenate((begins, [len(key)])))
+        number = np.repeat(count, count)
+        crowded = order[number > PAIRED_BUCKET]
+        few = (number > 1) & (number <= PAIRED_BUCKET)
+        order, key = order[few], key[few]
+        us, vs = [], []
+        for ahead in range(1, PAIRED_BUCKET):
+            same = np.flatnonzero(key[ahead:] == key[:-ahead]) if ahead < len(key) else ()
+            if not len(same):
+                break
+            a, b = order[same], order[same + ahead]
+            most = np.floor(np.maximum(size[a], size[b]) * (1 - least) + 1e-9)
+            may = (np.abs(size[a] - size[b]) <= most) & (node[a] != node[b])
+            us.append(np.minimum(node[a], node[b])[may])
+            vs.append(np.maximum(node[a], node[b])[may])
+        return _met_rows(us, vs, node[crowded], (wide.view("<i8").ravel()[crowded] | spread << 8 * KEY_BYTES), size[crowded])
+
+    return packed.groupBy("slice").applyInArrow(
+        meet, "u long, v long, key long, n int, " + ", ".join(f"{name} long" for name in LONGS))
+
+
+def _met_rows(
+    us: list, vs: list, node: np.ndarray, key: np.ndarray | None, size: np.ndarray, longs: np.ndarray | None = None,
+) -> pa.Table:
+    pairs, others = sum(map(len, us)), len(node)
+
+    def column(first: list, rest: np.ndarray | None, kind: pa.DataType) -> pa.ChunkedArray:
+        return pa.chunked_array([
+            *(map(pa.array, first) if first else [pa.nulls(pairs, kind)]),
+            pa.nulls(others, kind) if rest is None else pa.array(np.ascontiguousarray(rest), kind)], kind)
+
+    return pa.table({
+        "u": column(us, node, pa.int64()), "v": column(vs, None, pa.int64()),
+        "key": column([], key, pa.int64()), "n": column([], size, pa.int32()),
+        **{name: column([], None if longs is None else longs[:, at], pa.int64()) for at, name in enumerate(LONGS)}})
 
 
 def _candidate_texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     """The normalised text of each wanted class, read from the document that holds it first."""
     per_doc = staged(wanted.groupBy("_doc", "_digest").agg(
-        F.collect_list(F.struct("_line", "_hash")).alias("_wanted")), "wanted")
+        F.collect_list(F.struct("_line", "_hash")).alias("_list")), "wanted")
     # Repeated rows of a document would give the same lines again.
-    held = keyed.select("_doc", "_digest", text_bytes().alias("_text")).join(
-        broadcast_if_small(per_doc), ["_doc", "_digest"])
+    held = _with_list(keyed, per_doc, "inner")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for data, wanted_here in zip(
-                    batch.column("_text").to_pylist(), batch.column("_wanted").to_pylist()):
+            for data, wanted_here in zip(batch.column("_text").to_pylist(), batch.column("_list").to_pylist()):
                 lines = data.split(b"\n")
                 rows += [(w["_hash"], normalised(lines[w["_line"]]).decode("utf-8", "replace"))
                          for w in wanted_here]
@@ -196,7 +316,7 @@ def _candidate_texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
                 [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string())],
                 ["_hash", "_normal"])
 
-    return held.select("_text", "_wanted").mapInArrow(
+    return held.select("_text", "_list").mapInArrow(
         run, "_hash long, _normal string").dropDuplicates(["_hash"])
 
 
@@ -215,25 +335,22 @@ def _alike(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return beside.mapInArrow(run, "u long, v long")
 
 
-def groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The kept line of each group of comparable lines: ``_doc``, ``_digest``, ``_line``.
+def cuts(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Per document (``_doc``, ``_digest``) the ``_list`` of its lines that go: all of a group but the earliest.
 
-    Also ``size``, the number of its occurrences. Earliest is the smallest doc_id (null
-    last), then the digest of the text, then the line number.
+    Earliest is the smallest doc_id (null last), then the digest of the text, then the line number.
     """
     keyed = with_key(docs)
     place = F.struct("_doc", "_digest", "_line")
-    rank = ranks(keyed)
-    signed = ", ".join(f"s{n}: long" for n in range(SIGN_BITS // 64))
-    lines = explode_texts(
-        keyed, ["_doc", "_digest"],
-        f"_hash long, keys array<long>, sign struct<n: int, {signed}>, _line int",
-        lambda texts: _lines_of_batch(texts, least, rank))
-    classes = staged(
-        lines.groupBy("_hash").agg(
-            F.min(place).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys"),
-            F.first("sign").alias("sign")),
-        "classes")
+    seen = staged(explode_texts(keyed, ["_doc", "_digest"], "_hash long, _line int", _lines_of_batch), "seen")
+    repeated = staged(seen.groupBy("_hash").agg(
+        F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("_hash", "first"), "repeated")
+    again = staged(
+        seen.join(broadcast_if_small(repeated), "_hash").where(place != F.col("first"))
+        .groupBy("_doc", "_digest").agg(F.collect_list("_line").alias("_list")), "again")
+    size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    slices = int(size // SLICE_BYTES) + 1
+    met = staged(_met(_packed(keyed, again, least, ranks(keyed), slices), least, slices), "met")
 
     def most(n: Column, m: Column) -> Column:
         return F.floor(F.greatest(n, m) * (1 - least) + 1e-9)
@@ -242,31 +359,32 @@ def groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         return F.abs(n - m) <= most(n, m)
 
     def close(a: Column, b: Column) -> Column:
-        apart = sum((F.bit_count(a[f"s{n}"].bitwiseXOR(b[f"s{n}"])) for n in range(SIGN_BITS // 64)), F.lit(0))
+        apart = sum((F.bit_count(a[name].bitwiseXOR(b[name])) for name in LONGS), F.lit(0))
         return apart <= 2 * most(a["n"], b["n"])
 
+    # A row given twice has its lines signed twice.
+    signs = met.where("s0 IS NOT NULL").select(F.col("u").alias("_hash"), F.struct("n", *LONGS).alias("sign"))
+
     def alike(pairs: DataFrame) -> DataFrame:
-        # Classes are shuffled once; what follows sees only those that may be linked.
-        involved = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-        held = staged(classes.select(F.col("_hash").alias("node"), "first", "sign").join(
-            involved, "node"), "held")
         near = staged(
-            pairs.join(held.select(F.col("node").alias("u"), F.col("sign").alias("a")), "u")
-            .join(held.select(F.col("node").alias("v"), F.col("sign").alias("b")), "v")
-            .where(close(F.col("a"), F.col("b"))).select("u", "v"), "near")
-        fuzzy = near.select(F.col("u").alias("node")).union(
-            near.select(F.col("v").alias("node"))).distinct()
-        wanted = held.select("first", "node").join(fuzzy, "node").select(
-            "first.*", F.col("node").alias("_hash"))
+            pairs.join(signs.select(F.col("_hash").alias("u"), F.col("sign").alias("a")), "u")
+            .join(signs.select(F.col("_hash").alias("v"), F.col("sign").alias("b")), "v")
+            .where(close(F.col("a"), F.col("b"))).select("u", "v").distinct(), "near")
+        # Only lines that may be linked are read again.
+        involved = staged(near.select(F.col("u").alias("_hash")).union(
+            near.select(F.col("v").alias("_hash"))).distinct(), "involved")
+        wanted = seen.join(involved, "_hash").groupBy("_hash").agg(F.min(place).alias("first")).select("first.*", "_hash")
         return _alike(near, staged(_candidate_texts(keyed, wanted), "texts"), least)
 
-    roots = grouped(classes.select(
-        F.col("_hash").alias("node"), F.col("sign.n").alias("sign"), F.explode("keys").alias("key")), may, alike)
-    return (
-        classes.select("_hash", "first", "n").join(roots, classes["_hash"] == roots["node"], "left")
-        .groupBy(F.coalesce("root", "_hash").alias("_root"))
-        .agg(F.min("first").alias("first"), F.sum("n").alias("size"))
-        .select("first.*", "size"))
+    members = met.where("key IS NOT NULL").select(F.col("u").alias("node"), "key", F.col("n").alias("sign"))
+    roots = grouped(members, may, alike, paired=met.where("v IS NOT NULL").select("u", "v")).select(
+        F.col("node").alias("_hash"), "root")
+    grouping = staged(roots.union(
+        repeated.select("_hash", F.col("_hash").alias("root")).join(roots, "_hash", "left_anti")), "grouping")
+    held = staged(seen.join(grouping, "_hash").select("root", "_doc", "_digest", "_line"), "held")
+    kept = staged(held.groupBy("root").agg(F.min(place).alias("first")), "kept")
+    return held.join(broadcast_if_small(kept), "root").where(place != F.col("first")).groupBy(
+        "_doc", "_digest").agg(F.collect_set("_line").alias("_list"))
 
 
 def dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -278,19 +396,18 @@ def dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     are replaced. No input rows, no result rows.
     """
     kept_columns = [name for name in docs.columns if name not in ("n_lines", "n_removed")]
-    lists = groups(docs, least).groupBy("_doc", "_digest").agg(
-        F.collect_list("_line").alias("_stays"))
+    lists = staged(cuts(docs, least).withColumnRenamed("_list", "_goes"), "cuts")
+    if fits_broadcast(lists, LISTS):
+        lists = F.broadcast(lists)
     joined = with_key(docs.select(*named(kept_columns))).join(lists, ["_doc", "_digest"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts, removed = [], [], []
-            for data, stays in zip(
-                    batch.column("_text").to_pylist(), batch.column("_stays").to_pylist()):
+            for data, goes in zip(batch.column("_text").to_pylist(), batch.column("_goes").to_pylist()):
                 lines = (data or b"").split(b"\n")
-                stays = set(stays or ())
-                left = [line for number, line in enumerate(lines)
-                        if number in stays or not normalised(line)]
+                goes = set(goes or ())
+                left = [line for number, line in enumerate(lines) if number not in goes]
                 counts.append(len(lines) if data else 0)
                 removed.append(len(lines) - len(left))
                 texts.append(data if len(left) == len(lines) else b"\n".join(left))
@@ -304,6 +421,6 @@ def dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     given_as = {name: f"_kept{n}" for n, name in enumerate(kept_columns) if name != "text"}
     given = joined.select(
         *[column.alias(alias) for column, alias in zip(named(given_as), given_as.values())],
-        F.col("text").cast("binary").alias("_text"), "_stays")
+        F.col("text").cast("binary").alias("_text"), "_goes")
     schema = docs.select(*named(kept_columns)).schema.add("n_lines", "long").add("n_removed", "long")
     return given.mapInArrow(run, schema)
