@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -229,9 +230,8 @@ def _packed(keyed: DataFrame, again: DataFrame, least: float, rank: np.ndarray,
             ["slice", "nodes", "sizes", "held", "keys"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in parts(batch):
-                yield packs(part)
+        for batch in chain.from_iterable(map(parts, batches)):
+            yield packs(batch)
 
     return _with_list(keyed, again, "left").select("_text", "_list").mapInArrow(
         run, "slice int, nodes binary, sizes binary, held binary, keys binary")
@@ -259,23 +259,28 @@ def _met(packed: DataFrame, least: float, slices: int) -> DataFrame:
             return _met_rows([], [], node, -1 - key, size)
         order = np.argsort(key)
         key = key[order]
+        # Most keys are met once; the rest is worked on without them.
+        again = np.zeros(len(key), bool)
+        again[1:] = key[1:] == key[:-1]
+        again[:-1] |= again[1:]
+        order, key = order[again], key[again]
+        node, size = node[order], size[order]
         begins = np.flatnonzero(np.diff(key, prepend=-1))
         count = np.diff(np.concatenate((begins, [len(key)])))
-        number = np.repeat(count, count)
-        crowded = order[number > PAIRED_BUCKET]
-        few = (number > 1) & (number <= PAIRED_BUCKET)
-        order, key = order[few], key[few]
+        crowded = np.repeat(count > PAIRED_BUCKET, count)
+        many = node[crowded], key[crowded] | spread << 8 * KEY_BYTES, size[crowded]
+        node, key, size = node[~crowded], key[~crowded], size[~crowded]
         us, vs = [], []
         for ahead in range(1, PAIRED_BUCKET):
-            same = np.flatnonzero(key[ahead:] == key[:-ahead]) if ahead < len(key) else ()
-            if not len(same):
+            a = np.flatnonzero(key[ahead:] == key[:-ahead])
+            if not len(a):
                 break
-            a, b = order[same], order[same + ahead]
+            b = a + ahead
             most = np.floor(np.maximum(size[a], size[b]) * (1 - least) + 1e-9)
             may = (np.abs(size[a] - size[b]) <= most) & (node[a] != node[b])
             us.append(np.minimum(node[a], node[b])[may])
             vs.append(np.maximum(node[a], node[b])[may])
-        return _met_rows(us, vs, node[crowded], (wide.view("<i8").ravel()[crowded] | spread << 8 * KEY_BYTES), size[crowded])
+        return _met_rows(us, vs, *many)
 
     return packed.groupBy("slice").applyInArrow(
         meet, "u long, v long, key long, n int, " + ", ".join(f"{name} long" for name in LONGS))
@@ -305,7 +310,7 @@ def _candidate_texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     held = _with_list(keyed, per_doc, "inner")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(parts, batches)):
             rows = []
             for data, wanted_here in zip(batch.column("_text").to_pylist(), batch.column("_list").to_pylist()):
                 lines = data.split(b"\n")
