@@ -6,7 +6,8 @@ in any fixed order (a prefix). Classes that share such a run are compared by edi
 similar ones are linked, and connected groups keep their earliest line. No similar pair is missed.
 
 Keys are most of what is made, and most belong to one line alone. They travel packed, in slices that a
-task can sort, with the lines that they come from; only the pairs and crowded keys found there become rows.
+task can sort, with the lines that they come from; only keys met again become rows. Lines that share one are
+held against each other by their signs where they meet, and only pairs that may be alike are written.
 Only the lines that go return to their documents.
 """
 
@@ -19,6 +20,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -37,8 +39,13 @@ RUNS = (3, 2, 1)
 SAMPLED, RANK_BITS, RANKED = 64, 20, 4
 SIGN_BITS = 256
 LONGS = [f"s{n}" for n in range(SIGN_BITS // 64)]
-# Text whose keys share a slice, and the bytes of a key that tell it from the others there.
-SLICE_BYTES, KEY_BYTES = 32 << 20, 5
+# Text whose keys share a slice, and the bytes of a key that tell it from the others there (all but one in
+# some thousands; what meets by chance is told apart by its signs).
+SLICE_BYTES, KEY_BYTES = 32 << 20, 4
+# Members of keys that a task compares, and the most members of a key that it compares with each other.
+COMPARED, MOST_COMPARED = 200_000, 1 << 14
+# Members compared in one step: few at a time for the many small keys, a square of them for the others.
+FEW, ACROSS, DOWN = 64, 256, 1024
 # Keys of so common a rank (a million or more, by the sample) are not packed; their lines are spread instead.
 HOT_RANK, HOT_SLICES = 15, 1024
 # Lists of lines per document are narrow, so that more rows may be broadcast than of others.
@@ -100,8 +107,8 @@ def line_keys(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Keys of all lines behind each other, their number per line, the words of each line and the lines' signs.
 
-    A sign has one bit per word hash: an edit changes at most two bits. Lines too short to be like
-    any other have no key.
+    A sign has a bit per cell of word hashes, whether an odd number of words is in it: an edit changes at most
+    two bits, an inserted word one. Lines too short to be like any other have no key.
     """
     keys, counts, sizes = [np.empty(0, np.uint64)], np.zeros(len(lines), np.int64), np.zeros(len(lines), np.int32)
     signs = np.zeros((len(lines), SIGN_BITS // 8), np.uint8)
@@ -109,9 +116,12 @@ def line_keys(
         size = len(lengths)
         sizes[begin:begin + size] = lengths
         owner = np.repeat(np.arange(size), lengths)
-        bits = np.zeros((size, SIGN_BITS), np.uint8)
-        bits[owner, (words % np.uint64(SIGN_BITS)).astype(np.int64)] = 1
-        signs[begin:begin + size] = np.packbits(bits, axis=1, bitorder="little")
+        long = np.flatnonzero(lengths >= MIN_WORDS)
+        place = np.cumsum(lengths >= MIN_WORDS) - 1
+        bits = np.zeros(len(long) * SIGN_BITS, np.uint8)
+        of_long = lengths[owner] >= MIN_WORDS
+        np.add.at(bits, place[owner[of_long]] * SIGN_BITS + (words[of_long] % np.uint64(SIGN_BITS)).astype(np.int64), 1)
+        signs[begin + long] = np.packbits((bits & 1).reshape(-1, SIGN_BITS), axis=1, bitorder="little")
         within = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         made, owners = [], []
         for q in RUNS:
@@ -193,10 +203,16 @@ def _from_planes(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
 
 
+def _steps(places: np.ndarray) -> bytes:
+    """Rising numbers by what each adds to the one before."""
+    return _planes(np.diff(places, prepend=0))
+
+
 def _packed(keyed: DataFrame, again: DataFrame, least: float, rank: np.ndarray, slices: int) -> DataFrame:
-    """Keys of the first line of each class by ``slice``: its lines' hashes and words, the keys of each and their number.
+    """Keys of the first line of each class by ``slice``: the places of its lines in their batch and words, the keys of each
+    and their number. ``batch`` and a place together are a line's number; its hash would be sent with every slice.
 
-    Slices from ``slices`` on hold lines with common keys, those below zero the signs of the lines with any.
+    Slices from ``slices`` on hold lines with common keys, those below zero hashes and signs of the lines with any.
     """
 
     def packs(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -218,88 +234,175 @@ def _packed(keyed: DataFrame, again: DataFrame, least: float, rank: np.ndarray,
         data = keys[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
         begins = np.concatenate((np.flatnonzero(np.diff(of, prepend=-1)), [len(of)])).tolist()
         rows, signed = [], np.flatnonzero(counts)
+        # From what the batch holds, so that it is the same when a lost task runs again.
+        number = xxhash.xxh3_64_intdigest(hashes.tobytes()) >> 2
         if len(signed):
-            rows.append((-1 - int(hashes[signed[0]] % HOT_SLICES), hashes[signed].tobytes(), _planes(sizes[signed]), b"",
-                         signs[signed].tobytes()))
+            rows.append((-1 - number % HOT_SLICES, number, _steps(signed), _planes(sizes[signed]),
+                         hashes[signed].tobytes(), signs[signed].tobytes()))
         for a, b in zip(begins[:-1], begins[1:]):
             here, held = np.unique(owner[a:b], return_counts=True)
-            rows.append((int(of[a]), hashes[here].tobytes(), _planes(sizes[here]), _planes(held), data[a:b].tobytes()))
-        columns = list(zip(*rows)) if rows else [[]] * 5
+            rows.append((int(of[a]), number, _steps(here), _planes(sizes[here]), _planes(held), data[a:b].tobytes()))
+        columns = list(zip(*rows)) if rows else [[]] * 6
         return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
-            ["slice", "nodes", "sizes", "held", "keys"])
+            [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
+             *[pa.array(c, pa.binary()) for c in columns[2:]]],
+            ["slice", "batch", "places", "sizes", "held", "keys"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chain.from_iterable(map(parts, batches)):
             yield packs(batch)
 
     return _with_list(keyed, again, "left").select("_text", "_list").mapInArrow(
-        run, "slice int, nodes binary, sizes binary, held binary, keys binary")
+        run, "slice int, batch long, places binary, sizes binary, held binary, keys binary")
+
+
+def _most(sizes: np.ndarray, least: float) -> np.ndarray:
+    """Edits that lines of so many words allow, by the longer of two."""
+    return np.floor(sizes * (1 - least) + 1e-9).astype(np.int64)
 
 
 def _met(packed: DataFrame, least: float, slices: int) -> DataFrame:
-    """Pairs ``u``, ``v`` of lines that share a key and may be alike; members ``u`` of crowded keys, with ``key`` and ``n``
-    words; lines ``u`` with ``n`` words and their sign."""
+    """Members ``line`` of each ``key`` that lines of like length share, with ``n`` words; ``many`` where it has more than a
+    task compares. Lines ``line`` with their hash ``node`` and sign, without key."""
 
     def meet(rows: pa.Table) -> pa.Table:
         column = lambda name: rows.column(name).to_pylist()
-        node = np.concatenate([np.frombuffer(data, np.int64) for data in column("nodes")])
+        number = np.concatenate([batch + np.cumsum(_from_planes(data)) for batch, data in zip(
+            column("batch"), column("places"))])
         size = np.concatenate([_from_planes(data) for data in column("sizes")]).astype(np.int32)
         spread = rows.column("slice")[0].as_py()
         if spread < 0:
-            longs = np.frombuffer(b"".join(column("keys")), "<i8").reshape(len(node), -1)
-            return _met_rows([], [], node, None, size, longs)
-        held = np.concatenate([_from_planes(data) for data in column("held")])
-        node, size = np.repeat(node, held), np.repeat(size, held)
-        wide = np.zeros((len(node), 8), np.uint8)
+            return _met_rows(number, size, node=np.frombuffer(b"".join(column("held")), np.int64),
+                             longs=np.frombuffer(b"".join(column("keys")), "<i8").reshape(len(number), -1))
+        line = np.repeat(np.arange(len(number)), np.concatenate([_from_planes(data) for data in column("held")]))
+        wide = np.zeros((len(line), 8), np.uint8)
         wide[:, :KEY_BYTES] = np.frombuffer(b"".join(column("keys")), np.uint8).reshape(-1, KEY_BYTES)
         key = wide.view("<i8").ravel()
         if spread >= slices:
             # Below zero, apart from the keys of any slice.
-            return _met_rows([], [], node, -1 - key, size)
+            return _met_rows(number[line], size[line], -1 - key, np.ones(len(key), bool))
         order = np.argsort(key)
         key = key[order]
         # Most keys are met once; the rest is worked on without them.
         again = np.zeros(len(key), bool)
         again[1:] = key[1:] == key[:-1]
         again[:-1] |= again[1:]
-        order, key = order[again], key[again]
-        node, size = node[order], size[order]
-        begins = np.flatnonzero(np.diff(key, prepend=-1))
-        count = np.diff(np.concatenate((begins, [len(key)])))
-        crowded = np.repeat(count > PAIRED_BUCKET, count)
-        many = node[crowded], key[crowded] | spread << 8 * KEY_BYTES, size[crowded]
-        node, key, size = node[~crowded], key[~crowded], size[~crowded]
-        us, vs = [], []
-        for ahead in range(1, PAIRED_BUCKET):
-            a = np.flatnonzero(key[ahead:] == key[:-ahead])
-            if not len(a):
-                break
-            b = a + ahead
-            most = np.floor(np.maximum(size[a], size[b]) * (1 - least) + 1e-9)
-            may = (np.abs(size[a] - size[b]) <= most) & (node[a] != node[b])
-            us.append(np.minimum(node[a], node[b])[may])
-            vs.append(np.maximum(node[a], node[b])[may])
-        return _met_rows(us, vs, *many)
+        line, key = line[order[again]], key[again]
+        number, size = number[line], size[line]
+        order = np.lexsort((size, key))
+        number, size, key = number[order], size[order], key[order]
+        # By length: where a line cannot be like the next longer one, no shorter line is like a longer one.
+        joins = np.zeros(len(key) + 1, bool)
+        joins[1:-1] = (key[1:] == key[:-1]) & (size[:-1] >= size[1:] - _most(size[1:], least))
+        begins = np.flatnonzero(~joins[:-1])
+        count = np.diff(np.append(begins, len(key)))
+        shared, many = np.repeat(count > 1, count), np.repeat(count > MOST_COMPARED, count)
+        return _met_rows(number[shared], size[shared], (key | spread << 8 * KEY_BYTES)[shared], many[shared])
 
     return packed.groupBy("slice").applyInArrow(
-        meet, "u long, v long, key long, n int, " + ", ".join(f"{name} long" for name in LONGS))
+        meet, "line long, key long, n int, many boolean, node long, " + ", ".join(f"{name} long" for name in LONGS))
 
 
 def _met_rows(
-    us: list, vs: list, node: np.ndarray, key: np.ndarray | None, size: np.ndarray, longs: np.ndarray | None = None,
+    line: np.ndarray, size: np.ndarray, key: np.ndarray | None = None, many: np.ndarray | None = None,
+    node: np.ndarray | None = None, longs: np.ndarray | None = None,
 ) -> pa.Table:
-    pairs, others = sum(map(len, us)), len(node)
-
-    def column(first: list, rest: np.ndarray | None, kind: pa.DataType) -> pa.ChunkedArray:
-        return pa.chunked_array([
-            *(map(pa.array, first) if first else [pa.nulls(pairs, kind)]),
-            pa.nulls(others, kind) if rest is None else pa.array(np.ascontiguousarray(rest), kind)], kind)
+    def column(values: np.ndarray | None, kind: pa.DataType) -> pa.Array:
+        return pa.nulls(len(line), kind) if values is None else pa.array(np.ascontiguousarray(values), kind)
 
     return pa.table({
-        "u": column(us, node, pa.int64()), "v": column(vs, None, pa.int64()),
-        "key": column([], key, pa.int64()), "n": column([], size, pa.int32()),
-        **{name: column([], None if longs is None else longs[:, at], pa.int64()) for at, name in enumerate(LONGS)}})
+        "line": column(line, pa.int64()), "key": column(key, pa.int64()), "n": column(size, pa.int32()),
+        "many": column(many, pa.bool_()), "node": column(node, pa.int64()),
+        **{name: column(None if longs is None else longs[:, at], pa.int64()) for at, name in enumerate(LONGS)}})
+
+
+def _close(node: np.ndarray, size: np.ndarray, key: np.ndarray, signs: np.ndarray, least: float) -> tuple[
+        np.ndarray, np.ndarray, np.ndarray]:
+    """Places of pairs that share a key and may be alike by length and sign, and of the members of keys with too many.
+
+    Rows are ordered by key and size. A key with more pairs than ``PAIRED_BUCKET`` members have, for its size, is mostly
+    one group or few: it is left to be compared with one member first.
+    """
+    most = _most(size, least)
+    shortest, bits = size - most, 2 * most - size
+    begins = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
+    ends = np.append(begins[1:], len(key))
+    count = ends - begins
+    of = np.repeat(np.arange(len(begins)), count)
+    room = count * (PAIRED_BUCKET // 2)
+    us, vs, full = [np.empty(0, np.int64)], [np.empty(0, np.int64)], np.zeros(len(begins), bool)
+    few = np.flatnonzero((count <= FEW)[of])
+    for ahead in range(1, FEW):
+        a, b = few[:-ahead], few[ahead:]
+        here = (of[a] == of[b]) & (size[a] >= shortest[b])
+        if not here.any():
+            break
+        a, b = a[here], b[here]
+        may = np.bitwise_count(signs[a] ^ signs[b]).sum(axis=1, dtype=np.int64) <= bits[b] + size[a]
+        us.append(a[may])
+        vs.append(b[may])
+    for group in np.flatnonzero(count > FEW):
+        end, found = ends[group], 0
+        for a in range(begins[group], end, ACROSS):
+            b_end = min(a + ACROSS, end)
+            for b in range(a, end, DOWN):
+                left, right = slice(a, b_end), slice(b, min(b + DOWN, end))
+                if shortest[b] > size[b_end - 1]:
+                    break
+                apart = np.zeros((b_end - a, right.stop - b), np.int64)
+                for word in range(signs.shape[1]):
+                    apart += np.bitwise_count(signs[left, word][:, None] ^ signs[right, word][None, :])
+                may = (apart <= bits[right][None, :] + size[left][:, None]) & (
+                    shortest[right][None, :] <= size[left][:, None])
+                u, v = np.nonzero(may)
+                u, v = u + a, v + b
+                u, v = u[u < v], v[u < v]
+                us.append(u)
+                vs.append(v)
+                found += len(u)
+            if found > room[group]:
+                break
+    u, v = np.concatenate(us), np.concatenate(vs)
+    full = np.bincount(of[u], minlength=len(begins)) > room
+    return u[~full[of[u]]], v[~full[of[u]]], np.flatnonzero(full[of])
+
+
+def _compared(members: DataFrame, parts: int, least: float) -> DataFrame:
+    """Pairs ``u``, ``v`` of members that may be alike; members ``u`` of keys to be compared with one of them first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            many = batch.column("many")
+            if many.true_count:
+                yield rows(batch.filter(many))
+            if many.false_count:
+                held.append(batch.filter(pc.invert(many)))
+        if not held:
+            return
+        whole = pa.Table.from_batches(held).combine_chunks()
+        node, key, size = (whole.column(name).to_numpy() for name in ("node", "key", "n"))
+        order = np.lexsort((node, size, key))
+        # A row given twice gives its lines twice.
+        order = order[np.append(True, (np.diff(key[order]) != 0) | (np.diff(node[order]) != 0))]
+        node, key, size = node[order], key[order], size[order].astype(np.int64)
+        signs = np.stack([whole.column(name).to_numpy()[order] for name in LONGS], axis=1).view(np.uint64)
+        u, v, crowded = _close(node, size, key, signs, least)
+        yield rows(whole.to_batches()[0].take(pa.array(order[crowded])))
+        pairs = np.stack((np.minimum(node[u], node[v]), np.maximum(node[u], node[v])), axis=1)
+        pairs = np.unique(pairs, axis=0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.ascontiguousarray(pairs[:, side])) for side in (0, 1)]
+            + [pa.nulls(len(pairs), kind) for kind in [pa.int64(), pa.int32(), *[pa.int64()] * len(LONGS)]], NAMES)
+
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [batch.column("node"), pa.nulls(len(batch), pa.int64()), *[batch.column(name) for name in NAMES[2:]]], NAMES)
+
+    NAMES = ["u", "v", "key", "n", *LONGS]
+    # Members of the most common keys only pass, spread by themselves.
+    return members.repartition(parts, F.when(F.col("many"), F.col("node")).otherwise(F.col("key"))).mapInArrow(
+        run, "u long, v long, key long, n int, " + ", ".join(f"{name} long" for name in LONGS))
 
 
 def _candidate_texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -356,33 +459,27 @@ def cuts(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = int(size // SLICE_BYTES) + 1
     met = staged(_met(_packed(keyed, again, least, ranks(keyed), slices), least, slices), "met")
+    shared = met.where("key IS NOT NULL")
+    signs = met.where("key IS NULL").dropDuplicates(["line"]).select("line", "node", *LONGS)
+    signed = shared.select("line", "key", "n", "many").join(signs, "line").drop("line")
+    compared = staged(_compared(signed, shared.count() // COMPARED + 1, least), "compared")
 
-    def most(n: Column, m: Column) -> Column:
-        return F.floor(F.greatest(n, m) * (1 - least) + 1e-9)
-
-    def may(n: Column, m: Column) -> Column:
-        return F.abs(n - m) <= most(n, m)
-
-    def close(a: Column, b: Column) -> Column:
+    def may(a: Column, b: Column) -> Column:
+        most = F.floor(F.greatest(a["n"], b["n"]) * (1 - least) + 1e-9)
         apart = sum((F.bit_count(a[name].bitwiseXOR(b[name])) for name in LONGS), F.lit(0))
-        return apart <= 2 * most(a["n"], b["n"])
-
-    # A row given twice has its lines signed twice.
-    signs = met.where("s0 IS NOT NULL").select(F.col("u").alias("_hash"), F.struct("n", *LONGS).alias("sign"))
+        longer = F.abs(a["n"] - b["n"])
+        return (longer <= most) & (apart <= 2 * most - longer)
 
     def alike(pairs: DataFrame) -> DataFrame:
-        near = staged(
-            pairs.join(signs.select(F.col("_hash").alias("u"), F.col("sign").alias("a")), "u")
-            .join(signs.select(F.col("_hash").alias("v"), F.col("sign").alias("b")), "v")
-            .where(close(F.col("a"), F.col("b"))).select("u", "v").distinct(), "near")
         # Only lines that may be linked are read again.
-        involved = staged(near.select(F.col("u").alias("_hash")).union(
-            near.select(F.col("v").alias("_hash"))).distinct(), "involved")
+        involved = staged(pairs.select(F.col("u").alias("_hash")).union(
+            pairs.select(F.col("v").alias("_hash"))).distinct(), "involved")
         wanted = seen.join(involved, "_hash").groupBy("_hash").agg(F.min(place).alias("first")).select("first.*", "_hash")
-        return _alike(near, staged(_candidate_texts(keyed, wanted), "texts"), least)
+        return _alike(pairs, staged(_candidate_texts(keyed, wanted), "texts"), least)
 
-    members = met.where("key IS NOT NULL").select(F.col("u").alias("node"), "key", F.col("n").alias("sign"))
-    roots = grouped(members, may, alike, paired=met.where("v IS NOT NULL").select("u", "v")).select(
+    members = compared.where("v IS NULL").select(
+        F.col("u").alias("node"), "key", F.struct("n", *LONGS).alias("sign"))
+    roots = grouped(members, may, alike, paired=compared.where("v IS NOT NULL").select("u", "v")).select(
         F.col("node").alias("_hash"), "root")
     grouping = staged(roots.union(
         repeated.select("_hash", F.col("_hash").alias("root")).join(roots, "_hash", "left_anti")), "grouping")
