@@ -41,3 +41,15 @@ def test_join_repeated_equals_a_left_join(spark):
     got = join_repeated(rows, lookup, "k", "l", F.col("id"), repeats=3, slices=4)
     want = rows.join(lookup, F.col("k") == F.col("l"), "left").drop("k")
     assert sorted(map(str, got.select("id", "v", "l").collect())) == sorted(map(str, want.select("id", "v", "l").collect()))
+
+
+def test_tasks_of_a_repeated_key_stay_apart(spark):
+    """Adaptive execution put the slices together again, as they read little; what they give is much."""
+    rows = spark.range(4000).select("id", F.expr("if(id % 4 = 3, null, if(id % 4 = 2, 'rare', ''))").alias("k"))
+    lookup = spark.range(102).select(F.col("id").alias("v"), F.expr("if(id < 100, '', concat('rare', nullif(id, 100)))").alias("l"))
+    rare = lookup.withColumn("l", F.when(F.col("v") == 101, "rare").otherwise(F.col("l")))
+    got = join_repeated(rows, rare, "k", "l", F.col("id"), slices=64)
+    assert got.columns == ["id", "v", "l"] and got.count() == 2000 * 100 + 2000
+    assert got.where("l = ''").select(F.spark_partition_id().alias("task")).distinct().count() > 30
+    kinds = got.groupBy(F.expr("id % 4").alias("kind"), "l").agg(F.count_distinct("v").alias("n"), F.count("*").alias("all")).collect()
+    assert {tuple(row) for row in kinds} == {(0, "", 100, 100_000), (1, "", 100, 100_000), (2, "rare", 1, 1000), (3, None, 0, 1000)}
